@@ -6,9 +6,11 @@ its label ``end - 1 day = D`` is the day the consumption ends, the same label
 a tumbling day window ``[D-1, D)`` gets, so counters and gauges join on it.
 
 The reference computes the difference with an order-dependent fold. Here it
-is ``last - first`` by event time (``max_by`` / ``min_by``, ties broken by the
-value), which is order independent and algebraic: Spark aggregates partially
-before the shuffle, and in a stream the state per window is three values.
+is ``last - first`` by event time (``max_by`` / ``min_by``), which is order
+independent and algebraic: Spark aggregates partially before the shuffle,
+and in a stream the state per window is five fixed-width values. Two
+readings of different values at the very same instant are a data error;
+either may be taken.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
                        keep_count: bool = False) -> DataFrame:
     """``(keys, Day, daily_diff)`` from counter readings ``(ts, value)``.
 
-    * ``single="drop"``: windows with fewer than two readings are left out.
+    * ``single="drop"``: windows without readings at two distinct instants
+      are left out.
     * ``single="value"``: such a window reports the reading itself; combine
       with :func:`~gridsense.operators.rollup.plausible` to hide the ones
       above a bound, as the reference does.
@@ -43,16 +46,22 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
     keys = _keys(by)
     if delay is not None:
         df = df.withWatermark(ts, delay)
-    order = F.struct(F.col(ts), F.col(value))
+    # Fixed-width aggregation buffers only, so Spark keeps a hash aggregate
+    # (partial before the shuffle) rather than sorting.
     g = df.where(F.col(value).isNotNull()).groupBy(*keys, F.window(ts, "2 days", "1 day")).agg(
-        F.max_by(value, order).alias("_last"),
-        F.min_by(value, order).alias("_first"),
+        F.max_by(value, ts).alias("_last"),
+        F.min_by(value, ts).alias("_first"),
+        F.max(ts).alias("_t_last"),
+        F.min(ts).alias("_t_first"),
         F.count(value).alias("n"))
+    # A pair means readings at two distinct instants: a reading delivered
+    # twice (at-least-once transport) is still a single reading.
+    paired = F.col("_t_last") > F.col("_t_first")
     diff = F.col("_last") - F.col("_first")
     if single == SINGLE_DROP:
-        g = g.where(F.col("n") >= 2)
+        g = g.where(paired)
     else:
-        diff = F.when(F.col("n") >= 2, diff).otherwise(F.col("_last"))
+        diff = F.when(paired, diff).otherwise(F.col("_last"))
     if round_to is not None:
         diff = F.round(diff, round_to)
     day = F.date_sub(F.col("window.end"), 1)
@@ -68,4 +77,4 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
 
 # The same difference as SQL text, for users of spark.sql (the reference
 # registers its fold under the name ValDiff).
-VALDIFF_SQL = "max_by({v}, struct({t}, {v})) - min_by({v}, struct({t}, {v}))"
+VALDIFF_SQL = "max_by({v}, {t}) - min_by({v}, {t})"

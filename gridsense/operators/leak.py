@@ -23,14 +23,16 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: str,
     """One row per key: the one with the greatest ``order`` (a revision or
     batch id). Later revisions replace earlier ones, as an upsert by key does.
 
-    Built as ``max_by(struct(cols), order)`` so that the reduction is
-    partial before the shuffle; a key with very many revisions never lands
-    whole in one task (a ``row_number`` window would sort them all there).
+    Built as one ``max_by(col, order)`` per column, so the reduction is
+    partial before the shuffle and, for fixed-width columns, a hash
+    aggregate: a key with very many revisions never lands whole in one task
+    (a ``row_number`` window would sort them all there). ``order`` must be
+    unique within a key, as a batch id is, so that all columns come from the
+    same revision.
     """
     keys = _keys(keys)
     cols = [c for c in (cols or df.columns) if c not in keys and c != order]
-    best = F.max_by(F.struct(*cols), F.col(order)).alias("_latest")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_latest.{c}").alias(c) for c in cols])
+    return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in cols])
 
 
 def leak(sub_df: DataFrame, total_df: DataFrame, day: str = "Day", sub: str = "Totalw1",
