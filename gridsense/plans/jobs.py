@@ -161,7 +161,7 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
                     gauge_delay: str = "1 second", accept_delay: str = "3 days",
                     counter_delay: str = "1 second", rejected_delay: str = "1 hour",
                     sub_gt: float | None = None, trigger: dict | None = None,
-                    state_partitions: int | None = None) -> list:
+                    state_partitions: int | None = None, name_prefix: str = "") -> list:
     """Start the stage-one streaming queries of all domains over one message
     stream, writing JSON topic folders under ``root``; all in append mode so
     each record is final (the leak stage can then join them exactly once).
@@ -182,7 +182,7 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
         "rejected": wa["rejected"],
     }
     kw = dict(mode="append", fmt="json", trigger=trigger, state_partitions=state_partitions)
-    return [start_topic_sink(df, f"{root}/{name}", query_name=f"{name}_{id(df) % 10007}", **kw)
+    return [start_topic_sink(df, f"{root}/{name}", query_name=f"{name_prefix}{name}", **kw)
             for name, df in outs.items()]
 
 

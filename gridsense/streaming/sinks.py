@@ -90,13 +90,14 @@ def run_available(df: DataFrame, path: str, timeout: float | None = None, **kw)
     return path
 
 
-def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None) -> None:
+def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None,
+            spark: SparkSession | None = None) -> None:
     """Wait until any of the queries ends (or fails), as the reference's jobs
     do; stop the others if one fails."""
     queries = list(queries)
     if not queries:
         return
-    spark = queries[0].sparkSession
+    spark = spark or SparkSession.getActiveSession()
     try:
         spark.streams.awaitAnyTermination(timeout)
     except Exception:
