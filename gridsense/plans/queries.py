@@ -184,15 +184,15 @@ def panel_sensor_range_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streaming queries ----------------------------------------------------------
 
 def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
-    """Store messages as a source folder and open it as a stream."""
+    """Store derived messages (the meter's) as a source folder and open it
+    as a stream; device messages are streamed from the table itself."""
     path = write_messages(messages, new_work_path(spark, f"{name}-src"))
     return read_messages(spark, path, stream=True)
 
 
 def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    msgs = _stream_of(spark, ev.event_messages(spark, sf_dir, flag_late=False, motion=True),
-                      "daily")
+    msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True, stream=True)
     daily = jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS, delay=GAUGE_DELAY)
     out = run_available(daily, new_work_path(spark, "daily-out"),
                         state_partitions=_state_partitions(spark))
@@ -201,7 +201,7 @@ def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    msgs = _stream_of(spark, ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,)), "w1")
+    msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(msgs)
     daily = _accepted_daily(accepted, delay=ACCEPT_DELAY)
     out = run_available(daily, new_work_path(spark, "w1-rev"), mode="update",
@@ -226,7 +226,7 @@ def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the two topics on the day label."""
     ensure_utc(spark)
     parts = _state_partitions(spark)
-    w1 = _stream_of(spark, ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,)), "w1")
+    w1 = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(w1)
     sub_topic = run_available(_accepted_daily(accepted, delay=ACCEPT_DELAY),
                               new_work_path(spark, "aggday-sub"), fmt="json",

@@ -45,8 +45,15 @@ def _topic_of(sensor_col):
     return F.try_element_at(m, sensor_col)
 
 
-def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+def load_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """The ``events`` table; ``stream=True`` opens it as a file stream (the
+    table's folder, filtered to its file, with the batch schema)."""
+    path = f"{sf_dir}/events.parquet"
+    if not stream:
+        return spark.read.parquet(path)
+    schema = spark.read.parquet(path).schema
+    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+            .parquet(sf_dir))
 
 
 def late_flag() -> F.Column:
@@ -54,13 +61,15 @@ def late_flag() -> F.Column:
 
 
 def event_messages(spark: SparkSession, sf_dir: str, sensors=GAUGES,
-                   flag_late: bool = True, motion: bool = False) -> DataFrame:
+                   flag_late: bool = True, motion: bool = False,
+                   stream: bool = False) -> DataFrame:
     """``(topic, payload)`` device messages of the given gauge sensors.
 
     ``flag_late`` appends the late flag to the sub-meter's flagged rows;
-    ``motion`` adds the 0/1 motion stream (one reading per event).
+    ``motion`` adds the 0/1 motion stream (one reading per event);
+    ``stream`` gives a streaming DataFrame over the table.
     """
-    ev = load_events(spark, sf_dir)
+    ev = load_events(spark, sf_dir, stream)
     parts = []
     if sensors:
         g = ev.where(F.col("event_type").isin(list(sensors)))
