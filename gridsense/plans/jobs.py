@@ -89,6 +89,11 @@ def store_raw(envelopes: DataFrame, path: str, mode: str = "append") -> str:
                           sort_within=("DateTime",), mode=mode)
 
 
+def store_daily(daily: DataFrame, path: str, mode: str = "append") -> str:
+    """Append ``(Sensor, Day, Total)`` roll-ups to a dataset partitioned by sensor."""
+    return append_dataset(daily, path, partition_by=("Sensor",), sort_within=("Day",), mode=mode)
+
+
 # -- domain jobs ------------------------------------------------------------
 
 def energy_job(messages: DataFrame, counter_lt: float | None, sensors=registry.HOUSEHOLD,

@@ -33,7 +33,8 @@ READINGS = f"""
 
 DAILY_BY_SENSOR = f"""
   SELECT Sensor, date_trunc('day', t) + INTERVAL 1 DAY AS Day,
-         CASE WHEN Sensor = 'error' THEN round(avg(value), 2) ELSE round(sum(value), 2) END AS Total
+         CASE WHEN Sensor IN {_in(s.name for s in ev.EVENT_SENSORS if s.how == 'avg')}
+              THEN round(avg(value), 2) ELSE round(sum(value), 2) END AS Total
   FROM ({READINGS}) r GROUP BY 1, 2"""
 
 # The meter: running exact total of the part sensors, read at each day label.
@@ -81,7 +82,7 @@ ORACLE: dict[str, str] = {
       FROM events WHERE event_type = 'purchase' GROUP BY 1""",
     "daily_avg": f"""
       SELECT {DAY} AS Day, round(avg(value), 2) AS Total
-      FROM events WHERE event_type = 'error' GROUP BY 1""",
+      FROM events WHERE event_type = '{q.AVG_SENSOR}' GROUP BY 1""",
     "movement_sum": f"""
       SELECT {DAY} AS Day,
              round(sum(CAST(CASE WHEN event_type = '{ev.MOTION_SOURCE}' THEN 1 ELSE 0 END AS DOUBLE)), 2) AS Total
@@ -115,6 +116,10 @@ ORACLE: dict[str, str] = {
       FROM events
       WHERE event_type = {SUB} AND NOT {FLAGGED}
         AND date_trunc('second', ts) BETWEEN TIMESTAMP '{q.PANEL_START}' AND TIMESTAMP '{q.PANEL_END}'""",
+    "panel_daily_avg": f"""
+      SELECT * FROM ({DAILY_BY_SENSOR}) d
+      WHERE Sensor = '{q.AVG_SENSOR}'
+        AND Day BETWEEN TIMESTAMP '{q.PANEL_START}' AND TIMESTAMP '{q.PANEL_END}'""",
     # Append mode emits a window once the watermark (latest event time less
     # the delay, over the whole stream) has passed its end.
     "stream_daily_sum": f"""

@@ -38,6 +38,11 @@ JOIN_DELAY = "5 seconds"
 # The dashboard-style range read by the panel query.
 PANEL_START = "2024-01-03 00:00:00"
 PANEL_END = "2024-01-08 00:00:00"
+AVG_SENSOR = "error"  # the stand-in sensor averaged per day (TH1 / TH2 role)
+
+# Upper bound on one availableNow run, so a stuck stream fails the query
+# instead of hanging the caller.
+STREAM_TIMEOUT = 1800.0
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,6 +55,11 @@ def _state_partitions(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+def _run(df: DataFrame, path: str, **kw) -> str:
+    kw.setdefault("state_partitions", _state_partitions(df.sparkSession))
+    return run_available(df, path, timeout=STREAM_TIMEOUT, **kw)
+
+
 # -- building blocks shared by several queries ---------------------------------
 
 def _sub_readings(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -104,7 +114,7 @@ def daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_avg_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _one_gauge_daily(spark, sf_dir, "error", "avg")
+    return _one_gauge_daily(spark, sf_dir, AVG_SENSOR, "avg")
 
 
 def movement_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,6 +191,18 @@ def panel_sensor_range_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("Sensor", _ntz("DateTime"), "value", "domain")
 
 
+def panel_daily_avg_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily roll-ups of every sensor kept as a dataset, then the
+    dashboard's daily-average panel for one averaged sensor and range."""
+    ensure_utc(spark)
+    root = new_work_path(spark, "store")
+    msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True)
+    jobs.store_daily(jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS), f"{root}/daily")
+    df = jobs.panel(spark, root, "th2_daily_avg", start=PANEL_START, end=PANEL_END,
+                    sensor=AVG_SENSOR)
+    return df.select("Sensor", _ntz("Day"), "Total")
+
+
 # -- streaming queries ----------------------------------------------------------
 
 def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
@@ -194,8 +216,7 @@ def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True, stream=True)
     daily = jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS, delay=GAUGE_DELAY)
-    out = run_available(daily, new_work_path(spark, "daily-out"),
-                        state_partitions=_state_partitions(spark))
+    out = _run(daily, new_work_path(spark, "daily-out"))
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "Total")
 
 
@@ -204,8 +225,7 @@ def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(msgs)
     daily = _accepted_daily(accepted, delay=ACCEPT_DELAY)
-    out = run_available(daily, new_work_path(spark, "w1-rev"), mode="update",
-                        state_partitions=_state_partitions(spark))
+    out = _run(daily, new_work_path(spark, "w1-rev"), mode="update")
     revisions = spark.read.parquet(out)
     return latest_per_key(revisions, "Day", REVISION, ["Totalw1"]).select(_ntz("Day"), "Totalw1")
 
@@ -214,8 +234,7 @@ def stream_counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
     diff = _counter_pairs(jobs.sensor_readings(msgs), delay=GAUGE_DELAY)
-    out = run_available(diff, new_work_path(spark, "meter-out"),
-                        state_partitions=_state_partitions(spark))
+    out = _run(diff, new_work_path(spark, "meter-out"))
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "daily_diff")
 
 
@@ -225,20 +244,18 @@ def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     the counter's differences, each in append mode; (2) a stream-stream join
     of the two topics on the day label."""
     ensure_utc(spark)
-    parts = _state_partitions(spark)
     w1 = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(w1)
-    sub_topic = run_available(_accepted_daily(accepted, delay=ACCEPT_DELAY),
-                              new_work_path(spark, "aggday-sub"), fmt="json",
-                              json_cols=["Day", "Totalw1"], state_partitions=parts)
+    sub_topic = _run(_accepted_daily(accepted, delay=ACCEPT_DELAY),
+                     new_work_path(spark, "aggday-sub"), fmt="json", json_cols=["Day", "Totalw1"])
     meter = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
-    total_topic = run_available(_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
-                                new_work_path(spark, "agg-total"), fmt="json",
-                                json_cols=["Day", "daily_diff"], state_partitions=parts)
+    total_topic = _run(_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
+                       new_work_path(spark, "agg-total"), fmt="json",
+                       json_cols=["Day", "daily_diff"])
     sub = read_topic(spark, sub_topic, jobs.SUB_SCHEMA, stream=True)
     total = read_topic(spark, total_topic, jobs.TOTAL_SCHEMA, stream=True)
     joined = jobs.leak_job(sub, total, watermark=JOIN_DELAY)
-    out = run_available(joined, new_work_path(spark, "leak-out"), state_partitions=parts)
+    out = _run(joined, new_work_path(spark, "leak-out"))
     return spark.read.parquet(out).select(_ntz("Day"), "LeakValue")
 
 
@@ -257,6 +274,7 @@ QUERIES: dict[str, Query] = {
     "leak": leak_q,
     "latest_per_day": latest_per_day_q,
     "panel_sensor_range": panel_sensor_range_q,
+    "panel_daily_avg": panel_daily_avg_q,
     "stream_daily_sum": stream_daily_sum_q,
     "stream_accepted_update": stream_accepted_update_q,
     "stream_counter_diff": stream_counter_diff_q,
