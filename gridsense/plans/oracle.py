@@ -61,6 +61,12 @@ ACCEPTED = f"""
   FROM events WHERE event_type = {SUB} AND NOT {FLAGGED}
   GROUP BY 1 HAVING round(sum(value), 2) > {q.SUB_GT}"""
 
+REJECTED = f"""
+  SELECT time_bucket(INTERVAL '10 minutes', date_trunc('second', ts)) + INTERVAL '10 minutes'
+           AS RejectedEvent,
+         sum(value) AS RejectedVal
+  FROM events WHERE {FLAGGED} GROUP BY 1"""
+
 LEAK = f"""
   SELECT a.Day, round(p.daily_diff - a.Totalw1, 2) AS LeakValue
   FROM ({ACCEPTED}) a JOIN ({COUNTER_PAIRS}) p ON a.Day = p.Day"""
@@ -96,11 +102,7 @@ ORACLE: dict[str, str] = {
         FROM ({COUNTER_WINDOWS}) x) y
       WHERE daily_diff < {q.COUNTER_LT}""",
     "accepted_daily": ACCEPTED,
-    "rejected_10min": f"""
-      SELECT time_bucket(INTERVAL '10 minutes', date_trunc('second', ts)) + INTERVAL '10 minutes'
-               AS RejectedEvent,
-             sum(value) AS RejectedVal
-      FROM events WHERE {FLAGGED} GROUP BY 1""",
+    "rejected_10min": REJECTED,
     "leak": LEAK,
     "latest_per_day": f"""
       WITH hourly AS (
@@ -127,6 +129,11 @@ ORACLE: dict[str, str] = {
       WHERE Day <= (SELECT max(t) FROM ({READINGS}) r) - INTERVAL '{q.GAUGE_DELAY}'""",
     # Update mode emits every window; the last revision of a day is final.
     "stream_accepted_update": ACCEPTED,
+    # The watermark follows the rejected rows only (it is set after the split).
+    "stream_rejected": f"""
+      SELECT * FROM ({REJECTED}) r
+      WHERE RejectedEvent <= (SELECT max(date_trunc('second', ts)) FROM events WHERE {FLAGGED})
+                             - INTERVAL '{q.REJECTED_DELAY}'""",
     "stream_counter_diff": f"""
       SELECT * FROM ({COUNTER_PAIRS}) p
       WHERE Day + INTERVAL 1 DAY <= (SELECT max(t) FROM ({COUNTER}) c) - INTERVAL '{q.GAUGE_DELAY}'""",

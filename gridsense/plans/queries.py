@@ -35,6 +35,9 @@ SUB_GT = 40.0
 GAUGE_DELAY = "1 second"
 ACCEPT_DELAY = "3 days"
 JOIN_DELAY = "5 seconds"
+# The rejected stream has no watermark in the reference (its state never
+# expires); here it gets one so that append mode can emit final sums.
+REJECTED_DELAY = "1 hour"
 # The dashboard-style range read by the panel query.
 PANEL_START = "2024-01-03 00:00:00"
 PANEL_END = "2024-01-08 00:00:00"
@@ -230,6 +233,16 @@ def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(revisions, "Day", REVISION, ["Totalw1"]).select(_ntz("Day"), "Totalw1")
 
 
+def stream_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected-late readings of the sub-meter, 10-minute sums, streamed in
+    append mode behind a watermark."""
+    ensure_utc(spark)
+    msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
+    _, rejected = _sub_readings(msgs)
+    out = _run(rejected_rollup(rejected, delay=REJECTED_DELAY), new_work_path(spark, "rejected-out"))
+    return spark.read.parquet(out).select(_ntz("RejectedEvent"), "RejectedVal")
+
+
 def stream_counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
@@ -277,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "panel_daily_avg": panel_daily_avg_q,
     "stream_daily_sum": stream_daily_sum_q,
     "stream_accepted_update": stream_accepted_update_q,
+    "stream_rejected": stream_rejected_q,
     "stream_counter_diff": stream_counter_diff_q,
     "stream_leak": stream_leak_q,
 }

@@ -24,6 +24,7 @@ def spark():
     s = get_session("local[*]", "gridsense-tests", conf={
         "spark.sql.shuffle.partitions": "8",
         "spark.checkpoint.dir": work,
+        "spark.sql.maxMetadataStringLength": "10000",  # whole scan details in plans
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s
