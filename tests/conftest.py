@@ -19,14 +19,15 @@ SF0001 = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    # Tests set their own shared folder; a cluster names it in spark.checkpoint.dir.
-    work = tempfile.mkdtemp(prefix="gridsense-test-")
     s = get_session("local[*]", "gridsense-tests", conf={
         "spark.sql.shuffle.partitions": "8",
-        "spark.checkpoint.dir": work,
         "spark.sql.maxMetadataStringLength": "10000",  # whole scan details in plans
     })
     s.sparkContext.setLogLevel("ERROR")
+    # The shared folder is the one the session names; tests set their own
+    # only where none is configured.
+    if not (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getCheckpointDir()):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="gridsense-test-"))
     yield s
     s.stop()
 
