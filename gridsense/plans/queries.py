@@ -24,7 +24,7 @@ from gridsense.plans import jobs
 from gridsense.session import ensure_utc, new_work_path
 from gridsense.sources import events as ev
 from gridsense.sources.io import read_dataset, read_messages, read_topic, write_messages
-from gridsense.streaming.sinks import REVISION, run_available
+from gridsense.streaming.sinks import REVISION, run_available, run_available_together
 
 # Bounds of the reference's plausibility filters (Etot below 72000 per day,
 # W1 above 40 per day), kept as its jobs state them.
@@ -254,17 +254,19 @@ def stream_counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two stages coupled by JSON topic folders, as the reference couples its
     water and leak applications: (1) the sub-meter's accepted daily sums and
-    the counter's differences, each in append mode; (2) a stream-stream join
-    of the two topics on the day label."""
+    the counter's differences, each in append mode, run side by side; (2) a
+    stream-stream join of the two topics on the day label."""
     ensure_utc(spark)
     w1 = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(w1)
-    sub_topic = _run(_accepted_daily(accepted, delay=ACCEPT_DELAY),
-                     new_work_path(spark, "aggday-sub"), fmt="json", json_cols=["Day", "Totalw1"])
     meter = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
-    total_topic = _run(_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
-                       new_work_path(spark, "agg-total"), fmt="json",
-                       json_cols=["Day", "daily_diff"])
+    parts = {"state_partitions": _state_partitions(spark), "fmt": "json"}
+    sub_topic, total_topic = run_available_together([
+        (_accepted_daily(accepted, delay=ACCEPT_DELAY), new_work_path(spark, "aggday-sub"),
+         {**parts, "json_cols": ["Day", "Totalw1"]}),
+        (_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
+         new_work_path(spark, "agg-total"), {**parts, "json_cols": ["Day", "daily_diff"]}),
+    ], timeout=STREAM_TIMEOUT)
     sub = read_topic(spark, sub_topic, jobs.SUB_SCHEMA, stream=True)
     total = read_topic(spark, total_topic, jobs.TOTAL_SCHEMA, stream=True)
     joined = jobs.leak_job(sub, total, watermark=JOIN_DELAY)

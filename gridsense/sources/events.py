@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gridsense import registry
 from gridsense.functions.parse import format_payload
 from gridsense.registry import Sensor
 
@@ -108,13 +107,3 @@ def counter_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = counter_readings(spark, sf_dir)
     return r.select(_topic_of(F.col("Sensor")).alias("topic"),
                     format_payload("DateTime", "NumVal").alias("payload"))
-
-
-def with_sensor(df: DataFrame, topic: str = "topic") -> DataFrame:
-    """Add ``Sensor`` (last topic segment) in front of the message columns."""
-    from gridsense.functions.parse import sensor_from_topic
-    return df.select(sensor_from_topic(topic).alias("Sensor"), *df.columns)
-
-
-def domain_of(sensor_col) -> F.Column:
-    return registry.domain_of(sensor_col, EVENT_SENSORS)

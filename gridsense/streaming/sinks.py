@@ -90,6 +90,24 @@ def run_available(df: DataFrame, path: str, timeout: float | None = None, **kw)
     return path
 
 
+def run_available_together(runs: Iterable[tuple[DataFrame, str, dict]],
+                           timeout: float | None = None) -> list[str]:
+    """Start several ``(df, path, options)`` streaming queries over the data
+    available now, let them run side by side, and wait for all of them."""
+    started = [(start_topic_sink(df, path, trigger={"availableNow": True}, **kw), path)
+               for df, path, kw in runs]
+    try:
+        for q, path in started:
+            finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
+            if finished is False:
+                raise TimeoutError(f"streaming query into {path} did not finish in {timeout} s")
+    finally:
+        for q, _ in started:
+            if q.isActive:
+                q.stop()
+    return [path for _, path in started]
+
+
 def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None,
             spark: SparkSession | None = None) -> None:
     """Wait until any of the queries ends (or fails), as the reference's jobs
