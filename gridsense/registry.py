@@ -40,12 +40,15 @@ HOUSEHOLD = (
 DOMAINS = ("energy", "water", "temp")
 
 
+def map_literal(pairs) -> Column:
+    """A constant ``MAP<STRING, STRING>`` column, built in one expression."""
+    def q(v: str) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return F.expr("map(" + ", ".join(f"{q(k)}, {q(v)}" for k, v in pairs) + ")")
+
+
 def _lookup(sensors, field: str, key: Column) -> Column:
-    names = [s.name for s in sensors]
-    values = [getattr(s, field) for s in sensors]
-    m = F.map_from_arrays(F.array(*[F.lit(n) for n in names]),
-                          F.array(*[F.lit(v) for v in values]))
-    return F.try_element_at(m, key)
+    return F.try_element_at(map_literal((s.name, getattr(s, field)) for s in sensors), key)
 
 
 def domain_of(sensor: Column, sensors=HOUSEHOLD) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridsense.functions.parse import format_payload
-from gridsense.registry import Sensor
+from gridsense.registry import Sensor, map_literal
 
 # The stand-in sensors, their topics, domains and roll-ups.
 EVENT_SENSORS = (
@@ -39,9 +39,7 @@ LATE_EVERY = 120
 
 
 def _topic_of(sensor_col):
-    m = F.map_from_arrays(F.array(*[F.lit(s.name) for s in EVENT_SENSORS]),
-                          F.array(*[F.lit(s.topic) for s in EVENT_SENSORS]))
-    return F.try_element_at(m, sensor_col)
+    return F.try_element_at(map_literal((s.name, s.topic) for s in EVENT_SENSORS), sensor_col)
 
 
 def load_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
