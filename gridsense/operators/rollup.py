@@ -33,15 +33,39 @@ def _round(c: Column, round_to: int | None) -> Column:
     return c if round_to is None else F.round(c, round_to)
 
 
+def watermark(df: DataFrame, ts: str, delay: str, by=None, each=None) -> DataFrame:
+    """Watermark a stream on ``ts``.
+
+    With ``each`` (values of the single key column ``by``) every key gets its
+    own watermark: the stream is split per key and united again. Spark then
+    advances the query by the slowest key (``min`` policy), so a sensor
+    lagging the others by more than ``delay`` loses no rows — the
+    reference's one watermark per topic — at the price of windows closing at
+    the pace of the slowest sensor; a listed key that never reports keeps all
+    windows open. Keys not listed are left out.
+    """
+    if each is None:
+        return df.withWatermark(ts, delay)
+    keys = _keys(by)
+    if len(keys) != 1:
+        raise ValueError("a watermark per key needs exactly one key column")
+    parts = [df.where(F.col(keys[0]) == F.lit(v)).withWatermark(ts, delay) for v in each]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def window_rollup(df: DataFrame, period: str, aggs: dict[str, Column],
                   ts: str = "DateTime", by=None, delay: str | None = None,
-                  label: str = "Day", label_at: str = "end") -> DataFrame:
+                  label: str = "Day", label_at: str = "end", watermark_each=None) -> DataFrame:
     """Aggregate over tumbling windows of ``period``; the window becomes one
     timestamp column ``label`` (its end by default, as the reference labels
-    days)."""
+    days). ``watermark_each`` lists key values that get a watermark each
+    (see :func:`watermark`)."""
     keys = _keys(by)
     if delay is not None:
-        df = df.withWatermark(ts, delay)
+        df = watermark(df, ts, delay, by, watermark_each)
     agg_cols = [c.alias(name) for name, c in aggs.items()]
     out = df.groupBy(*keys, F.window(ts, period)).agg(*agg_cols)
     return out.select(*keys, F.col(f"window.{label_at}").alias(label), *aggs.keys())
@@ -50,14 +74,15 @@ def window_rollup(df: DataFrame, period: str, aggs: dict[str, Column],
 def daily_rollup(df: DataFrame, how: str | Sequence[str] = "sum", ts: str = "DateTime",
                  value: str = "NumVal", by=None, out: str | Sequence[str] | None = None,
                  delay: str | None = None, round_to: int | None = 2,
-                 period: str = "1 day", label: str = "Day") -> DataFrame:
+                 period: str = "1 day", label: str = "Day", watermark_each=None) -> DataFrame:
     """Daily ``sum`` / ``avg`` (or min, max, count) of a reading, labelled by
     the end of the day window: readings of 01-01 give ``Day = 01-02 00:00``.
 
     ``how`` may be a list to compute several aggregates in the same pass;
     ``out`` names the result columns (default ``Total`` for one aggregate,
     else the aggregate names). ``by`` keys the roll-up (e.g. ``Sensor``), so
-    all sensors share one shuffle; in a stream they then share one watermark.
+    all sensors share one shuffle; in a stream they then share one watermark
+    unless ``watermark_each`` lists the sensors to watermark one by one.
     """
     hows = [how] if isinstance(how, str) else list(how)
     if out is None:
@@ -72,7 +97,8 @@ def daily_rollup(df: DataFrame, how: str | Sequence[str] = "sum", ts: str = "Dat
             raise ValueError(f"unknown roll-up {h!r}")
         c = _AGGS[h](value)
         aggs[name] = c if h == "count" else _round(c, round_to)
-    return window_rollup(df, period, aggs, ts=ts, by=by, delay=delay, label=label)
+    return window_rollup(df, period, aggs, ts=ts, by=by, delay=delay, label=label,
+                         watermark_each=watermark_each)
 
 
 def rejected_rollup(df: DataFrame, ts: str = "DateTime", value: str = "NumVal", by=None,

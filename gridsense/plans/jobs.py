@@ -53,11 +53,12 @@ def sensor_readings(messages: DataFrame, sensors=None, numeric: bool = True,
 
 
 def gauge_daily(readings: DataFrame, sensors=registry.HOUSEHOLD, delay: str | None = None,
-                round_to: int | None = 2) -> DataFrame:
+                round_to: int | None = 2, watermark_each=None) -> DataFrame:
     """``(Sensor, Day, Total)``: each gauge's daily sum or average, as the
-    registry says, from one keyed aggregate over all sensors."""
+    registry says, from one keyed aggregate over all sensors
+    (``watermark_each``: sensors watermarked one by one in a stream)."""
     both = daily_rollup(readings, how=["sum", "avg"], by="Sensor", delay=delay,
-                        round_to=round_to, out=["_sum", "_avg"])
+                        round_to=round_to, out=["_sum", "_avg"], watermark_each=watermark_each)
     total = F.when(registry.how_of(F.col("Sensor"), sensors) == "avg", F.col("_avg")) \
         .otherwise(F.col("_sum"))
     return both.select("Sensor", "Day", total.alias("Total"))
@@ -97,17 +98,20 @@ def store_daily(daily: DataFrame, path: str, mode: str = "append") -> str:
 # -- domain jobs ------------------------------------------------------------
 
 def energy_job(messages: DataFrame, counter_lt: float | None, sensors=registry.HOUSEHOLD,
-               delay: str | None = None, counter_delay: str | None = None) -> dict[str, DataFrame]:
+               delay: str | None = None, counter_delay: str | None = None,
+               watermark_per_sensor: bool = False) -> dict[str, DataFrame]:
     """Daily sums of the energy gauges; daily difference of the energy counter.
 
     As in the reference the counter difference is unrounded, labelled by a
     DATE, and a window with a single reading reports that reading, hidden
     by ``counter_lt`` when it is the total so far; pass ``counter_lt=None``
-    to keep pairs only instead.
+    to keep pairs only instead. ``watermark_per_sensor`` gives each gauge its
+    own watermark, as the reference's one query per topic has.
     """
     gauges = registry.names(sensors, domain="energy", kind="gauge")
     counters = registry.names(sensors, domain="energy", kind="counter")
-    daily = gauge_daily(sensor_readings(messages, gauges), sensors, delay=delay)
+    daily = gauge_daily(sensor_readings(messages, gauges), sensors, delay=delay,
+                        watermark_each=gauges if watermark_per_sensor else None)
     single = SINGLE_DROP if counter_lt is None else SINGLE_VALUE
     diff = counter_daily_diff(sensor_readings(messages, counters), by="Sensor",
                               delay=counter_delay, single=single, round_to=None, day_type="date")
@@ -116,11 +120,12 @@ def energy_job(messages: DataFrame, counter_lt: float | None, sensors=registry.H
     return {"daily": daily, "counter_diff": diff}
 
 
-def temp_job(messages: DataFrame, sensors=registry.HOUSEHOLD,
-             delay: str | None = None) -> dict[str, DataFrame]:
+def temp_job(messages: DataFrame, sensors=registry.HOUSEHOLD, delay: str | None = None,
+             watermark_per_sensor: bool = False) -> dict[str, DataFrame]:
     """Daily averages of the temperature gauges and the daily movement count."""
     names = registry.names(sensors, domain="temp")
-    return {"daily": gauge_daily(sensor_readings(messages, names), sensors, delay=delay)}
+    return {"daily": gauge_daily(sensor_readings(messages, names), sensors, delay=delay,
+                                 watermark_each=names if watermark_per_sensor else None)}
 
 
 def water_job(messages: DataFrame, sub_gt: float | None, counter_lt: float | None = None,
@@ -166,18 +171,23 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
                     gauge_delay: str = "1 second", accept_delay: str = "3 days",
                     counter_delay: str = "1 second", rejected_delay: str = "1 hour",
                     sub_gt: float | None = None, trigger: dict | None = None,
-                    state_partitions: int | None = None, name_prefix: str = "") -> list:
+                    state_partitions: int | None = None, name_prefix: str = "",
+                    watermark_per_sensor: bool = False) -> list:
     """Start the stage-one streaming queries of all domains over one message
     stream, writing JSON topic folders under ``root``; all in append mode so
     each record is final (the leak stage can then join them exactly once).
+    ``watermark_per_sensor`` gives each gauge its own watermark, as one query
+    per topic would; then a sensor that never reports holds every window of
+    its domain open, so the default is one watermark per stream.
 
     Returns the started queries; wait with
     :func:`~gridsense.streaming.sinks.run_all`.
     """
     water_subs = registry.names(sensors, domain="water", kind="gauge")
     water_ctrs = registry.names(sensors, domain="water", kind="counter")
-    en = energy_job(messages, None, sensors, delay=gauge_delay, counter_delay=counter_delay)
-    te = temp_job(messages, sensors, delay=gauge_delay)
+    en = energy_job(messages, None, sensors, delay=gauge_delay, counter_delay=counter_delay,
+                    watermark_per_sensor=watermark_per_sensor)
+    te = temp_job(messages, sensors, delay=gauge_delay, watermark_per_sensor=watermark_per_sensor)
     wa = water_job(messages, sub_gt, None, water_subs, water_ctrs, accept_delay=accept_delay,
                    counter_delay=counter_delay, rejected_delay=rejected_delay)
     outs = {

@@ -136,3 +136,32 @@ def test_household_application_starts_all_queries(spark, workdir):
     assert sorted((r.Sensor, r.daily_diff) for r in etot.collect()) == [("Etot", 1000.0)] * 2
     temp = read_topic(spark, f"{workdir}/topics/daily_temp", "Sensor STRING, Day TIMESTAMP, Total DOUBLE")
     assert {(r.Sensor, r.Total) for r in temp.collect()} == {("TH1", 20.0)}
+
+
+def _lagging_batches():
+    # HVAC1 runs days ahead of MiAC1; MiAC1's next reading is then 2 days
+    # behind the shared watermark but on time for its own. (Lateness is
+    # judged by the watermark of the batch before, hence the batch between.)
+    return [[_gauge(1, 1, 1.0), _gauge(1, 1, 2.0, "MiAC1")],
+            [_gauge(5, 1, 1.0)],
+            [_gauge(6, 1, 1.0)],
+            [_gauge(2, 1, 2.0, "MiAC1")],
+            [_gauge(9, 1, 1.0), _gauge(9, 1, 2.0, "MiAC1")]]
+
+
+def _miac1_days(spark, workdir, each):
+    src = f"{workdir}/src"
+    _write_batches(spark, src, _lagging_batches())
+    stream = sensor_readings(read_messages(spark, src, stream=True, max_files_per_trigger=1))
+    out = run_available(gauge_daily(stream, delay="1 day", watermark_each=each), f"{workdir}/out",
+                        state_partitions=2)
+    return sorted(r.Day for r in spark.read.parquet(out).where("Sensor = 'MiAC1'").collect())
+
+
+def test_shared_watermark_drops_a_lagging_sensor(spark, workdir):
+    assert _miac1_days(spark, workdir, None) == [ts("2023-01-02 00:00:00")]
+
+
+def test_watermark_per_sensor_keeps_a_lagging_sensor(spark, workdir):
+    days = _miac1_days(spark, workdir, ["HVAC1", "MiAC1"])
+    assert days == [ts("2023-01-02 00:00:00"), ts("2023-01-03 00:00:00")]
