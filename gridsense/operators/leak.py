@@ -19,7 +19,7 @@ from gridsense.operators.rollup import _keys
 
 
 def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: str,
-                   cols: Sequence[str] | None = None) -> DataFrame:
+                   cols: Sequence[str] | None = None, keep_order: bool = False) -> DataFrame:
     """One row per key: the one with the greatest ``order`` (a revision or
     batch id). Later revisions replace earlier ones, as an upsert by key does.
 
@@ -28,11 +28,14 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: str,
     aggregate: a key with very many revisions never lands whole in one task
     (a ``row_number`` window would sort them all there). ``order`` must be
     unique within a key, as a batch id is, so that all columns come from the
-    same revision.
+    same revision. ``keep_order`` also returns the winning ``order``.
     """
     keys = _keys(keys)
     cols = [c for c in (cols or df.columns) if c not in keys and c != order]
-    return df.groupBy(*keys).agg(*[F.max_by(c, order).alias(c) for c in cols])
+    aggs = [F.max_by(c, order).alias(c) for c in cols]
+    if keep_order:
+        aggs.append(F.max(order).alias(order))
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def leak(sub_df: DataFrame, total_df: DataFrame, day: str = "Day", sub: str = "Totalw1",

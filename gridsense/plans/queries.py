@@ -24,7 +24,8 @@ from gridsense.plans import jobs
 from gridsense.session import ensure_utc, new_work_path
 from gridsense.sources import events as ev
 from gridsense.sources.io import read_dataset, read_messages, read_topic, write_messages
-from gridsense.streaming.sinks import REVISION, run_available, run_available_together
+from gridsense.streaming.sinks import (REVISION, read_revisions, run_available,
+                                      run_available_together)
 
 # Bounds of the reference's plausibility filters (Etot below 72000 per day,
 # W1 above 40 per day), kept as its jobs state them.
@@ -229,8 +230,7 @@ def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted, _ = _sub_readings(msgs)
     daily = _accepted_daily(accepted, delay=ACCEPT_DELAY)
     out = _run(daily, new_work_path(spark, "w1-rev"), mode="update")
-    revisions = spark.read.parquet(out)
-    return latest_per_key(revisions, "Day", REVISION, ["Totalw1"]).select(_ntz("Day"), "Totalw1")
+    return read_revisions(spark, out, ["Day"]).select(_ntz("Day"), "Totalw1")
 
 
 def stream_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ import contextlib
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridsense.functions.parse import encode_json
@@ -123,3 +124,62 @@ def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None,
             if q.isActive:
                 q.stop()
         raise
+
+
+# -- revision logs of update-mode sinks ---------------------------------------
+
+def _complete_ids(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Ids ``n`` of the complete (``_SUCCESS``) sub-folders ``<name>=<n>``."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return []
+    ids = []
+    for st in fs.listStatus(root):
+        sub = st.getPath().getName()
+        if sub.startswith(name + "=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            ids.append(int(sub[len(name) + 1:]))
+    return sorted(ids)
+
+
+def read_revisions(spark: SparkSession, path: str, keys: Sequence[str], revision: str = REVISION,
+                   upto: int | None = None, keep_revision: bool = False) -> DataFrame:
+    """The current rows of an update-mode sink: the newest snapshot (if any)
+    plus the batch folders after it, resolved to the last revision per key
+    (``upto``: as of that batch). Batch folders a snapshot covers are pruned
+    by the partition filter, never scanned."""
+    from gridsense.operators.leak import latest_per_key
+    path = path.rstrip("/")
+    batches = spark.read.parquet(path).withColumn(revision, F.col(revision).cast("long"))
+    if upto is not None:
+        batches = batches.where(F.col(revision) <= F.lit(upto))
+    snaps = [i for i in _complete_ids(spark, f"{path}_snapshots", "upto") if upto is None or i <= upto]
+    if snaps:
+        snap = spark.read.parquet(f"{path}_snapshots/upto={snaps[-1]}")
+        snap = snap.select(*[F.col(c).cast("long") if c == revision else F.col(c)
+                             for c in batches.columns])
+        batches = batches.where(F.col(revision) > F.lit(snaps[-1])).unionByName(snap)
+    return latest_per_key(batches, list(keys), revision, keep_order=keep_revision)
+
+
+def snapshot_revisions(spark: SparkSession, path: str, keys: Sequence[str],
+                       revision: str = REVISION) -> int | None:
+    """Write the current rows (last revision per key, with its batch id) of
+    an update-mode sink as a snapshot covering every complete batch so far;
+    returns that batch id.
+
+    Safe while the stream runs: the snapshot has its own folder
+    (``<path>_snapshots/upto=<batch id>``, valid once ``_SUCCESS`` is
+    written), so a replayed batch cannot overwrite it, and later batches are
+    still read from their own folders. Old batch folders may then be
+    removed by the usual retention job; readers no longer touch them.
+    """
+    path = path.rstrip("/")
+    ids = _complete_ids(spark, path, revision)
+    if not ids:
+        return None
+    upto = ids[-1]
+    cur = read_revisions(spark, path, keys, revision, upto=upto, keep_revision=True)
+    cur.write.mode("overwrite").parquet(f"{path}_snapshots/upto={upto}")
+    return upto

@@ -10,7 +10,8 @@ from gridsense.operators.rollup import daily_rollup
 from gridsense.plans.jobs import (SUB_SCHEMA, TOTAL_SCHEMA, gauge_daily, leak_job, sensor_readings,
                                   start_household)
 from gridsense.sources.io import read_messages, read_topic
-from gridsense.streaming.sinks import run_all, run_available, start_topic_sink
+from gridsense.streaming.sinks import (read_revisions, run_all, run_available, snapshot_revisions,
+                                      start_topic_sink)
 from tests.conftest import ts
 
 
@@ -165,3 +166,20 @@ def test_shared_watermark_drops_a_lagging_sensor(spark, workdir):
 def test_watermark_per_sensor_keeps_a_lagging_sensor(spark, workdir):
     days = _miac1_days(spark, workdir, ["HVAC1", "MiAC1"])
     assert days == [ts("2023-01-02 00:00:00"), ts("2023-01-03 00:00:00")]
+
+
+def test_revision_snapshot_then_later_batches(spark, workdir):
+    src, out = f"{workdir}/src", f"{workdir}/out"
+    ck = f"{workdir}/ck"
+    _write_batches(spark, src, [[_w1(1, 1, 10.0)], [_w1(1, 2, 15.0), _w1(2, 1, 50.0)]])
+    run_available(_accepted_stream(spark, src), out, mode="update", checkpoint=ck, state_partitions=2)
+    upto = snapshot_revisions(spark, out, ["Day"])  # last batch of the first run
+    _write_batches(spark, src, [[_w1(1, 3, 20.0)], [_w1(3, 1, 7.0)]])
+    run_available(_accepted_stream(spark, src), out, mode="update", checkpoint=ck, state_partitions=2)
+    got = sorted((r.Day, r.Totalw1) for r in read_revisions(spark, out, ["Day"]).collect())
+    want = sorted((r.Day, r.Totalw1) for r in latest_per_key(spark.read.parquet(out), "Day", "batch_id").collect())
+    assert got == want == [(ts("2023-01-02 00:00:00"), 45.0), (ts("2023-01-03 00:00:00"), 50.0),
+                           (ts("2023-01-04 00:00:00"), 7.0)]
+    # as of the snapshot's batch only
+    old = sorted((r.Day, r.Totalw1) for r in read_revisions(spark, out, ["Day"], upto=upto).collect())
+    assert old == [(ts("2023-01-02 00:00:00"), 25.0), (ts("2023-01-03 00:00:00"), 50.0)]
