@@ -6,7 +6,8 @@ many topics and rolls all its gauges up in one keyed aggregate, so a
 single shuffle serves all sensors of the domain. The same functions accept a
 batch DataFrame (a replay, a back-fill) or a streaming one.
 
-Store layout under a root folder (one dataset per collection):
+Store layout under a root folder (one dataset per collection, see
+:data:`LAYOUT`):
 
 =================  =====================================  ==============
 dataset            columns                                partitions
@@ -14,9 +15,9 @@ dataset            columns                                partitions
 ``raw``            Sensor, DateTime, value, domain        domain, Sensor
 ``daily``          Sensor, Day, Total                     Sensor
 ``counter_diff``   Sensor, Day, daily_diff                Sensor
-``accepted_daily`` Sensor, Day, Totalw1 (+ batch_id)      -
+``accepted_daily`` Sensor, Day, Totalw1                   Sensor
 ``rejected``       Sensor, RejectedEvent, RejectedVal     -
-``leak``           Day, LeakValue                         -
+``leak``           Meter, Day, LeakValue                  -
 =================  =====================================  ==============
 """
 
@@ -167,40 +168,78 @@ def leak_job(sub_records: DataFrame, total_records: DataFrame, watermark: str |
 
 # -- the whole application as streaming queries ------------------------------
 
+# The sub-meter whose leak against its meter the reference
+# computes (W1 against Wtot).
+LEAK_PAIRS = (("W1", "Wtot"),)
+DAILY_SCHEMA = "Sensor STRING, Day TIMESTAMP, Total DOUBLE"
+ACCEPTED_SCHEMA = "Sensor STRING, Day TIMESTAMP, Totalw1 DOUBLE"
+COUNTER_SCHEMA = "Sensor STRING, Day TIMESTAMP, daily_diff DOUBLE"
+
+
 def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
-                    gauge_delay: str = "1 second", accept_delay: str = "3 days",
-                    counter_delay: str = "1 second", rejected_delay: str = "1 hour",
-                    sub_gt: float | None = None, trigger: dict | None = None,
-                    state_partitions: int | None = None, name_prefix: str = "",
-                    watermark_per_sensor: bool = False) -> list:
-    """Start the stage-one streaming queries of all domains over one message
-    stream, writing JSON topic folders under ``root``; all in append mode so
-    each record is final (the leak stage can then join them exactly once).
-    ``watermark_per_sensor`` gives each gauge its own watermark, as one query
-    per topic would; then a sensor that never reports holds every window of
-    its domain open, so the default is one watermark per stream.
-
-    Returns the started queries; wait with
-    :func:`~gridsense.streaming.sinks.run_all`.
+                    late_sensors=None, gauge_delay: str = "1 second",
+                    accept_delay: str = "3 days", counter_delay: str = "1 second",
+                    rejected_delay: str = "1 hour", sub_gt: float | None = None,
+                    trigger: dict | None = None, state_partitions: int | None = None,
+                    name_prefix: str = "", watermark_per_sensor: bool = False) -> list:
+    """Start stage one of the application over one message stream: four
+    streaming queries, each one keyed aggregate over all its sensors, writing
+    JSON topic folders under ``root``:
+
+    * ``daily``: every gauge's daily sum or average (all domains at once);
+    * ``counter_diff``: every counter's daily difference (pairs only);
+    * ``accepted_daily`` / ``rejected``: the late-routed sub-meters
+      (``late_sensors``, default the water gauges).
+
+    The reference runs one query per sensor and aggregate (each reading its
+    source again); here the source is read once per query. All are in
+    append mode, so each record is final and the leak stage
+    (:func:`start_leak`) joins it once. ``watermark_per_sensor`` gives each
+    gauge its own watermark, as one query per topic would; then a sensor
+    that never reports holds every window open, so the default is one
+    watermark per query. Returns the started queries.
     """
-    water_subs = registry.names(sensors, domain="water", kind="gauge")
-    water_ctrs = registry.names(sensors, domain="water", kind="counter")
-    en = energy_job(messages, None, sensors, delay=gauge_delay, counter_delay=counter_delay,
-                    watermark_per_sensor=watermark_per_sensor)
-    te = temp_job(messages, sensors, delay=gauge_delay, watermark_per_sensor=watermark_per_sensor)
-    wa = water_job(messages, sub_gt, None, water_subs, water_ctrs, accept_delay=accept_delay,
-                   counter_delay=counter_delay, rejected_delay=rejected_delay)
+    late = list(late_sensors) if late_sensors is not None else \
+        registry.names(sensors, domain="water", kind="gauge")
+    gauges = [x.name for x in sensors if x.kind in ("gauge", "flag") and x.name not in late]
+    counters = registry.names(sensors, kind="counter")
+    accepted, rejected = split_late(sensor_readings(messages, late, numeric=False))
+    accepted_daily = daily_rollup(accepted, by="Sensor", delay=accept_delay, out="Totalw1")
+    if sub_gt is not None:
+        accepted_daily = plausible(accepted_daily, "Totalw1", gt=sub_gt)
     outs = {
-        "daily_energy": en["daily"], "counter_energy": en["counter_diff"],
-        "daily_temp": te["daily"],
-        "accepted_daily": wa["accepted_daily"], "counter_water": wa["counter_diff"],
-        "rejected": wa["rejected"],
+        "daily": gauge_daily(sensor_readings(messages, gauges), sensors, delay=gauge_delay,
+                             watermark_each=gauges if watermark_per_sensor else None),
+        "counter_diff": counter_daily_diff(sensor_readings(messages, counters), by="Sensor",
+                                           delay=counter_delay),
+        "accepted_daily": accepted_daily,
+        "rejected": rejected_rollup(rejected.where(F.col("NumVal").isNotNull()), by="Sensor",
+                                    delay=rejected_delay),
     }
     kw = dict(mode="append", fmt="json", trigger=trigger, state_partitions=state_partitions)
     return [start_topic_sink(df, f"{root}/{name}", query_name=f"{name_prefix}{name}", **kw)
             for name, df in outs.items()]
 
 
+def start_leak(spark: SparkSession, root: str, pairs=LEAK_PAIRS, watermark: str = "5 seconds",
+               trigger: dict | None = None, state_partitions: int | None = None,
+               name_prefix: str = ""):
+    """Start stage two: stream-stream join of the ``accepted_daily`` and
+    ``counter_diff`` topics under ``root``, each sub-meter against its meter,
+    into ``<root>/leak`` as ``(Meter, Day, LeakValue)`` records."""
+    from gridsense.sources.io import read_topic
+    meter_of = registry.map_literal(pairs)
+    sub = read_topic(spark, f"{root}/accepted_daily", ACCEPTED_SCHEMA, stream=True)
+    sub = sub.where(F.col("Sensor").isin([a for a, _ in pairs])) \
+        .select(F.element_at(meter_of, F.col("Sensor")).alias("Meter"), "Day", "Totalw1")
+    total = read_topic(spark, f"{root}/counter_diff", COUNTER_SCHEMA, stream=True)
+    total = total.where(F.col("Sensor").isin([b for _, b in pairs])) \
+        .select(F.col("Sensor").alias("Meter"), "Day", "daily_diff")
+    joined = leak(sub, total, by="Meter", watermark=watermark)
+    return start_topic_sink(joined, f"{root}/leak", mode="append", fmt="json", trigger=trigger,
+                            state_partitions=state_partitions, query_name=f"{name_prefix}leak")
+
+
 # -- dashboard panels ---------------------------------------------------------
 
 # The dashboard's six panels: dataset, sensor filter, time column.
@@ -212,6 +251,33 @@ PANELS = {
     "etot_diff": ("counter_diff", "Etot", "Day"),
     "water_leak": ("leak", None, "Day"),
 }
+# Partition columns of each stored dataset.
+LAYOUT = {
+    "raw": ("domain", "Sensor"),
+    "daily": ("Sensor",),
+    "counter_diff": ("Sensor",),
+    "accepted_daily": ("Sensor",),
+    "rejected": (),
+    "leak": (),
+}
+TOPIC_SCHEMAS = {
+    "daily": DAILY_SCHEMA,
+    "counter_diff": COUNTER_SCHEMA,
+    "accepted_daily": ACCEPTED_SCHEMA,
+    "rejected": "Sensor STRING, RejectedEvent TIMESTAMP, RejectedVal DOUBLE",
+    "leak": "Meter STRING, Day TIMESTAMP, LeakValue DOUBLE",
+}
+
+
+def store_topics(spark: SparkSession, topics_root: str, store_root: str,
+                 names=("daily", "counter_diff", "accepted_daily", "rejected", "leak")) -> None:
+    """Keep JSON topic folders as typed Parquet datasets (the store's sink
+    connectors): each record decoded with its schema, time fields typed,
+    partitioned as :data:`LAYOUT` says."""
+    from gridsense.sources.io import read_topic
+    for name in names:
+        df = read_topic(spark, f"{topics_root}/{name}", TOPIC_SCHEMAS[name])
+        append_dataset(df, f"{store_root}/{name}", partition_by=LAYOUT[name])
 
 
 def panel(spark: SparkSession, root: str, name: str, start=None, end=None,
@@ -220,7 +286,8 @@ def panel(spark: SparkSession, root: str, name: str, start=None, end=None,
     dashboard's time range (both pushed to the scan)."""
     dataset, default_sensor, ts = panels[name]
     df = read_dataset(spark, f"{root}/{dataset}", sensor=sensor or default_sensor,
-                      start=start, end=end, ts=ts)
+                      start=start, end=end, ts=ts,
+                      sensor_col="Meter" if dataset == "leak" else "Sensor")
     if dataset == "accepted_daily" and REVISION in df.columns:
         df = latest_per_key(df, ["Sensor", "Day"], REVISION)
     return df

@@ -7,8 +7,9 @@ from gridsense.operators.counter import counter_daily_diff
 from gridsense.operators.late import split_late
 from gridsense.operators.leak import latest_per_key
 from gridsense.operators.rollup import daily_rollup
-from gridsense.plans.jobs import (SUB_SCHEMA, TOTAL_SCHEMA, gauge_daily, leak_job, sensor_readings,
-                                  start_household)
+from gridsense.plans.jobs import (COUNTER_SCHEMA, DAILY_SCHEMA, SUB_SCHEMA, TOPIC_SCHEMAS,
+                                  TOTAL_SCHEMA, gauge_daily, leak_job, panel, sensor_readings,
+                                  start_household, start_leak, store_topics)
 from gridsense.sources.io import read_messages, read_topic
 from gridsense.streaming.sinks import (read_revisions, run_all, run_available, snapshot_revisions,
                                       start_topic_sink)
@@ -123,20 +124,29 @@ def _household_rows(d):
             ("IoT/energy/Etot", f"2023-01-{d:02d} 00:00:00 | {1000.0 * d}")]
 
 
-def test_household_application_starts_all_queries(spark, workdir):
-    src = f"{workdir}/src"
+def test_household_application_end_to_end(spark, workdir):
+    src, topics, store = f"{workdir}/src", f"{workdir}/topics", f"{workdir}/store"
     _write_batches(spark, src, [[r for d in range(1, 6) for r in _household_rows(d)]])
-    qs = start_household(read_messages(spark, src, stream=True), f"{workdir}/topics",
-                         trigger={"availableNow": True}, state_partitions=2, name_prefix="t_")
+    once = {"trigger": {"availableNow": True}, "state_partitions": 2, "name_prefix": "t_"}
+    qs = start_household(read_messages(spark, src, stream=True), topics, **once)
+    assert len(qs) == 4  # one query per keyed aggregate, not per sensor
     for q in qs:
         q.awaitTermination()
-    run_all(qs, timeout=1)
-    daily = read_topic(spark, f"{workdir}/topics/daily_energy", "Sensor STRING, Day TIMESTAMP, Total DOUBLE")
-    assert {(r.Sensor, r.Total) for r in daily.collect()} == {("HVAC1", 1.0), ("MiAC1", 3.0)}
-    etot = read_topic(spark, f"{workdir}/topics/counter_energy", "Sensor STRING, Day DATE, daily_diff DOUBLE")
-    assert sorted((r.Sensor, r.daily_diff) for r in etot.collect()) == [("Etot", 1000.0)] * 2
-    temp = read_topic(spark, f"{workdir}/topics/daily_temp", "Sensor STRING, Day TIMESTAMP, Total DOUBLE")
-    assert {(r.Sensor, r.Total) for r in temp.collect()} == {("TH1", 20.0)}
+    lq = start_leak(spark, topics, **once)
+    lq.awaitTermination()
+    run_all([*qs, lq], timeout=1)
+    daily = read_topic(spark, f"{topics}/daily", DAILY_SCHEMA)
+    assert {(r.Sensor, r.Total) for r in daily.collect()} == {("HVAC1", 1.0), ("MiAC1", 3.0), ("TH1", 20.0)}
+    diffs = read_topic(spark, f"{topics}/counter_diff", COUNTER_SCHEMA)
+    assert sorted((r.Sensor, r.daily_diff) for r in diffs.collect()) == \
+        [("Etot", 1000.0)] * 2 + [("Wtot", 100.0)] * 2
+    # W1 day ending 01-02 is closed (3-day watermark); Wtot pairs 01-02, 01-03
+    leak = read_topic(spark, f"{topics}/leak", TOPIC_SCHEMAS["leak"])
+    assert [tuple(r) for r in leak.collect()] == [("Wtot", ts("2023-01-02 00:00:00"), 99.5)]
+    store_topics(spark, topics, store)
+    assert panel(spark, store, "water_leak").count() == 1
+    assert {r.daily_diff for r in panel(spark, store, "etot_diff").collect()} == {1000.0}
+    assert panel(spark, store, "late_rejected").count() == 0
 
 
 def _lagging_batches():
