@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsense import registry
-from gridsense.functions.parse import drop_invalid, parse_reading, raw_envelope, sensor_from_topic
+from gridsense.functions.parse import (PAYLOAD_SEP, drop_invalid, parse_reading, payload_field,
+                                       raw_envelope, sensor_from_topic, strict_double)
 from gridsense.operators.counter import SINGLE_DROP, SINGLE_VALUE, counter_daily_diff
 from gridsense.operators.late import split_late
 from gridsense.operators.leak import latest_per_key, leak
@@ -72,17 +73,29 @@ def as_reference_record(df: DataFrame, sensor: str, value: str = "Total") -> Dat
 
 # -- raw path ---------------------------------------------------------------
 
-def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD) -> DataFrame:
+def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD, with_rejects: bool = False):
     """Raw messages -> typed envelopes ``(Sensor, DateTime, value, domain)``.
 
     Rows whose value is not a plain number are dropped in every domain (the
     reference drops them for water only and fails on them elsewhere). The
     device's time text becomes a TIMESTAMP, as the store's time-field
-    conversion does.
+    conversion does. ``with_rejects=True`` returns ``(envelopes, rejects)``:
+    the dropped messages as ``(topic, payload, reason)``, to count or to keep
+    in a dead-letter folder; both are filters of the same input.
     """
     env = raw_envelope(messages, sensors=sensors)
-    return env.select("Sensor", F.try_to_timestamp("DateTime").alias("DateTime"), "value",
-                      "domain").where(F.col("DateTime").isNotNull())
+    env = env.select("Sensor", F.try_to_timestamp("DateTime").alias("DateTime"), "value",
+                     "domain").where(F.col("DateTime").isNotNull())
+    if not with_rejects:
+        return env
+    ts_text, val_text = payload_field("payload", 0), payload_field("payload", 1)
+    reason = (F.when(F.col("payload").isNull() | ~F.col("payload").contains(PAYLOAD_SEP),
+                     F.lit("no separator"))
+              .when(F.try_to_timestamp(ts_text).isNull(), F.lit("bad time"))
+              .when(strict_double(val_text).isNull(), F.lit("bad value")))
+    rejects = messages.select("topic", "payload", reason.alias("reason")) \
+        .where(F.col("reason").isNotNull())
+    return env, rejects
 
 
 def store_raw(envelopes: DataFrame, path: str, mode: str = "append") -> str:

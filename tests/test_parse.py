@@ -69,3 +69,18 @@ def test_format_payload_matches_device_text(spark):
                     format_payload(F.to_timestamp("t"), "v", F.lit(True)).alias("f")).collect()[0]
     assert out.p == "2023-01-01 00:15:00 | 42.5"
     assert out.f == "2023-01-01 00:15:00 | 42.5f"
+
+
+def test_ingest_routes_rejects_with_reason(spark):
+    m = spark.createDataFrame([
+        ("IoT/water/W1", "2023-01-01 00:15:00 | 0.5"),
+        ("IoT/water/W1", "2022-12-22 05:03:00 | 0.44f"),
+        ("IoT/energy/Etot", "bad"),
+        ("IoT/temperature/TH1", "yesterday | 21.3"),
+    ], "topic STRING, payload STRING")
+    env, rej = ingest_raw(m, with_rejects=True)
+    assert env.count() == 1
+    assert sorted((r.payload, r.reason) for r in rej.collect()) == [
+        ("2022-12-22 05:03:00 | 0.44f", "bad value"), ("bad", "no separator"),
+        ("yesterday | 21.3", "bad time")]
+    assert env.count() + rej.count() == m.count()
