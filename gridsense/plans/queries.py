@@ -25,7 +25,7 @@ from gridsense.session import ensure_utc, new_work_path
 from gridsense.sources import events as ev
 from gridsense.sources.io import read_dataset, read_messages, read_topic, write_messages
 from gridsense.streaming.sinks import (REVISION, read_revisions, run_available,
-                                      run_available_together)
+                                      run_available_together, state_partitions_for)
 
 # Bounds of the reference's plausibility filters (Etot below 72000 per day,
 # W1 above 40 per day), kept as its jobs state them.
@@ -55,13 +55,15 @@ def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-def _state_partitions(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
+def _run(df: DataFrame, path: str, inputs: list[str], **kw) -> str:
+    """Run a stream over what is available; its state partitions are sized
+    by the input folders it reads."""
+    kw.setdefault("state_partitions", state_partitions_for(df.sparkSession, *inputs))
+    return run_available(df, path, timeout=STREAM_TIMEOUT, **kw)
 
 
-def _run(df: DataFrame, path: str, **kw) -> str:
-    kw.setdefault("state_partitions", _state_partitions(df.sparkSession))
-    return run_available(df, path, timeout=STREAM_TIMEOUT, **kw)
+def _events(sf_dir: str) -> list[str]:
+    return [f"{sf_dir}/events.parquet"]
 
 
 # -- building blocks shared by several queries ---------------------------------
@@ -209,18 +211,18 @@ def panel_daily_avg_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- streaming queries ----------------------------------------------------------
 
-def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
+def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Store derived messages (the meter's) as a source folder and open it
     as a stream; device messages are streamed from the table itself."""
     path = write_messages(messages, new_work_path(spark, f"{name}-src"))
-    return read_messages(spark, path, stream=True)
+    return read_messages(spark, path, stream=True), path
 
 
 def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True, stream=True)
     daily = jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS, delay=GAUGE_DELAY)
-    out = _run(daily, new_work_path(spark, "daily-out"))
+    out = _run(daily, new_work_path(spark, "daily-out"), _events(sf_dir))
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "Total")
 
 
@@ -229,7 +231,7 @@ def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(msgs)
     daily = _accepted_daily(accepted, delay=ACCEPT_DELAY)
-    out = _run(daily, new_work_path(spark, "w1-rev"), mode="update")
+    out = _run(daily, new_work_path(spark, "w1-rev"), _events(sf_dir), mode="update")
     return read_revisions(spark, out, ["Day"]).select(_ntz("Day"), "Totalw1")
 
 
@@ -239,15 +241,16 @@ def stream_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     _, rejected = _sub_readings(msgs)
-    out = _run(rejected_rollup(rejected, delay=REJECTED_DELAY), new_work_path(spark, "rejected-out"))
+    out = _run(rejected_rollup(rejected, delay=REJECTED_DELAY), new_work_path(spark, "rejected-out"),
+               _events(sf_dir))
     return spark.read.parquet(out).select(_ntz("RejectedEvent"), "RejectedVal")
 
 
 def stream_counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    msgs = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
+    msgs, src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
     diff = _counter_pairs(jobs.sensor_readings(msgs), delay=GAUGE_DELAY)
-    out = _run(diff, new_work_path(spark, "meter-out"))
+    out = _run(diff, new_work_path(spark, "meter-out"), [src])
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "daily_diff")
 
 
@@ -259,18 +262,19 @@ def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     w1 = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(w1)
-    meter = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
-    parts = {"state_partitions": _state_partitions(spark), "fmt": "json"}
+    meter, meter_src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
     sub_topic, total_topic = run_available_together([
         (_accepted_daily(accepted, delay=ACCEPT_DELAY), new_work_path(spark, "aggday-sub"),
-         {**parts, "json_cols": ["Day", "Totalw1"]}),
+         {"fmt": "json", "json_cols": ["Day", "Totalw1"],
+          "state_partitions": state_partitions_for(spark, *_events(sf_dir))}),
         (_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
-         new_work_path(spark, "agg-total"), {**parts, "json_cols": ["Day", "daily_diff"]}),
+         new_work_path(spark, "agg-total"), {"fmt": "json", "json_cols": ["Day", "daily_diff"],
+                                             "state_partitions": state_partitions_for(spark, meter_src)}),
     ], timeout=STREAM_TIMEOUT)
     sub = read_topic(spark, sub_topic, jobs.SUB_SCHEMA, stream=True)
     total = read_topic(spark, total_topic, jobs.TOTAL_SCHEMA, stream=True)
     joined = jobs.leak_job(sub, total, watermark=JOIN_DELAY)
-    out = _run(joined, new_work_path(spark, "leak-out"))
+    out = _run(joined, new_work_path(spark, "leak-out"), [sub_topic, total_topic])
     return spark.read.parquet(out).select(_ntz("Day"), "LeakValue")
 
 

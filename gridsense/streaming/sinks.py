@@ -42,6 +42,23 @@ def _shuffle_partitions(spark: SparkSession, n: int | None):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def state_partitions_for(spark: SparkSession, *paths: str) -> int:
+    """State-store partitions for a run over the given input folders: one per
+    advisory partition size of input (as AQE sizes shuffle partitions), at
+    least 1 and at most the cluster's parallelism. The count is fixed in the
+    query's checkpoint, so a live stream that will grow should be given an
+    explicit number instead."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    size = 0
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        size += path.getFileSystem(conf).getContentSummary(path).getLength()
+    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
+    target = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory)
+    return int(max(1, min(spark.sparkContext.defaultParallelism, -(-size // target))))
+
+
 def _revision_writer(path: str, fmt: str, revision: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").format(fmt).save(f"{path}/{revision}={batch_id}")
