@@ -12,7 +12,7 @@ Store layout under a root folder (one dataset per collection, see
 =================  =====================================  ==============
 dataset            columns                                partitions
 =================  =====================================  ==============
-``raw``            Sensor, DateTime, value, domain        domain, Sensor
+``raw``            Sensor, DateTime, value, domain        domain, Sensor, date
 ``daily``          Sensor, Day, Total                     Sensor
 ``counter_diff``   Sensor, Day, daily_diff                Sensor
 ``accepted_daily`` Sensor, Day, Totalw1                   Sensor
@@ -36,6 +36,8 @@ from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
 from gridsense.sources.io import append_dataset, read_dataset
 from gridsense.streaming.sinks import REVISION, start_topic_sink
 
+DAY_PARTITION = "date"
+
 # Record schemas of the two topics the leak job reads.
 SUB_SCHEMA = "Day TIMESTAMP, Totalw1 DOUBLE"
 TOTAL_SCHEMA = "Day TIMESTAMP, daily_diff DOUBLE"
@@ -98,10 +100,15 @@ def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD, with_rejects: bo
     return env, rejects
 
 
-def store_raw(envelopes: DataFrame, path: str, mode: str = "append") -> str:
-    """Append envelopes to the raw dataset, partitioned by domain and sensor."""
-    return append_dataset(envelopes, path, partition_by=("domain", "Sensor"),
-                          sort_within=("DateTime",), mode=mode)
+def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_day: bool = True) -> str:
+    """Append envelopes to the raw dataset, partitioned by domain, sensor and
+    (``by_day``) UTC day, so that a time-range read prunes whole folders
+    instead of opening every file of the sensor."""
+    parts = ("domain", "Sensor")
+    if by_day:
+        envelopes = envelopes.withColumn(DAY_PARTITION, F.to_date("DateTime"))
+        parts = (*parts, DAY_PARTITION)
+    return append_dataset(envelopes, path, partition_by=parts, sort_within=("DateTime",), mode=mode)
 
 
 def store_daily(daily: DataFrame, path: str, mode: str = "append") -> str:
@@ -266,7 +273,7 @@ PANELS = {
 }
 # Partition columns of each stored dataset.
 LAYOUT = {
-    "raw": ("domain", "Sensor"),
+    "raw": ("domain", "Sensor", DAY_PARTITION),
     "daily": ("Sensor",),
     "counter_diff": ("Sensor",),
     "accepted_daily": ("Sensor",),

@@ -41,6 +41,7 @@ def test_dataset_read_prunes_partitions_and_pushes_range(spark, workdir):
     df = read_dataset(spark, f"{workdir}/raw", sensor="click", start="2024-01-03", end="2024-01-04")
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Sensor" in p and "(Sensor#" in p
+    assert "(date#" in p and ">= 2024-01-03)" in p and "<= 2024-01-04)" in p  # day folders pruned
     assert "GreaterThanOrEqual(DateTime" in p and "LessThanOrEqual(DateTime" in p
 
 
