@@ -67,20 +67,20 @@ def event_messages(spark: SparkSession, sf_dir: str, sensors=GAUGES,
     ``stream`` gives a streaming DataFrame over the table.
     """
     ev = load_events(spark, sf_dir, stream)
-    parts = []
+    flag = late_flag() if flag_late else None
+    topic = _topic_of(F.col("event_type")).alias("topic")
+    payload = format_payload("ts", "value", flag).alias("payload")
+    if not motion:
+        return ev.where(F.col("event_type").isin(list(sensors))).select(topic, payload)
+    # Both messages of an event from one scan of the table: a gauge reading
+    # (when its type is a listed sensor) and the 0/1 motion reading.
+    mv = F.when(F.col("event_type") == MOTION_SOURCE, 1.0).otherwise(0.0)
+    moved = F.struct(_topic_of(F.lit(MOTION)).alias("topic"), format_payload("ts", mv).alias("payload"))
+    cands = [moved]
     if sensors:
-        g = ev.where(F.col("event_type").isin(list(sensors)))
-        flag = late_flag() if flag_late else None
-        parts.append(g.select(_topic_of(F.col("event_type")).alias("topic"),
-                              format_payload("ts", "value", flag).alias("payload")))
-    if motion:
-        mv = F.when(F.col("event_type") == MOTION_SOURCE, 1.0).otherwise(0.0)
-        parts.append(ev.select(_topic_of(F.lit(MOTION)).alias("topic"),
-                               format_payload("ts", mv).alias("payload")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        cands.insert(0, F.when(F.col("event_type").isin(list(sensors)), F.struct(topic, payload)))
+    return ev.select(F.explode(F.array(*cands)).alias("m")).where(F.col("m").isNotNull()) \
+        .select("m.topic", "m.payload")
 
 
 def counter_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
