@@ -12,7 +12,7 @@ Store layout under a root folder (one dataset per collection, see
 =================  =====================================  ==============
 dataset            columns                                partitions
 =================  =====================================  ==============
-``raw``            Sensor, DateTime, value, domain        domain, Sensor, date
+``raw``            Sensor, DateTime, value, domain        domain, Sensor, month
 ``daily``          Sensor, Day, Total                     Sensor
 ``counter_diff``   Sensor, Day, daily_diff                Sensor
 ``accepted_daily`` Sensor, Day, Totalw1                   Sensor
@@ -36,7 +36,7 @@ from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
 from gridsense.sources.io import append_dataset, read_dataset
 from gridsense.streaming.sinks import REVISION, start_topic_sink
 
-DAY_PARTITION = "date"
+PERIOD_PARTITION = "month"  # first day of the UTC month, a DATE
 
 # Record schemas of the two topics the leak job reads.
 SUB_SCHEMA = "Day TIMESTAMP, Totalw1 DOUBLE"
@@ -100,14 +100,15 @@ def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD, with_rejects: bo
     return env, rejects
 
 
-def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_day: bool = True) -> str:
+def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_month: bool = True) -> str:
     """Append envelopes to the raw dataset, partitioned by domain, sensor and
-    (``by_day``) UTC day, so that a time-range read prunes whole folders
-    instead of opening every file of the sensor."""
+    (``by_month``) UTC month, so that a time-range read over a long history
+    opens only the month folders it needs; inside them, files sorted by time
+    let row-group statistics skip the rest."""
     parts = ("domain", "Sensor")
-    if by_day:
-        envelopes = envelopes.withColumn(DAY_PARTITION, F.to_date("DateTime"))
-        parts = (*parts, DAY_PARTITION)
+    if by_month:
+        envelopes = envelopes.withColumn(PERIOD_PARTITION, F.trunc(F.to_date("DateTime"), "month"))
+        parts = (*parts, PERIOD_PARTITION)
     return append_dataset(envelopes, path, partition_by=parts, sort_within=("DateTime",), mode=mode)
 
 
@@ -273,7 +274,7 @@ PANELS = {
 }
 # Partition columns of each stored dataset.
 LAYOUT = {
-    "raw": ("domain", "Sensor", DAY_PARTITION),
+    "raw": ("domain", "Sensor", PERIOD_PARTITION),
     "daily": ("Sensor",),
     "counter_diff": ("Sensor",),
     "accepted_daily": ("Sensor",),

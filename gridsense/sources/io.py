@@ -7,7 +7,7 @@ stand-ins for storage with an append log; here they are folders:
   plain text lines of one topic;
 * a *topic* folder holds one JSON record per line (``to_json`` output);
 * a *dataset* is Parquet, partitioned by sensor (raw readings also by
-  domain and day), read back with partition pruning and pushed-down
+  domain and month), read back with partition pruning and pushed-down
   time-range filters.
 
 ``fmt="kafka"`` (or any other streaming connector) passes options through
@@ -105,12 +105,13 @@ def append_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = ("Sen
 def read_dataset(spark: SparkSession, path: str, sensor: str | Sequence[str] | None = None,
                  start=None, end=None, ts: str = "DateTime", sensor_col: str = "Sensor",
                  fmt: str = "parquet", schema: StructType | str | None = None,
-                 day_col: str = "date") -> DataFrame:
+                 month_col: str = "month") -> DataFrame:
     """Scan a stored dataset, optionally for some sensors and a time range.
 
     The sensor filter prunes partition folders; the range (both ends
     inclusive, as a dashboard range) is pushed to the Parquet scan and, when
-    the dataset is partitioned by day (``day_col``), prunes day folders too.
+    the dataset is partitioned by month (``month_col``, first day of the
+    month), prunes month folders too.
     """
     r = spark.read.format(fmt)
     if schema is not None:
@@ -119,15 +120,15 @@ def read_dataset(spark: SparkSession, path: str, sensor: str | Sequence[str] | N
     if sensor is not None:
         sensors = [sensor] if isinstance(sensor, str) else list(sensor)
         df = df.where(F.col(sensor_col).isin(sensors))
-    by_day = day_col in df.columns
+    by_month = month_col in df.columns
     if start is not None:
         lo = F.lit(start).cast("timestamp")
         df = df.where(F.col(ts) >= lo)
-        if by_day:
-            df = df.where(F.col(day_col) >= F.to_date(lo))
+        if by_month:
+            df = df.where(F.col(month_col) >= F.trunc(F.to_date(lo), "month"))
     if end is not None:
         hi = F.lit(end).cast("timestamp")
         df = df.where(F.col(ts) <= hi)
-        if by_day:
-            df = df.where(F.col(day_col) <= F.to_date(hi))
+        if by_month:
+            df = df.where(F.col(month_col) <= F.trunc(F.to_date(hi), "month"))
     return df

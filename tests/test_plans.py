@@ -38,10 +38,11 @@ def test_latest_per_key_no_sort_no_window(spark):
 def test_dataset_read_prunes_partitions_and_pushes_range(spark, workdir):
     env = jobs.ingest_raw(ev.event_messages(spark, SF001), sensors=ev.EVENT_SENSORS)
     jobs.store_raw(env, f"{workdir}/raw")
-    df = read_dataset(spark, f"{workdir}/raw", sensor="click", start="2024-01-03", end="2024-01-04")
+    df = read_dataset(spark, f"{workdir}/raw", sensor="click", start="2024-02-03", end="2024-02-04")
     p = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(Sensor" in p and "(Sensor#" in p
-    assert "(date#" in p and ">= 2024-01-03)" in p and "<= 2024-01-04)" in p  # day folders pruned
+    assert "(month#" in p and ">= 2024-02-01)" in p and "<= 2024-02-01)" in p  # month folders pruned
+    assert df.count() == 0  # no folder of February: nothing read
     assert "GreaterThanOrEqual(DateTime" in p and "LessThanOrEqual(DateTime" in p
 
 
