@@ -84,3 +84,23 @@ def test_ingest_routes_rejects_with_reason(spark):
         ("2022-12-22 05:03:00 | 0.44f", "bad value"), ("bad", "no separator"),
         ("yesterday | 21.3", "bad time")]
     assert env.count() + rej.count() == m.count()
+
+
+def _py_float(t):
+    try:
+        return float(t)
+    except ValueError:
+        return None
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="0123456789+-.eEf ", max_size=8), min_size=1, max_size=200))
+def test_strict_double_follows_python_float(spark, texts):
+    from gridsense.functions.parse import strict_double
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    got = [r.v for r in df.select(strict_double("t").alias("v")).collect()]
+    assert got == [_py_float(t) for t in texts]
