@@ -49,7 +49,8 @@ def leak(sub_df: DataFrame, total_df: DataFrame, day: str = "Day", sub: str = "T
     * ``revision``: both sides are revision logs (update-mode output); the
       last revision per day is taken before the join, so a day gives one row.
     * ``watermark``: stream-stream inner join (append mode), both sides
-      watermarked on their day label.
+      watermarked on their day label; the query's watermark follows the
+      slower side, so a day's state is dropped once both have passed it.
     """
     keys = _keys(by)
     if revision is not None:
