@@ -71,6 +71,14 @@ LEAK = f"""
   SELECT a.Day, round(p.daily_diff - a.Totalw1, 2) AS LeakValue
   FROM ({ACCEPTED}) a JOIN ({COUNTER_PAIRS}) p ON a.Day = p.Day"""
 
+# Leak days both stage-one watermarks have closed: the sub-meter's accepted
+# sums (3 days behind its last accepted reading) and the meter's pairs.
+STREAM_LEAK = f"""
+  SELECT * FROM ({LEAK}) l
+  WHERE Day <= (SELECT max(date_trunc('second', ts)) FROM events
+                WHERE event_type = {SUB} AND NOT {FLAGGED}) - INTERVAL '{q.ACCEPT_DELAY}'
+    AND Day + INTERVAL 1 DAY <= (SELECT max(t) FROM ({COUNTER}) c) - INTERVAL '{q.GAUGE_DELAY}'"""
+
 ORACLE: dict[str, str] = {
     "parse_reading": f"""
       SELECT event_type AS Sensor, date_trunc('second', ts) AS DateTime, value AS NumVal
@@ -137,9 +145,8 @@ ORACLE: dict[str, str] = {
     "stream_counter_diff": f"""
       SELECT * FROM ({COUNTER_PAIRS}) p
       WHERE Day + INTERVAL 1 DAY <= (SELECT max(t) FROM ({COUNTER}) c) - INTERVAL '{q.GAUGE_DELAY}'""",
-    "stream_leak": f"""
-      SELECT * FROM ({LEAK}) l
-      WHERE Day <= (SELECT max(date_trunc('second', ts)) FROM events
-                    WHERE event_type = {SUB} AND NOT {FLAGGED}) - INTERVAL '{q.ACCEPT_DELAY}'
-        AND Day + INTERVAL 1 DAY <= (SELECT max(t) FROM ({COUNTER}) c) - INTERVAL '{q.GAUGE_DELAY}'""",
+    "stream_leak": STREAM_LEAK,
+    # The same leak through the whole application, labelled by its meter.
+    "stream_household": f"""
+      SELECT '{ev.COUNTER}' AS Meter, Day, LeakValue FROM ({STREAM_LEAK}) s""",
 }

@@ -278,6 +278,32 @@ def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).select(_ntz("Day"), "LeakValue")
 
 
+def stream_household_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole streaming application on the stand-in sensors: stage one
+    (four keyed queries over one message stream: the table's device messages
+    united with the meter's) into JSON topics, then the stage-two leak
+    stream, read back from its topic."""
+    ensure_utc(spark)
+    device = ev.event_messages(spark, sf_dir, motion=True, stream=True)
+    meter, meter_src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
+    root = new_work_path(spark, "household")
+    once = {"trigger": {"availableNow": True},
+            "state_partitions": state_partitions_for(spark, *_events(sf_dir), meter_src)}
+    stage_one = jobs.start_household(device.unionByName(meter), root, sensors=ev.EVENT_SENSORS,
+                                     late_sensors=(ev.SUB_METER,), gauge_delay=GAUGE_DELAY,
+                                     accept_delay=ACCEPT_DELAY, counter_delay=GAUGE_DELAY,
+                                     rejected_delay=REJECTED_DELAY, sub_gt=SUB_GT, **once)
+    for q in stage_one:
+        if q.awaitTermination(STREAM_TIMEOUT) is False:
+            raise TimeoutError("stage one did not finish")
+    lq = jobs.start_leak(spark, root, pairs=((ev.SUB_METER, ev.COUNTER),), watermark=JOIN_DELAY,
+                         **once)
+    if lq.awaitTermination(STREAM_TIMEOUT) is False:
+        raise TimeoutError("leak stage did not finish")
+    leak_rows = read_topic(spark, f"{root}/leak", jobs.TOPIC_SCHEMAS["leak"])
+    return leak_rows.select("Meter", _ntz("Day"), "LeakValue")
+
+
 QUERIES: dict[str, Query] = {
     "parse_reading": parse_reading_q,
     "raw_envelope": raw_envelope_q,
@@ -299,4 +325,5 @@ QUERIES: dict[str, Query] = {
     "stream_rejected": stream_rejected_q,
     "stream_counter_diff": stream_counter_diff_q,
     "stream_leak": stream_leak_q,
+    "stream_household": stream_household_q,
 }
