@@ -74,13 +74,16 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
 
     ``fmt="json"`` stores one JSON record per line in a text folder (a
     topic, readable with :func:`~gridsense.sources.io.read_topic`);
-    ``json_cols`` picks and orders the record fields. ``trigger`` is passed
+    ``json_cols`` picks and orders the record fields, and ``partition_by``
+    columns become sub-folders (e.g. one raw topic per domain). ``trigger`` is passed
     to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``).
     """
     spark = df.sparkSession
     checkpoint = checkpoint or path.rstrip("/") + ".checkpoint"
     if fmt == "json":
-        df = encode_json(df, json_cols)
+        keep = list(partition_by or [])
+        cols = json_cols or [c for c in df.columns if c not in keep]
+        df = encode_json(df, cols, keep=keep)
         fmt = "text"
     w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     if query_name:

@@ -146,3 +146,20 @@ def test_app_catch_up_run(spark, workdir):
     # equal to the batch result.
     assert sorted(r.Day for r in leak) == [dt.datetime(2023, 1, d) for d in range(2, 6)]
     assert all(batch[r.Day] == r.LeakValue and r.Meter == "Wtot" for r in leak)
+
+
+def test_raw_topics_per_domain(spark, workdir):
+    from gridsense.sources.io import read_topic
+    src = f"{workdir}/src"
+    spark.createDataFrame(_fixture(), "topic STRING, payload STRING").write.parquet(src)
+    from gridsense.functions.parse import raw_envelope
+    env = raw_envelope(read_messages(spark, src, stream=True))
+    run_available(env, f"{workdir}/raw", fmt="json", partition_by=["domain"],
+                  json_cols=["Sensor", "DateTime", "value"], state_partitions=1)
+    recs = read_topic(spark, f"{workdir}/raw", "Sensor STRING, DateTime STRING, value DOUBLE",
+                      keep=["domain"])
+    got = {(r.domain, r.Sensor) for r in recs.select("domain", "Sensor").distinct().collect()}
+    assert got == {("energy", "HVAC1"), ("energy", "MiAC2"), ("energy", "Etot"), ("water", "W1"),
+                   ("water", "Wtot"), ("temp", "TH1"), ("temp", "TH2"), ("temp", "Mov1")}
+    text = spark.read.text(f"{workdir}/raw/domain=water").first().value
+    assert text.startswith('{"Sensor":') and '"DateTime":"2023-' in text
