@@ -5,8 +5,8 @@
 * update / complete mode goes through ``foreachBatch``: each micro-batch is
   written to ``<path>/<revision>=<batch id>`` with overwrite, so a batch that
   is replayed after a failure replaces its own output instead of adding to
-  it. Readers resolve revisions with
-  :func:`~gridsense.operators.leak.latest_per_key`.
+  it. Readers resolve revisions with :func:`read_revisions` (the last
+  revision per key; :func:`snapshot_revisions` bounds what they scan).
 
 Each query has its own checkpoint folder, under the shared work folder by
 default (``spark.checkpoint.dir``), so a restarted driver resumes from the
