@@ -1,12 +1,17 @@
 """Streams: batch = stream, late rows against a watermark, update-mode
 revisions, the two-stage leak, and restart from a checkpoint."""
 
+import datetime as dt
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridsense.operators.counter import counter_daily_diff
 from gridsense.operators.late import split_late
 from gridsense.operators.leak import latest_per_key
 from gridsense.operators.rollup import daily_rollup
+from gridsense.session import new_work_path
 from gridsense.plans.jobs import (COUNTER_SCHEMA, DAILY_SCHEMA, SUB_SCHEMA, TOPIC_SCHEMAS,
                                   TOTAL_SCHEMA, gauge_daily, leak_job, panel, sensor_readings,
                                   start_household, start_leak, store_topics)
@@ -193,3 +198,27 @@ def test_revision_snapshot_then_later_batches(spark, workdir):
     # as of the snapshot's batch only
     old = sorted((r.Day, r.Totalw1) for r in read_revisions(spark, out, ["Day"], upto=upto).collect())
     assert old == [(ts("2023-01-02 00:00:00"), 25.0), (ts("2023-01-03 00:00:00"), 50.0)]
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.sampled_from(["HVAC1", "TH1"]), st.integers(0, 6 * 96 - 1),
+                          st.integers(0, 500)), min_size=4, max_size=60, unique_by=lambda x: x[1]),
+       st.integers(2, 4))
+def test_batch_equals_stream_property(spark, rows, cuts):
+    """Rows in time order, cut into micro-batches: the stream's closed
+    windows equal the batch roll-up."""
+    base = ts("2023-01-01 00:00:00")
+    msgs = sorted(((base + dt.timedelta(minutes=15 * k)), s, v / 4) for s, k, v in rows)
+    topic = {"HVAC1": "IoT/energy/Airconditioning/HVAC1", "TH1": "IoT/temperature/TH1"}
+    payloads = [(topic[s], f"{t:%Y-%m-%d %H:%M:%S} | {v}") for t, s, v in msgs]
+    size = -(-len(payloads) // cuts)
+    work = new_work_path(spark, "prop")
+    _write_batches(spark, f"{work}/src", [payloads[i:i + size] for i in range(0, len(payloads), size)])
+    stream = read_messages(spark, f"{work}/src", stream=True, max_files_per_trigger=1)
+    out = run_available(gauge_daily(sensor_readings(stream), delay="1 second"), f"{work}/out",
+                        state_partitions=1)
+    got = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    closed = msgs[-1][0] - dt.timedelta(seconds=1)
+    batch = gauge_daily(sensor_readings(read_messages(spark, f"{work}/src")))
+    want = sorted(tuple(r) for r in batch.collect() if r.Day <= closed)
+    assert got == want
