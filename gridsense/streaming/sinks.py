@@ -69,28 +69,36 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
                      mode: str = "append", fmt: str = "parquet", query_name: str | None = None,
                      trigger: dict | None = None, partition_by: Sequence[str] | None = None,
                      json_cols: Sequence[str] | None = None, revision: str = REVISION,
-                     state_partitions: int | None = None) -> StreamingQuery:
+                     state_partitions: int | None = None,
+                     options: dict[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query writing ``df`` to the folder ``path``.
 
     ``fmt="json"`` stores one JSON record per line in a text folder (a
     topic, readable with :func:`~gridsense.sources.io.read_topic`);
     ``json_cols`` picks and orders the record fields, and ``partition_by``
-    columns become sub-folders (e.g. one raw topic per domain). ``trigger`` is passed
-    to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``).
+    columns become sub-folders (e.g. one raw topic per domain). ``trigger``
+    is passed to ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``).
+    ``fmt="kafka"`` writes the JSON records as the ``value`` of a Kafka
+    topic (``options``: ``kafka.bootstrap.servers``, ``topic``; needs the
+    connector jar, so it is untested here); ``path`` then only names the
+    default checkpoint folder.
     """
     spark = df.sparkSession
     checkpoint = checkpoint or path.rstrip("/") + ".checkpoint"
-    if fmt == "json":
-        keep = list(partition_by or [])
+    if fmt in ("json", "kafka"):
+        keep = list(partition_by or []) if fmt == "json" else []
         cols = json_cols or [c for c in df.columns if c not in keep]
         df = encode_json(df, cols, keep=keep)
-        fmt = "text"
-    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+        fmt = "text" if fmt == "json" else fmt
+    w = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint) \
+        .options(**(options or {}))
     if query_name:
         w = w.queryName(query_name)
     if trigger:
         w = w.trigger(**trigger)
-    if mode == "append":
+    if fmt == "kafka":
+        w = w.format("kafka")
+    elif mode == "append":
         w = w.format(fmt).option("path", path)
         if partition_by:
             w = w.partitionBy(*partition_by)
