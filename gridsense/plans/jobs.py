@@ -59,8 +59,9 @@ def sensor_readings(messages: DataFrame, sensors=None, numeric: bool = True,
 def gauge_daily(readings: DataFrame, sensors=registry.HOUSEHOLD, delay: str | None = None,
                 round_to: int | None = 2, watermark_each=None) -> DataFrame:
     """``(Sensor, Day, Total)``: each gauge's daily sum or average, as the
-    registry says, from one keyed aggregate over all sensors
-    (``watermark_each``: sensors watermarked one by one in a stream)."""
+    registry says (a sensor it does not list is summed), from one keyed
+    aggregate over all sensors (``watermark_each``: sensors watermarked one
+    by one in a stream)."""
     both = daily_rollup(readings, how=["sum", "avg"], by="Sensor", delay=delay,
                         round_to=round_to, out=["_sum", "_avg"], watermark_each=watermark_each)
     total = F.when(registry.how_of(F.col("Sensor"), sensors) == "avg", F.col("_avg")) \

@@ -81,3 +81,12 @@ def test_leak_several_sub_meters(spark):
     tot = _day_rows(spark, [("2023-01-02 00:00:00", 100.0)], "daily_diff")
     out = leak(sub, tot, sub="Total", sum_subs=True).collect()
     assert [r.LeakValue for r in out] == [69.5]
+
+
+def test_split_late_rejects_unknown_rule(spark):
+    import pytest
+    df = _w1(spark, ["2023-01-01 00:15:00 | 0.5"])
+    with pytest.raises(ValueError):
+        split_late(df, rule="guess")
+    with pytest.raises(ValueError):
+        split_late(df, rule="arrival")

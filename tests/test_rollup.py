@@ -51,3 +51,20 @@ def test_plausible_bounds(spark):
     assert [x.Totalw1 for x in plausible(d, "Totalw1", lt=40).collect()] == [30.0]
     with pytest.raises(ValueError):
         plausible(d, "Totalw1")
+
+
+def test_window_label_at_start_and_argument_checks(spark):
+    from gridsense.operators.rollup import window_rollup
+    from pyspark.sql import functions as F
+    r = readings(spark, [("2023-01-01 05:00:00", 1.0)])
+    out = window_rollup(r, "1 day", {"n": F.count("NumVal")}, label="Start", label_at="start")
+    assert [tuple(x) for x in out.collect()] == [(ts("2023-01-01 00:00:00"), 1)]
+    with pytest.raises(ValueError):
+        daily_rollup(r, how=["sum", "avg"], out="Total")
+    with pytest.raises(ValueError):
+        daily_rollup(r, how="median")
+
+
+def test_unknown_sensor_is_summed(spark):
+    r = readings(spark, [("2023-01-01 01:00:00", 2.0), ("2023-01-01 02:00:00", 4.0)], "X9")
+    assert [x.Total for x in gauge_daily(r).collect()] == [6.0]
