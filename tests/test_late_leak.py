@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from gridsense.functions.parse import parse_reading
@@ -84,7 +85,6 @@ def test_leak_several_sub_meters(spark):
 
 
 def test_split_late_rejects_unknown_rule(spark):
-    import pytest
     df = _w1(spark, ["2023-01-01 00:15:00 | 0.5"])
     with pytest.raises(ValueError):
         split_late(df, rule="guess")
