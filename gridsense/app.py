@@ -1,6 +1,8 @@
 """Run the household application as streaming queries.
 
     spark-submit gridsense/app.py --messages <folder> --root <folder> [--fmt parquet]
+    spark-submit gridsense/app.py --fmt kafka --option kafka.bootstrap.servers=.. \
+        --option subscribe=<topics> --kafka kafka.bootstrap.servers=.. --root <folder>
 
 Stage one (gauge roll-ups, counter differences, accepted and rejected
 sub-meter sums) reads the message folder; stage two joins two of its topics
@@ -22,23 +24,33 @@ from gridsense.streaming.sinks import run_all
 
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
-    p.add_argument("--messages", required=True, help="folder of (topic, payload) messages")
+    p.add_argument("--messages", default=None, help="folder of (topic, payload) messages")
     p.add_argument("--root", required=True, help="folder for topics and checkpoints")
     p.add_argument("--fmt", default="parquet", help="parquet, json or kafka")
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                   help="source option (e.g. kafka.bootstrap.servers=host:9092, subscribe=..)")
+    p.add_argument("--kafka", action="append", default=[], metavar="KEY=VALUE",
+                   help="write topics to Kafka with these connector options")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     p.add_argument("--store", default=None, help="also keep the topics as datasets here (with --once)")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     a = p.parse_args(argv)
+    if a.fmt != "kafka" and not a.messages:
+        p.error("--messages is needed unless --fmt kafka")
+    if a.store and a.kafka:
+        p.error("--store keeps folder topics; it does not read Kafka topics")
 
     spark = get_session(app_name="gridsense-household")
     trigger = {"availableNow": True} if a.once else None
-    msgs = read_messages(spark, a.messages, fmt=a.fmt, stream=True,
+    options = dict(kv.split("=", 1) for kv in a.option)
+    kafka = dict(kv.split("=", 1) for kv in a.kafka) or None
+    msgs = read_messages(spark, a.messages, fmt=a.fmt, stream=True, options=options,
                          max_files_per_trigger=a.max_files_per_trigger)
-    stage_one = jobs.start_household(msgs, a.root, trigger=trigger)
+    stage_one = jobs.start_household(msgs, a.root, trigger=trigger, kafka=kafka)
     if a.once:
         for q in stage_one:
             q.awaitTermination()
-    leak = jobs.start_leak(spark, a.root, trigger=trigger)
+    leak = jobs.start_leak(spark, a.root, trigger=trigger, kafka=kafka)
     if a.once:
         leak.awaitTermination()
         if a.store:

@@ -203,10 +203,12 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
                     accept_delay: str = "3 days", counter_delay: str = "1 second",
                     rejected_delay: str = "1 hour", sub_gt: float | None = None,
                     trigger: dict | None = None, state_partitions: int | None = None,
-                    name_prefix: str = "", watermark_per_sensor: bool = False) -> list:
+                    name_prefix: str = "", watermark_per_sensor: bool = False,
+                    kafka: dict[str, str] | None = None) -> list:
     """Start stage one of the application over one message stream: four
     streaming queries, each one keyed aggregate over all its sensors, writing
-    JSON topic folders under ``root``:
+    JSON topic folders under ``root`` (or, with ``kafka`` connector options,
+    Kafka topics of the same names; ``root`` then holds the checkpoints):
 
     * ``daily``: every gauge's daily sum or average (all domains at once);
     * ``counter_diff``: every counter's daily difference (pairs only);
@@ -238,28 +240,40 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
         "rejected": rejected_rollup(rejected.where(F.col("NumVal").isNotNull()), by="Sensor",
                                     delay=rejected_delay),
     }
-    kw = dict(mode="append", fmt="json", trigger=trigger, state_partitions=state_partitions)
-    return [start_topic_sink(df, f"{root}/{name}", query_name=f"{name_prefix}{name}", **kw)
+    kw = dict(mode="append", fmt="kafka" if kafka else "json", trigger=trigger,
+              state_partitions=state_partitions)
+    return [start_topic_sink(df, f"{root}/{name}", query_name=f"{name_prefix}{name}",
+                             options={**kafka, "topic": name} if kafka else None, **kw)
             for name, df in outs.items()]
 
 
 def start_leak(spark: SparkSession, root: str, pairs=LEAK_PAIRS, watermark: str = "5 seconds",
                trigger: dict | None = None, state_partitions: int | None = None,
-               name_prefix: str = ""):
+               name_prefix: str = "", kafka: dict[str, str] | None = None):
     """Start stage two: stream-stream join of the ``accepted_daily`` and
-    ``counter_diff`` topics under ``root``, each sub-meter against its meter,
-    into ``<root>/leak`` as ``(Meter, Day, LeakValue)`` records."""
+    ``counter_diff`` topics under ``root`` (or Kafka topics, with ``kafka``
+    connector options), each sub-meter against its meter, into the ``leak``
+    topic as ``(Meter, Day, LeakValue)`` records."""
     from gridsense.sources.io import read_topic
+
+    def topic(name: str, schema: str) -> DataFrame:
+        if kafka:
+            return read_topic(spark, None, schema, stream=True, fmt="kafka",
+                              options={**kafka, "subscribe": name})
+        return read_topic(spark, f"{root}/{name}", schema, stream=True)
+
     meter_of = registry.map_literal(pairs)
-    sub = read_topic(spark, f"{root}/accepted_daily", ACCEPTED_SCHEMA, stream=True)
+    sub = topic("accepted_daily", ACCEPTED_SCHEMA)
     sub = sub.where(F.col("Sensor").isin([a for a, _ in pairs])) \
         .select(F.element_at(meter_of, F.col("Sensor")).alias("Meter"), "Day", "Totalw1")
-    total = read_topic(spark, f"{root}/counter_diff", COUNTER_SCHEMA, stream=True)
+    total = topic("counter_diff", COUNTER_SCHEMA)
     total = total.where(F.col("Sensor").isin([b for _, b in pairs])) \
         .select(F.col("Sensor").alias("Meter"), "Day", "daily_diff")
     joined = leak(sub, total, by="Meter", watermark=watermark)
-    return start_topic_sink(joined, f"{root}/leak", mode="append", fmt="json", trigger=trigger,
-                            state_partitions=state_partitions, query_name=f"{name_prefix}leak")
+    return start_topic_sink(joined, f"{root}/leak", mode="append", fmt="kafka" if kafka else "json",
+                            trigger=trigger, state_partitions=state_partitions,
+                            query_name=f"{name_prefix}leak",
+                            options={**kafka, "topic": "leak"} if kafka else None)
 
 
 # -- dashboard panels ---------------------------------------------------------

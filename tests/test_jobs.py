@@ -162,3 +162,15 @@ def test_raw_topics_per_domain(spark, workdir):
                    ("water", "Wtot"), ("temp", "TH1"), ("temp", "TH2"), ("temp", "Mov1")}
     text = spark.read.text(f"{workdir}/raw/domain=water").first().value
     assert text.startswith('{"Sensor":') and '"DateTime":"2023-' in text
+
+
+def test_kafka_topics_take_the_connector_path(spark, workdir):
+    """No Kafka connector here: the query must fail looking for it, which
+    shows the topics are routed to Kafka with their names as options."""
+    src = f"{workdir}/src"
+    spark.createDataFrame(_fixture(days=1), "topic STRING, payload STRING").write.parquet(src)
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.start_household(read_messages(spark, src, stream=True), f"{workdir}/ck",
+                             kafka={"kafka.bootstrap.servers": "localhost:9092"})
+    with pytest.raises(Exception, match="(?i)kafka"):
+        jobs.start_leak(spark, f"{workdir}/ck", kafka={"kafka.bootstrap.servers": "localhost:9092"})
