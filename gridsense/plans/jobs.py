@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridsense import registry
-from gridsense.functions.parse import (PAYLOAD_SEP, drop_invalid, parse_reading, payload_field,
-                                       raw_envelope, sensor_from_topic, strict_double)
+from gridsense.functions.parse import (PAYLOAD_SEP, decode_json, drop_invalid, parse_reading,
+                                       payload_field, raw_envelope, sensor_from_topic,
+                                       strict_double)
 from gridsense.operators.counter import SINGLE_DROP, SINGLE_VALUE, counter_daily_diff
 from gridsense.operators.late import split_late
 from gridsense.operators.leak import latest_per_key, leak
@@ -101,6 +102,19 @@ def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD, with_rejects: bo
     return env, rejects
 
 
+ENVELOPE_SCHEMA = "Sensor STRING, DateTime STRING, value DOUBLE"
+
+
+def envelope_readings(records: DataFrame) -> DataFrame:
+    """Raw-envelope topic records (JSON ``{Sensor, DateTime, value}`` in a
+    ``value`` column) -> readings ``(Sensor, DateTime, NumVal)`` for the
+    roll-ups, so consumers can read the raw topics instead of the devices."""
+    env = decode_json(records, ENVELOPE_SCHEMA)
+    return env.select("Sensor", F.try_to_timestamp("DateTime").alias("DateTime"),
+                      F.col("value").alias("NumVal")).where(
+        F.col("DateTime").isNotNull() & F.col("NumVal").isNotNull())
+
+
 def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_month: bool = True) -> str:
     """Append envelopes to the raw dataset, partitioned by domain, sensor and
     (``by_month``) UTC month, so that a time-range read over a long history

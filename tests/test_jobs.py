@@ -7,7 +7,7 @@ from collections import defaultdict
 import pytest
 
 from gridsense import registry
-from gridsense.functions.parse import raw_envelope
+from gridsense.functions.parse import encode_json, raw_envelope
 from gridsense.plans import jobs
 from gridsense.sources.io import read_messages, read_topic
 from gridsense.streaming.sinks import run_available
@@ -174,3 +174,10 @@ def test_kafka_topics_take_the_connector_path(spark, workdir):
                              kafka={"kafka.bootstrap.servers": "localhost:9092"})
     with pytest.raises(Exception, match="(?i)kafka"):
         jobs.start_leak(spark, f"{workdir}/ck", kafka={"kafka.bootstrap.servers": "localhost:9092"})
+
+
+def test_envelope_topic_feeds_the_rollups(spark, msgs):
+    records = encode_json(raw_envelope(msgs), ["Sensor", "DateTime", "value"])
+    daily = jobs.gauge_daily(jobs.envelope_readings(records).where("Sensor = 'HVAC1'"))
+    direct = jobs.gauge_daily(jobs.sensor_readings(msgs, ["HVAC1"]))
+    assert sorted(daily.collect()) == sorted(direct.collect())
