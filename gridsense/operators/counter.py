@@ -47,12 +47,16 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
     if delay is not None:
         df = df.withWatermark(ts, delay)
     # Fixed-width aggregation buffers only, so Spark keeps a hash aggregate
-    # (partial before the shuffle) rather than sorting.
-    g = df.where(F.col(value).isNotNull()).groupBy(*keys, F.window(ts, "2 days", "1 day")).agg(
-        F.max_by(value, ts).alias("_last"),
-        F.min_by(value, ts).alias("_first"),
-        F.max(ts).alias("_t_last"),
-        F.min(ts).alias("_t_first"),
+    # (partial before the shuffle) rather than sorting. A reading without a
+    # value is ignored inside the aggregates (its time orders nothing)
+    # rather than by a filter, which Spark would push below the parsing and
+    # so parse every message twice.
+    t = F.when(F.col(value).isNotNull(), F.col(ts))
+    g = df.groupBy(*keys, F.window(ts, "2 days", "1 day")).agg(
+        F.max_by(value, t).alias("_last"),
+        F.min_by(value, t).alias("_first"),
+        F.max(t).alias("_t_last"),
+        F.min(t).alias("_t_first"),
         F.count(value).alias("n"))
     # A pair means readings at two distinct instants: a reading delivered
     # twice (at-least-once transport) is still a single reading.
@@ -61,6 +65,7 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
     if single == SINGLE_DROP:
         g = g.where(paired)
     else:
+        g = g.where(F.col("n") > 0)
         diff = F.when(paired, diff).otherwise(F.col("_last"))
     if round_to is not None:
         diff = F.round(diff, round_to)

@@ -58,16 +58,23 @@ def watermark(df: DataFrame, ts: str, delay: str, by=None, each=None) -> DataFra
 
 def window_rollup(df: DataFrame, period: str, aggs: dict[str, Column],
                   ts: str = "DateTime", by=None, delay: str | None = None,
-                  label: str = "Day", label_at: str = "end", watermark_each=None) -> DataFrame:
+                  label: str = "Day", label_at: str = "end", watermark_each=None,
+                  nonempty: str | None = None) -> DataFrame:
     """Aggregate over tumbling windows of ``period``; the window becomes one
     timestamp column ``label`` (its end by default, as the reference labels
     days). ``watermark_each`` lists key values that get a watermark each
-    (see :func:`watermark`)."""
+    (see :func:`watermark`). ``nonempty`` names a value column: windows
+    without any non-NULL value of it are left out, after the aggregation
+    (rows without a time never reach a window)."""
     keys = _keys(by)
     if delay is not None:
         df = watermark(df, ts, delay, by, watermark_each)
     agg_cols = [c.alias(name) for name, c in aggs.items()]
+    if nonempty is not None:
+        agg_cols.append(F.count(nonempty).alias("_n"))
     out = df.groupBy(*keys, F.window(ts, period)).agg(*agg_cols)
+    if nonempty is not None:
+        out = out.where(F.col("_n") > 0)
     return out.select(*keys, F.col(f"window.{label_at}").alias(label), *aggs.keys())
 
 
@@ -98,7 +105,7 @@ def daily_rollup(df: DataFrame, how: str | Sequence[str] = "sum", ts: str = "Dat
         c = _AGGS[h](value)
         aggs[name] = c if h == "count" else _round(c, round_to)
     return window_rollup(df, period, aggs, ts=ts, by=by, delay=delay, label=label,
-                         watermark_each=watermark_each)
+                         watermark_each=watermark_each, nonempty=value)
 
 
 def rejected_rollup(df: DataFrame, ts: str = "DateTime", value: str = "NumVal", by=None,
@@ -108,7 +115,7 @@ def rejected_rollup(df: DataFrame, ts: str = "DateTime", value: str = "NumVal",
     """Sum of rejected-late readings per 10-minute window, labelled by the
     window end. Unrounded, as the reference emits it."""
     return window_rollup(df, period, {out: _round(F.sum(value), round_to)}, ts=ts, by=by,
-                         delay=delay, label=label)
+                         delay=delay, label=label, nonempty=value)
 
 
 def plausible(df: DataFrame, col: str, lt: float | None = None, gt: float | None = None) -> DataFrame:

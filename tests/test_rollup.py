@@ -67,3 +67,12 @@ def test_window_label_at_start_and_argument_checks(spark):
 def test_unknown_sensor_is_summed(spark):
     r = readings(spark, [("2023-01-01 01:00:00", 2.0), ("2023-01-01 02:00:00", 4.0)], "X9")
     assert [x.Total for x in gauge_daily(r).collect()] == [6.0]
+
+
+def test_unparseable_readings_leave_no_trace(spark):
+    from gridsense.plans.jobs import sensor_readings
+    from tests.conftest import messages
+    m = messages(spark, ["2023-01-01 01:00:00 | 1.5", "2023-01-01 02:00:00 | x", "bad",
+                         "2023-01-05 02:00:00 | y", "junk | 7.0"])
+    out = [tuple(r) for r in daily_rollup(sensor_readings(m, valid_only=False), by="Sensor").collect()]
+    assert out == [("HVAC1", ts("2023-01-02 00:00:00"), 1.5)]
