@@ -70,7 +70,7 @@ def _events(sf_dir: str) -> list[str]:
 
 def _sub_readings(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected) readings of the sub-meter."""
-    flagged = jobs.sensor_readings(msgs, [ev.SUB_METER], numeric=False, valid_only=False)
+    flagged = jobs.sensor_readings(msgs, [ev.SUB_METER], numeric=False)
     return split_late(flagged)
 
 
@@ -111,7 +111,7 @@ def _one_gauge_daily(spark: SparkSession, sf_dir: str, sensor: str, how: str,
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, sensors=() if motion else (sensor,),
                              flag_late=False, motion=motion)
-    r = jobs.sensor_readings(msgs, [sensor], valid_only=False)
+    r = jobs.sensor_readings(msgs, [sensor])
     return daily_rollup(r, how=how).select(_ntz("Day"), "Total")
 
 
@@ -130,13 +130,13 @@ def movement_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_by_sensor_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True)
-    d = jobs.gauge_daily(jobs.sensor_readings(msgs, valid_only=False), ev.EVENT_SENSORS)
+    d = jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS)
     return d.select("Sensor", _ntz("Day"), "Total")
 
 
 def counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    r = jobs.sensor_readings(ev.counter_messages(spark, sf_dir), valid_only=False)
+    r = jobs.sensor_readings(ev.counter_messages(spark, sf_dir))
     return _counter_pairs(r).select("Sensor", _ntz("Day"), "daily_diff")
 
 
@@ -145,7 +145,7 @@ def counter_diff_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     difference is unrounded and labelled by a DATE, and a bound hides the
     running total of an unpaired last reading."""
     ensure_utc(spark)
-    r = jobs.sensor_readings(ev.counter_messages(spark, sf_dir), valid_only=False)
+    r = jobs.sensor_readings(ev.counter_messages(spark, sf_dir))
     d = counter_daily_diff(r, by="Sensor", single=SINGLE_VALUE, round_to=None, day_type="date")
     return plausible(d, "daily_diff", lt=COUNTER_LT)
 
@@ -166,7 +166,7 @@ def leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     accepted, _ = _sub_readings(ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,)))
     sub = _accepted_daily(accepted)
-    total = _counter_pairs(jobs.sensor_readings(ev.counter_messages(spark, sf_dir), valid_only=False))
+    total = _counter_pairs(jobs.sensor_readings(ev.counter_messages(spark, sf_dir)))
     return leak(sub, total).select(_ntz("Day"), "LeakValue")
 
 
@@ -203,7 +203,7 @@ def panel_daily_avg_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     root = new_work_path(spark, "store")
     msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True)
-    jobs.store_daily(jobs.gauge_daily(jobs.sensor_readings(msgs, valid_only=False), ev.EVENT_SENSORS),
+    jobs.store_daily(jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS),
                      f"{root}/daily")
     df = jobs.panel(spark, root, "th2_daily_avg", start=PANEL_START, end=PANEL_END,
                     sensor=AVG_SENSOR)
@@ -222,7 +222,7 @@ def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> tuple[Dat
 def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True, stream=True)
-    daily = jobs.gauge_daily(jobs.sensor_readings(msgs, valid_only=False), ev.EVENT_SENSORS,
+    daily = jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS,
                              delay=GAUGE_DELAY)
     out = _run(daily, new_work_path(spark, "daily-out"), _events(sf_dir))
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "Total")
@@ -251,7 +251,7 @@ def stream_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     msgs, src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
-    diff = _counter_pairs(jobs.sensor_readings(msgs, valid_only=False), delay=GAUGE_DELAY)
+    diff = _counter_pairs(jobs.sensor_readings(msgs), delay=GAUGE_DELAY)
     out = _run(diff, new_work_path(spark, "meter-out"), [src])
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "daily_diff")
 
@@ -269,7 +269,7 @@ def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         (_accepted_daily(accepted, delay=ACCEPT_DELAY), new_work_path(spark, "aggday-sub"),
          {"fmt": "json", "json_cols": ["Day", "Totalw1"],
           "state_partitions": state_partitions_for(spark, *_events(sf_dir))}),
-        (_counter_pairs(jobs.sensor_readings(meter, valid_only=False), delay=GAUGE_DELAY),
+        (_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
          new_work_path(spark, "agg-total"), {"fmt": "json", "json_cols": ["Day", "daily_diff"],
                                              "state_partitions": state_partitions_for(spark, meter_src)}),
     ], timeout=STREAM_TIMEOUT)
