@@ -1,8 +1,8 @@
 """Row-level functions: reading text, JSON records and the raw envelope.
 
-Everything here is a projection or a filter made of built-in expressions, so
-it runs inside whole-stage codegen, needs no shuffle and works unchanged on
-batch and streaming DataFrames.
+Everything here is a projection (and, in :func:`keep_valid`, a one-row
+``explode``) of built-in expressions, so it runs inside whole-stage codegen,
+needs no shuffle and works unchanged on batch and streaming DataFrames.
 """
 
 from __future__ import annotations
