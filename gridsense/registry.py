@@ -1,8 +1,8 @@
 """Sensor registry: which sensor belongs to which domain and how it rolls up.
 
 The registry is a handful of rows, so it is applied as literal map
-expressions (``map_from_arrays`` of constants) rather than as a join: no
-shuffle, no broadcast, and the lookup stays inside whole-stage codegen.
+expressions (one constant ``map(..)``) rather than as a join: no shuffle,
+no broadcast, and the lookup stays inside whole-stage codegen.
 """
 
 from __future__ import annotations
