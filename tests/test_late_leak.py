@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridsense.functions.parse import parse_reading
@@ -90,3 +92,15 @@ def test_split_late_rejects_unknown_rule(spark):
         split_late(df, rule="guess")
     with pytest.raises(ValueError):
         split_late(df, rule="arrival")
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 40), st.floats(-1e6, 1e6, allow_nan=False)),
+                min_size=1, max_size=80, unique_by=lambda r: (r[0], r[1])))
+def test_latest_per_key_matches_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k INT, batch_id LONG, v DOUBLE").repartition(3)
+    got = {r.k: r.v for r in latest_per_key(df, "k", "batch_id").collect()}
+    want = {}
+    for k, b, v in sorted(rows, key=lambda r: r[1]):
+        want[k] = v
+    assert got == want
