@@ -181,3 +181,12 @@ def test_envelope_topic_feeds_the_rollups(spark, msgs):
     daily = jobs.gauge_daily(jobs.envelope_readings(records).where("Sensor = 'HVAC1'"))
     direct = jobs.gauge_daily(jobs.sensor_readings(msgs, ["HVAC1"]))
     assert sorted(daily.collect()) == sorted(direct.collect())
+
+
+def test_app_rejects_inconsistent_arguments():
+    from gridsense.app import main
+    with pytest.raises(SystemExit):
+        main(["--root", "/nonexistent/topics"])  # no message folder and not Kafka
+    with pytest.raises(SystemExit):
+        main(["--fmt", "kafka", "--root", "/nonexistent/topics", "--store", "/x",
+              "--kafka", "kafka.bootstrap.servers=localhost:9092"])
