@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from gridsense.plans.queries import QUERIES
 from gridsense.operators.counter import counter_daily_diff
 from gridsense.operators.leak import latest_per_key
 from gridsense.operators.rollup import daily_rollup
@@ -61,17 +61,17 @@ def test_dataset_read_prunes_partitions_and_pushes_range(spark, workdir):
 
 
 def test_scan_reads_only_needed_columns(spark):
-    p = plan(entry.queries()["daily_sum"](spark, SF001))
+    p = plan(QUERIES["daily_sum"](spark, SF001))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string,value:double>" in p
     assert "PushedFilters: [IsNotNull(event_type), EqualTo(event_type,purchase)]" in p
 
 
-BATCH = [n for n in entry.queries() if not n.startswith("stream_")]
+BATCH = [n for n in QUERIES if not n.startswith("stream_")]
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_python_udf_and_no_forced_broadcast(spark, name):
-    df = entry.queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     qe = df._jdf.queryExecution()
     p = qe.executedPlan().toString()
     assert "EvalPython" not in p and "PythonUDF" not in p
