@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsense.llm import bpe, chat, decontaminate, language, quality, urls
+from gridsense.llm import bpe, chat, decontaminate, jaccard, language, quality, secret_scan, urls
 from gridsense.llm.oracle import ORACLE
 from gridsense.llm.tables import held_out, table
 
@@ -28,12 +28,30 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.train(docs))
+    base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
+
+    def count(kind: str):
+        k = secret_scan.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, secret_scan.BASE),
+                        F.sha2(secret_scan.named(base), 256).alias("base_sha256"),
+                        secret_scan.named(F.col("spans")).alias("spans"))
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     labelled = language.labelled_text(docs.where(~held_out()))
     return language.identify(docs, labelled).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     out = bpe.tokenize(docs, bpe.read_vocabulary(VOCABULARY))
@@ -62,7 +80,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op3_url_filter": op3_url_filter,
+    "op5_secrets": op5_secrets,
     "op6_language": op6_language,
+    "op7_jaccard": op7_jaccard,
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
