@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsense.llm import bpe, chat, decontaminate, jaccard, language, quality, secret_scan, urls
+from gridsense.llm import bpe, chat, decontaminate, jaccard, language, nearest, quality, secret_scan, urls
 from gridsense.llm.oracle import ORACLE
 from gridsense.llm.tables import held_out, table
 
@@ -24,6 +24,11 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, weights).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest.nearest(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
@@ -79,6 +84,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_nearest": op2_nearest,
     "op3_url_filter": op3_url_filter,
     "op5_secrets": op5_secrets,
     "op6_language": op6_language,
