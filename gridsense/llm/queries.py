@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsense.llm import bpe, chat, decontaminate, jaccard, language, nearest, quality, secret_scan, urls
+from gridsense.llm import bpe, chat, decontaminate, jaccard, language, main_text, nearest, quality, secret_scan, urls
 from gridsense.llm.oracle import ORACLE
 from gridsense.llm.tables import held_out, table
 
@@ -33,6 +33,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    return main_text.extract(pages, main_text.train(pages))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     found = secret_scan.scan(docs, secret_scan.train(docs))
@@ -86,6 +91,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_nearest": op2_nearest,
     "op3_url_filter": op3_url_filter,
+    "op4_main_text": op4_main_text,
     "op5_secrets": op5_secrets,
     "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,
