@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsense.llm.tables import map_rows
+from gridsense.llm.tables import map_rows, whole_rows
 from gridsense.llm.words import LETTERS_DIGITS, combine, slices, word_hashes
 
 WIDTH = 10
@@ -194,8 +194,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     return found.withColumn("n_hit", hits)
 
 
-def without_hits(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no window of the benchmark."""
-    cols = docs.columns
-    found = decontaminate(docs, benchmark, text=text, carry=cols)
-    return found.where(F.col("n_hit") == 0).select(*cols)
+    found = decontaminate(whole_rows(docs, text), benchmark, text=text, carry=["__row"])
+    return found.where(F.col("n_hit") == 0).select("__row.*")

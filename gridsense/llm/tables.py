@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridsense.llm.words import slices
 from gridsense.session import new_work_path
@@ -62,6 +63,11 @@ def map_rows(df: DataFrame, values: list[Column], carry: list[str], make, new: d
                     [b.column(i).slice(part.start, part.stop - part.start) for i in range(k)]
                     + [pa.array(c, t, from_pandas=False) for c, t in zip(cols, types)], names)
 
-    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in carry]
-                       + [f"{c} {t}" for c, t in new.items()])
-    return source.mapInArrow(run, schema)
+    fields = [df.schema[c] for c in carry] + [T.StructField(c, T.DataType.fromDDL(t)) for c, t in new.items()]
+    return source.mapInArrow(run, T.StructType(fields))
+
+
+def whole_rows(df: DataFrame, *cols: str) -> DataFrame:
+    """``__row``, a struct of all columns, besides ``cols``: to carry rows
+    through an operator whatever their columns are called."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row"), *cols)
