@@ -22,10 +22,13 @@ rows are encoded once per row. Columns other than the named ones are ignored.
 from __future__ import annotations
 
 import codecs
+import gc
 import json
+from array import array
 from collections import ChainMap
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 
 import numpy as np
 import regex
@@ -33,12 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridsense.llm.tables import map_rows
-from gridsense.llm.words import BUFFER
 
 # Fixed value: the byte-level pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 48  # characters of a piece that is merged in step with others and remembered
-REMEMBERED = 400_000  # short pieces kept per worker
+REMEMBERED = 600_000  # short pieces kept per worker
 _NEVER = np.iinfo(np.int64).max
 BLOCK = 1 << 16  # characters of a text that are split into pieces at once
 
@@ -90,6 +92,7 @@ class Coder:
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])} if special else {}
         self.bytes_of |= {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
         self.size = max(self.bytes_of) + 1
+        self._pieces_of_bytes = [self.bytes_of.get(i, b"") for i in range(self.size)]
         self.pattern = regex.compile(PATTERN)
         self.gap = regex.compile(r"(?<=\S) (?=\S)")
         self.control = regex.compile("|".join(map(regex.escape, sorted(self.added, key=len, reverse=True)))) \
@@ -200,14 +203,16 @@ class Coder:
                 pieces.append(m.group())
                 at = m.end()
             lists.append(pieces + self._pieces((text or "")[at:]))
-        met = set(chain.from_iterable(lists))
-        if len(self.known) + len(met) > REMEMBERED:
-            self.known = dict(self.fixed)
-        new = met - self.known.keys()
+        known = self.known
+        got = [list(map(known.get, pieces)) for pieces in lists]
+        new = set(chain.from_iterable(compress(p, map(not_, g)) for p, g in zip(lists, got)))
+        if len(known) + len(new) > REMEMBERED:
+            known = self.known = dict(self.fixed)
         self._learn([p for p in new if len(p) <= SHORT])
         long = {p: tuple(self.stream(p.encode())) for p in new if len(p) > SHORT}
-        known = ChainMap(self.known, long).__getitem__ if long else self.known.__getitem__
-        return [list(chain.from_iterable(map(known, pieces))) for pieces in lists]
+        find = ChainMap(known, long).__getitem__ if long else known.__getitem__
+        return [list(chain.from_iterable([g or find(p) for g, p in zip(got_, pieces)]))
+                for got_, pieces in zip(got, lists)]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_many([text])[0]
@@ -215,11 +220,10 @@ class Coder:
     # -- decoding --------------------------------------------------------------
 
     def decode(self, ids, at_once: int = 1 << 14) -> str:
-        """Text of ``ids``; unknown ids give nothing."""
+        """Text of ``ids``; unused ids of the vocabulary give nothing."""
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        get = self.bytes_of.get
-        parts = [machine.decode(b"".join([get(i, b"") for i in ids[k:k + at_once]]))
-                 for k in range(0, len(ids), at_once)]
+        get = self._pieces_of_bytes.__getitem__
+        parts = [machine.decode(b"".join(map(get, ids[k:k + at_once]))) for k in range(0, len(ids), at_once)]
         return "".join(parts) + machine.decode(b"", True)
 
 
@@ -246,10 +250,16 @@ def tokenize(docs: DataFrame, vocabulary: str, *, text: str = "text", carry=("do
         coder = coder_of(vocabulary)
 
         def run(texts):
-            ids = coder.encode_many(texts)
-            out = [[np.array(x, np.int32) for x in ids]]
+            # Many small lists and tuples, none of them in a cycle: the cycle
+            # collector would only walk them.
+            gc.disable()
+            try:
+                ids = coder.encode_many(texts)
+            finally:
+                gc.enable()
+            out = [[np.frombuffer(array("i", x), np.int32) for x in ids]]
             return out + [[coder.decode(x) for x in ids]] if decode else out
         return run
 
     new = {"ids": "array<int>"} | ({"decoded": "string"} if decode else {})
-    return map_rows(docs, [F.col(text)], list(carry), make, new, size=2 * BUFFER)
+    return map_rows(docs, [F.col(text)], list(carry), make, new)
