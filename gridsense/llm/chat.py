@@ -34,7 +34,6 @@ from pyspark.sql import functions as F
 
 from gridsense.llm.bpe import Coder, coder_of
 from gridsense.llm.tables import map_rows
-from gridsense.llm.words import BUFFER
 
 # The rendered forms of the reserved ids, in id order.
 CONTROL = ("<turn>### ", ": ", "</turn>\n")
@@ -70,7 +69,7 @@ def format_turns(rows: DataFrame, vocabulary: str, *, conv: str = "conv_id", tur
     source = rows.select(F.col(conv).alias("__conv"), F.col(turn).alias("__turn"), F.col(role).alias("__role"),
                          F.col(text).alias("__text"))
     encoded = map_rows(source, [F.col("__text"), F.col("__role")], ["__conv", "__turn"], encode,
-                       {"role_ids": "array<int>", "text_ids": "array<int>", "loss": "boolean"}, size=2 * BUFFER)
+                       {"role_ids": "array<int>", "text_ids": "array<int>", "loss": "boolean"})
     ordered = encoded.repartition("__conv").sortWithinPartitions("__conv", F.col("__turn").asc_nulls_first(),
                                                                  "role_ids", "text_ids")
 

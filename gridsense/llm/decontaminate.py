@@ -27,12 +27,12 @@ are judged once per row. Columns other than the named ones are ignored.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsense.llm.tables import map_rows, whole_rows
-from gridsense.llm.words import LETTERS_DIGITS, combine, slices, word_hashes
+from gridsense.llm.tables import arrow_slices, map_rows, whole_rows
+from gridsense.llm.words import LETTERS_DIGITS, combine, word_hashes
 
 WIDTH = 10
 BLOCK_WORDS = 4_000_000
@@ -108,16 +108,16 @@ def _word_counts(docs: DataFrame, text: str, words: np.ndarray) -> dict[int, int
     def run(batches):
         total = np.zeros(len(words), np.int64)
         for b in batches:
-            texts = b["t"].tolist()
-            for part in slices(texts):
-                flat, _ = word_hashes(texts[part], LETTERS_DIGITS)
+            texts = b.column(0)
+            for part in arrow_slices(texts):
+                flat, _ = word_hashes(texts[part].to_pylist(), LETTERS_DIGITS)
                 at = np.searchsorted(words, flat)
                 at[at == len(words)] = 0
                 total += np.bincount(at[words[at] == flat], minlength=len(words))
         i = np.flatnonzero(total)
-        yield pd.DataFrame({"w": i, "n": total[i]})
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(total[i], pa.int64())], ["w", "n"])
 
-    rows = docs.select(F.col(text).alias("t")).mapInPandas(run, "w long, n long").groupBy("w").agg(F.sum("n"))
+    rows = docs.select(F.col(text).alias("t")).mapInArrow(run, "w long, n long").groupBy("w").agg(F.sum("n"))
     return {int(words[r[0]]): r[1] for r in rows.collect()}  # at most one row per benchmark word
 
 

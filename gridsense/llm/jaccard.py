@@ -45,15 +45,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridsense.llm.components import components
-from gridsense.llm.tables import as_long, keep
-from gridsense.llm.words import combine, mix, ngrams, slices, word_hashes
+from gridsense.llm.tables import arrow_slices, as_long, keep
+from gridsense.llm.words import combine, mix, ngrams, word_hashes
 
 WIDTH, PERCENT = 5, 80
 FREQUENT = 1000  # a shingle in one of so many documents is frequent (64 documents at least)
-BATCH = 1 << 21  # shingles of the documents that a task handles at once
+BATCH = 1 << 20  # shingles of the documents that a task handles at once
 BUCKET = 1 << 19  # shingles of a bucket, about
 CHUNK = 1024  # sets of a trie
-CHUNK_TOKENS = 1 << 21
+CHUNK_TOKENS = 1 << 20
 SPOKEN = 24  # sets of a component that are tried against other chunks' first
 
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -88,11 +88,11 @@ def _digest(sets: list[np.ndarray]):
     return size, out[0], out[1]
 
 
-def _batches(texts, width):
+def _batches(texts: pa.Array, width: int):
     """Runs of consecutive texts with their sets, ``BATCH`` shingles or so."""
     first, sets, room = 0, [], BATCH
-    for part in slices(texts):
-        got = shingle_sets(texts[part], width)
+    for part in arrow_slices(texts):
+        got = shingle_sets(texts[part].to_pylist(), width)
         sets += got
         room -= sum(map(len, got))
         if room <= 0 or len(sets) >= 50_000:
@@ -106,7 +106,7 @@ def _set_rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
     """Rows of documents (key, n, s1, s2) and of frequent shingles (token, df)."""
     def run(batches):
         for b in batches:
-            keys, texts = b.column(0), b.column(1).to_pylist()
+            keys, texts = b.column(0), b.column(1)
             for first, sets in _batches(texts, width):
                 n, s1, s2 = _digest(sets)
                 _, own = np.unique(np.stack([s1, s2]), axis=1, return_index=True)
@@ -137,7 +137,7 @@ def _candidates(docs: DataFrame, text: str, width: int, percent: int, frequent:
     def send(batches):
         task, serial = TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = b.column(0).to_pylist()
+            texts = b.column(0)
             for _, sets in _batches(texts, width):
                 n, s1, s2 = _digest(sets)
                 _, own = np.unique(np.stack([s1, s2]), axis=1, return_index=True)
@@ -180,8 +180,9 @@ def _candidates(docs: DataFrame, text: str, width: int, percent: int, frequent:
         ends = np.searchsorted(row, rows, "right")
         begins = np.searchsorted(row, rows, "left")
         return pd.DataFrame({"key": key, "batch": pdf["batch"].to_numpy()[rows],
-                             "x": [packed[s:e].tobytes() for s, e in zip(begins, ends)],
-                             "y": [df[s:e].astype(np.uint32).tobytes() for s, e in zip(begins, ends)], "z": b""},
+                             "x": pd.Series([packed[s:e].tobytes() for s, e in zip(begins, ends)], dtype=object),
+                             "y": pd.Series([df[s:e].astype(np.uint32).tobytes() for s, e in zip(begins, ends)],
+                                            dtype=object), "z": b""},
                             columns=["key", "batch", "x", "y", "z"])
 
     def gather(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -205,7 +206,8 @@ def _candidates(docs: DataFrame, text: str, width: int, percent: int, frequent:
         pre = prefix - (n - shared)  # the set's own shingles come first
         rows = np.flatnonzero((pre > 0) & (shared > 0))
         return pd.DataFrame({"s1": as_long(s1[rows]), "s2": as_long(s2[rows]), "n": n[rows], "pre": pre[rows],
-                             "tokens": [as_long(token[first[i]:first[i] + shared[i]]) for i in rows]},
+                             "tokens": pd.Series([as_long(token[first[i]:first[i] + shared[i]]) for i in rows],
+                                                 dtype=object)},
                             columns=["s1", "s2", "n", "pre", "tokens"])
 
     layout = "key long, batch long, x binary, y binary, z binary"

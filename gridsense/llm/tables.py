@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridsense.llm.words import slices
+from gridsense.llm.words import BUFFER
 from gridsense.session import new_work_path
 
 
@@ -36,13 +37,23 @@ def as_long(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 
 
+def arrow_slices(texts: pa.Array, size: int = 2 * BUFFER):
+    """Slices of an array of texts of about ``size`` bytes (one text at least)."""
+    ends = np.append(0, np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] + size, "right")) - 1)
+        yield slice(at, end)
+        at = end
+
+
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(),
           "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
           "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string())}
 
 
 def map_rows(df: DataFrame, values: list[Column], carry: list[str], make, new: dict[str, str],
-             size: int | None = None) -> DataFrame:
+             size: int = 2 * BUFFER) -> DataFrame:
     """Row-wise Python work: ``carry`` columns as they are, then ``new`` columns.
 
     ``make()`` gives, once per task, a function from the lists of ``values``
@@ -56,9 +67,8 @@ def map_rows(df: DataFrame, values: list[Column], carry: list[str], make, new: d
     def run(batches):
         work = make()
         for b in batches:
-            got = [b.column(k + i).to_pylist() for i in range(n)]
-            for part in slices(got[0], **({"size": size} if size else {})):
-                cols = work(*[g[part] for g in got])
+            for part in arrow_slices(b.column(k), size):
+                cols = work(*[b.column(k + i)[part].to_pylist() for i in range(n)])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(part.start, part.stop - part.start) for i in range(k)]
                     + [pa.array(c, t, from_pandas=False) for c, t in zip(cols, types)], names)

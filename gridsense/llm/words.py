@@ -122,15 +122,3 @@ def ngrams(flat: np.ndarray, n: int) -> np.ndarray:
 def combine(words: np.ndarray) -> np.uint64:
     """Hash of a whole word sequence, as :func:`ngrams` gives for its length."""
     return ngrams(words, len(words))[0]
-
-
-def slices(texts, size: int = 4 * BUFFER):
-    """Slices of ``texts`` of about ``size`` characters (one text at least)."""
-    at = 0
-    while at < len(texts):
-        end, room = at, size
-        while end < len(texts) and (end == at or room > 0):
-            room -= len(texts[end] or "")
-            end += 1
-        yield slice(at, end)
-        at = end
