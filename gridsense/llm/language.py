@@ -85,12 +85,14 @@ class Parser:
 
     def _table(self, text: bytes) -> np.ndarray:
         """Next state by state and class, times two; odd: a phrase ended and
-        the class began the next one (from the root, or is unknown to it)."""
+        the class began the next one."""
         nxt = suffix_automaton(self._symbols([text])[0].tolist())
-        root = np.zeros(self.width, np.int32)
+        alone = len(nxt)  # state after a class that the text does not have: a phrase of its own
+        root = np.full(self.width, 2 * alone, np.int32)
         for c, q in nxt[0].items():
             root[c] = 2 * q
-        t = np.tile(root + 1, (len(nxt), 1))
+        t = np.tile(root + 1, (len(nxt) + 1, 1))
+        t[0] = root  # nothing has ended at the start
         for s, to in enumerate(nxt):
             for c, q in to.items():
                 t[s, c] = 2 * q
