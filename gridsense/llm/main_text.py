@@ -10,9 +10,10 @@ whose marginal is over a half make up the main text, in page order.
 Training counts labelled pages: those with an ``article`` or ``main`` element,
 whose subtree is labelled content except for what ``NOT_CONTENT`` names.
 At most ``MAX_PAGES`` of them are used (those of the smallest hash of their
-key; a documented bound). A feature's log ratio is limited to ``CAP``, so that
-no single feature outweighs the parent; the words of ``CONTENT`` and
-``NOT_CONTENT`` have fixed log ratios, as labelled pages show few of them.
+key; a documented bound). A feature's log ratio is limited to ``CAP`` (a text's to
+``TEXT_CAP``), so that no single feature outweighs the parent. What ``NOT_CONTENT``
+and ``MAIN`` name is taken as observed, as labelled pages show few of them; the
+words of ``CONTENT`` have a fixed ratio.
 
 Blocks: block elements part texts, inline elements do not, ``br`` is white
 space. Character references are decoded; white space becomes one space; blocks
@@ -39,8 +40,10 @@ from pyspark.sql import functions as F
 from gridsense.llm.tables import map_rows
 
 MAX_PAGES = 2000
-CAP, KNOWN = 2.5, 6.0
-FLOOR = {"element": 0.02, "text": 0.0005}  # least chance that a child differs from its parent
+CAP, TEXT_CAP, LIKELY, KNOWN = 2.5, 1.0, 6.0, 1000.0
+# By the child's kind, the least chance that it differs from its parent: that
+# content stands in what is none, and that something else stands in content.
+FLOOR = {"box": (0.02, 0.02), "element": (1e-9, 0.02), "text": (1e-9, 0.0005)}
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,7 +62,9 @@ NOT_CONTENT = frozenset("""nav aside footer header form script style noscript te
     sidebar comment comments reply replies disqus cookie cookies consent notice notices banner alert popup modal
     breadcrumb breadcrumbs navigation navbar topbar related recommended share sharing social newsletter subscribe
     login signup search pagination toolbar widget copyright contentinfo complementary""".split())
-CONTENT = frozenset("article main content entry story articlebody post".split())
+CONTENT = frozenset("content entry story articlebody post".split())
+MAIN = frozenset(["article", "main"])
+BOX = MAIN | frozenset("#root html body div section center table tbody tr td".split())
 
 _TOKEN = re.compile(r"""<!--(?P<comment>.*?)(?:--!?>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"""
                     r"""(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z/][^<>]*(?:>|\Z)""", re.S)
@@ -122,7 +127,9 @@ class Page:
                 close(*SAME_LEVEL[tag])
             words = ()
             if m["attrs"]:
-                words = tuple(w.lower() for g in _NAMES.findall(m["attrs"]) for w in _WORD.findall("".join(g)))
+                # An article's names count whole: "comments-open" is no comment.
+                part = str.split if tag in MAIN else _WORD.findall
+                words = tuple(w.lower() for g in _NAMES.findall(m["attrs"]) for w in part("".join(g)))
             node = add(tag, words, None)
             if block:
                 gap = True
@@ -158,17 +165,21 @@ class Page:
 
     def labels(self) -> list[bool] | None:
         """Labels by the page's own structure; None without such structure."""
-        if "article" not in self.tag and "main" not in self.tag:
+        if MAIN.isdisjoint(self.tag):
             return None
         out = []
         for k, tag in enumerate(self.tag):
             p = self.parent[k]
             inside = p >= 0 and out[p]
             barred = tag in NOT_CONTENT or not NOT_CONTENT.isdisjoint(self.words[k])
-            out.append((inside or tag in ("article", "main")) and not barred and tag != "#raw")
+            out.append((inside or tag in MAIN) and not barred and tag != "#raw")
         return out
 
 
+def _kind(tag: str) -> str:
+    return "box" if tag in BOX else "text" if tag[0] == "#" else "element"
+
+
 class Model:
     """Potentials: of features, and of parent and child by the child's kind."""
 
@@ -179,25 +190,28 @@ class Model:
         self.ratio = {}
         for f, (no, yes) in counts.items():
             r = math.log((yes + 1) / total[1]) - math.log((no + 1) / total[0])
-            self.ratio[f] = max(-CAP, min(CAP, r))
-        for names, r in ((NOT_CONTENT, -KNOWN), (CONTENT, KNOWN)):
+            cap = TEXT_CAP if f.startswith(("size:", "marks:", "linked:")) else CAP
+            self.ratio[f] = max(-cap, min(cap, r))
+        for names, r in ((NOT_CONTENT, -KNOWN), (CONTENT, LIKELY)):
             self.ratio |= {f"{kind}:{w}": r for w in names for kind in ("tag", "word")}
-        self.ratio["tag:#raw"] = -2 * KNOWN
+        self.ratio |= {f"tag:{t}": KNOWN / 2 for t in MAIN} | {"tag:#raw": -KNOWN}
         self.pair = {}
-        for kind, floor in FLOOR.items():
-            chance = []
-            for parent in (0, 1):
+        for kind, (rise, fall) in FLOOR.items():
+            chance = []  # that the child is content, by its parent
+            for parent, usual in ((0, rise), (1, 1 - fall)):
                 no, yes = counts.get(f"pair:{kind}:{parent}", (0, 0))
-                chance.append(max(floor, min(1 - floor, (yes + floor) / (no + yes + 2 * floor) if no + yes else
-                                             (floor, 1 - floor)[parent])))
+                chance.append(max(rise, min(1 - fall, yes / (no + yes) if no + yes else usual)))
             self.pair[kind] = tuple(chance)
 
+    def pairs(self, page: Page) -> list[tuple[float, float]]:
+        return [self.pair[_kind(t)] for t in page.tag]
+
     def marginals(self, page: Page) -> list[float]:
         """Log odds that each node is content."""
         exp, log, get = math.exp, math.log, self.ratio.get
         parent = page.parent
         up = [sum(get(f, 0.0) for f in fs) for fs in page.features()]
-        kinds = [self.pair["text" if t[0] == "#" else "element"] for t in page.tag]
+        kinds = self.pairs(page)
         sent = [0.0] * len(up)
         for k in range(len(up) - 1, 0, -1):  # messages to the parents
             up[k] = max(-30.0, min(30.0, up[k]))
@@ -206,7 +220,7 @@ class Model:
             sent[k] = log((c1 * e + 1 - c1) / (c0 * e + 1 - c0))
             up[parent[k]] += sent[k]
         belief = up
-        belief[0] -= KNOWN  # the root is no content
+        belief[0] -= LIKELY  # a whole page is hardly all content
         for k in range(1, len(up)):  # messages to the children
             c0, c1 = kinds[k]
             e = exp(max(-30.0, min(30.0, belief[parent[k]] - sent[k])))
@@ -245,8 +259,7 @@ def train(pages: DataFrame, *, html: str = "html", key: str = "page_id", max_pag
                     y = labels[k]
                     n.update((f, y) for f in fs)
                     if k:
-                        kind = "text" if page.tag[k][0] == "#" else "element"
-                        n[f"pair:{kind}:{int(labels[page.parent[k]])}", y] += 1
+                        n[f"pair:{_kind(page.tag[k])}:{int(labels[page.parent[k]])}", y] += 1
             yield pd.DataFrame([(f, int(y), c) for (f, y), c in n.items()], columns=["f", "y", "n"])
 
     counts: dict[str, list[int]] = {}
