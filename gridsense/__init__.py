@@ -17,12 +17,12 @@ from gridsense.operators.rollup import (daily_rollup, plausible, rejected_rollup
                                         window_rollup)
 from gridsense.session import get_session, work_dir
 from gridsense.streaming.sinks import (read_revisions, run_all, run_available, snapshot_revisions,
-                                       start_topic_sink, state_partitions_for)
+                                       start_topic_sink, stream_revisions)
 
 __all__ = [
     "counter_daily_diff", "daily_rollup", "decode_json", "drop_invalid", "encode_json",
     "format_payload", "get_session", "latest_per_key", "leak", "parse_reading", "plausible",
     "raw_envelope", "read_revisions", "rejected_rollup", "run_all", "run_available",
     "sensor_from_topic", "snapshot_revisions", "split_late", "start_topic_sink",
-    "state_partitions_for", "watermark", "window_rollup", "work_dir",
+    "stream_revisions", "watermark", "window_rollup", "work_dir",
 ]

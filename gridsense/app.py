@@ -6,10 +6,12 @@
 
 Stage one (gauge roll-ups, counter differences, accepted and rejected
 sub-meter sums) reads the message folder; stage two joins two of its topics
-into the leak topic. Topics and checkpoints live under ``--root``, which
-should be in the cluster's shared storage. ``--once`` processes what is
-available and stops (a catch-up run); otherwise the queries run until one
-fails or is stopped, like the reference's jobs.
+into the leak topic; with ``--store``, further queries keep raw readings and
+results as datasets for the panels. Topics and checkpoints live under
+``--root``, which should be in the cluster's shared storage. ``--once``
+processes what is available and stops (a catch-up run, which may be repeated
+any number of times); otherwise the queries run until one fails or is
+stopped, like the reference's jobs.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ def main(argv=None) -> None:
     p.add_argument("--kafka", action="append", default=[], metavar="KEY=VALUE",
                    help="write topics to Kafka with these connector options")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
-    p.add_argument("--store", default=None, help="also keep the topics as datasets here (with --once)")
+    p.add_argument("--store", default=None, help="also keep raw readings and results as datasets here")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     a = p.parse_args(argv)
     if a.fmt != "kafka" and not a.messages:
@@ -46,17 +48,20 @@ def main(argv=None) -> None:
     kafka = dict(kv.split("=", 1) for kv in a.kafka) or None
     msgs = read_messages(spark, a.messages, fmt=a.fmt, stream=True, options=options,
                          max_files_per_trigger=a.max_files_per_trigger)
-    stage_one = jobs.start_household(msgs, a.root, trigger=trigger, kafka=kafka)
-    if a.once:
-        for q in stage_one:
-            q.awaitTermination()
-    leak = jobs.start_leak(spark, a.root, trigger=trigger, kafka=kafka)
-    if a.once:
-        leak.awaitTermination()
-        if a.store:
-            jobs.store_topics(spark, a.root, a.store)
-        return
-    run_all([*stage_one, leak], spark=spark)
+    def done(queries):
+        if a.once:
+            for q in queries:
+                q.awaitTermination()
+        return queries
+
+    started = done(jobs.start_household(msgs, a.root, trigger=trigger, kafka=kafka))
+    if a.store:
+        started += done([jobs.start_raw_store(msgs, a.store, trigger=trigger)])
+    started += done([jobs.start_leak(spark, a.root, trigger=trigger, kafka=kafka)])
+    if a.store:
+        started += done(jobs.start_store(spark, a.root, a.store, trigger=trigger))
+    if not a.once:
+        run_all(started, spark=spark)
 
 
 if __name__ == "__main__":

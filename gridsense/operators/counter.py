@@ -1,16 +1,17 @@
 """Daily difference of a cumulative counter (Etot, Wtot).
 
-A counter read once a day at midnight falls in two windows of 2 days sliding
-by 1 day. The window ``[D-1, D+1)`` pairs the readings of ``D-1`` and ``D``;
-its label ``end - 1 day = D`` is the day the consumption ends, the same label
-a tumbling day window ``[D-1, D)`` gets, so counters and gauges join on it.
+The windows are 2 days long and slide by 1 day. The window ``[D-1, D+1)``
+pairs the first reading of day ``D-1`` with the first reading of day ``D``; its
+label ``end - 1 day = D`` is the day the consumption ends, the same label a
+tumbling day window ``[D-1, D)`` gets, so counters and gauges join on it. A
+counter read once a day at midnight, as the reference's are, has just these
+two readings in a window; further readings of a day change nothing.
 
-The reference computes the difference with an order-dependent fold. Here it
-is ``last - first`` by event time (``max_by`` / ``min_by``), which is order
-independent and algebraic: Spark aggregates partially before the shuffle,
-and in a stream the state per window is five fixed-width values. Two
-readings of different values at the very same instant are a data error;
-either may be taken.
+The reference computes the difference with an order-dependent fold. Here the
+two readings are found by event time (``min`` of time and value), which is
+order independent and algebraic: Spark aggregates partially before the
+shuffle, and in a stream the state per window is two readings and a count. Of
+different values at the same instant the smallest counts.
 """
 
 from __future__ import annotations
@@ -32,8 +33,7 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
                        keep_count: bool = False) -> DataFrame:
     """``(keys, Day, daily_diff)`` from counter readings ``(ts, value)``.
 
-    * ``single="drop"``: windows without readings at two distinct instants
-      are left out.
+    * ``single="drop"``: windows without a reading on both days are left out.
     * ``single="value"``: such a window reports the reading itself; combine
       with :func:`~gridsense.operators.rollup.plausible` to hide the ones
       above a bound, as the reference does.
@@ -46,27 +46,26 @@ def counter_daily_diff(df: DataFrame, ts: str = "DateTime", value: str = "NumVal
     keys = _keys(by)
     if delay is not None:
         df = df.withWatermark(ts, delay)
-    # Fixed-width aggregation buffers only, so Spark keeps a hash aggregate
-    # (partial before the shuffle) rather than sorting. A reading without a
-    # value is ignored inside the aggregates (its time orders nothing)
-    # rather than by a filter, which Spark would push below the parsing and
-    # so parse every message twice.
-    t = F.when(F.col(value).isNotNull(), F.col(ts))
-    g = df.groupBy(*keys, F.window(ts, "2 days", "1 day")).agg(
-        F.max_by(value, t).alias("_last"),
-        F.min_by(value, t).alias("_first"),
-        F.max(t).alias("_t_last"),
-        F.min(t).alias("_t_first"),
-        F.count(value).alias("n"))
-    # A pair means readings at two distinct instants: a reading delivered
-    # twice (at-least-once transport) is still a single reading.
-    paired = F.col("_t_last") > F.col("_t_first")
-    diff = F.col("_last") - F.col("_first")
+    # A reading without a value is ignored inside the aggregates (its time
+    # orders nothing) rather than by a filter, which Spark would push below
+    # the parsing and so parse every message twice.
+    w = df.select(*keys, F.window(ts, "2 days", "1 day").alias("window"), F.col(ts).alias("_t"),
+                  F.col(value).alias("_v"))
+    reading = F.struct("_t", "_v")
+    later = F.col("_t") >= F.col("window.start") + F.expr("INTERVAL 1 DAY")
+    g = w.groupBy(*keys, "window").agg(
+        F.min(F.when(F.col("_v").isNotNull() & ~later, reading)).alias("_before"),
+        F.min(F.when(F.col("_v").isNotNull() & later, reading)).alias("_after"),
+        F.count("_v").alias("n"))
+    # A pair means a reading on each of the two days: readings delivered twice
+    # (at-least-once transport) are no pair.
+    paired = F.col("_before").isNotNull() & F.col("_after").isNotNull()
+    diff = F.col("_after._v") - F.col("_before._v")
     if single == SINGLE_DROP:
         g = g.where(paired)
     else:
         g = g.where(F.col("n") > 0)
-        diff = F.when(paired, diff).otherwise(F.col("_last"))
+        diff = F.when(paired, diff).otherwise(F.coalesce(F.col("_after._v"), F.col("_before._v")))
     if round_to is not None:
         diff = F.round(diff, round_to)
     day = F.date_sub(F.col("window.end"), 1)

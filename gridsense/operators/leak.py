@@ -72,3 +72,28 @@ def leak(sub_df: DataFrame, total_df: DataFrame, day: str = "Day", sub: str = "T
     if round_to is not None:
         value = F.round(value, round_to)
     return joined.select(*keys, F.col(day), value.alias(out))
+
+
+def leak_of_revisions(sub_df: DataFrame, total_df: DataFrame, revision: str, day: str = "Day",
+                      sub: str = "Totalw1", total: str = "daily_diff", by=None,
+                      out: str = "LeakValue", round_to: int | None = 2) -> DataFrame:
+    """The leak over two logs of revisions, batch or streaming (update mode).
+
+    Both logs are united and each key keeps the latest revision of either
+    side, so a row leaves as soon as both sides are known and again whenever
+    one of them is revised. The state is one row per key and day; nothing is
+    joined and nothing is withheld by a watermark.
+    """
+    keys = _keys(by)
+    none = F.lit(None)
+    left = sub_df.select(*keys, day, F.col(sub).alias("_sub"), F.col(revision).alias("_sub_at"),
+                         none.cast("double").alias("_total"), none.cast("long").alias("_total_at"))
+    right = total_df.select(*keys, day, none.cast("double").alias("_sub"), none.cast("long").alias("_sub_at"),
+                            F.col(total).alias("_total"), F.col(revision).alias("_total_at"))
+    last = left.unionByName(right).groupBy(*keys, day).agg(
+        F.max_by("_sub", "_sub_at").alias("_sub"), F.max_by("_total", "_total_at").alias("_total"))
+    value = F.col("_total") - F.col("_sub")
+    if round_to is not None:
+        value = F.round(value, round_to)
+    return last.where(F.col("_sub").isNotNull() & F.col("_total").isNotNull()) \
+        .select(*keys, day, value.alias(out))

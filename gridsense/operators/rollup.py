@@ -14,12 +14,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Sums and averages are taken in decimals, so that they do not depend on the
+# order in which readings meet (a double sum's last digit does, and can tip a
+# rounding).
+EXACT = "decimal(28,8)"
+
+
+def _sum_or_avg(f, value: str, round_to: int | None) -> Column:
+    exact = F.col(value).try_cast(EXACT)
+    taken = f(exact) if round_to is None else F.round(f(exact), round_to)
+    plain = f(value) if round_to is None else F.round(f(value), round_to)
+    # A value that has no such decimal (not finite, or beyond 1e20) makes the
+    # window's result an ordinary double one.
+    return F.when(F.count(exact) == F.count(value), taken.cast("double")).otherwise(plain)
+
+
+def _plain(f):
+    return lambda value, round_to: f(value) if round_to is None else F.round(f(value), round_to)
+
+
 _AGGS = {
-    "sum": F.sum,
-    "avg": F.avg,
-    "min": F.min,
-    "max": F.max,
-    "count": F.count,
+    "sum": lambda value, round_to: _sum_or_avg(F.sum, value, round_to),
+    "avg": lambda value, round_to: _sum_or_avg(F.avg, value, round_to),
+    "min": _plain(F.min),
+    "max": _plain(F.max),
+    "count": lambda value, round_to: F.count(value),
 }
 
 
@@ -29,10 +48,6 @@ def _keys(by) -> list[str]:
     return [by] if isinstance(by, str) else list(by)
 
 
-def _round(c: Column, round_to: int | None) -> Column:
-    return c if round_to is None else F.round(c, round_to)
-
-
 def watermark(df: DataFrame, ts: str, delay: str, by=None, each=None) -> DataFrame:
     """Watermark a stream on ``ts``.
 
@@ -102,8 +117,7 @@ def daily_rollup(df: DataFrame, how: str | Sequence[str] = "sum", ts: str = "Dat
     for h, name in zip(hows, outs):
         if h not in _AGGS:
             raise ValueError(f"unknown roll-up {h!r}")
-        c = _AGGS[h](value)
-        aggs[name] = c if h == "count" else _round(c, round_to)
+        aggs[name] = _AGGS[h](value, round_to)
     return window_rollup(df, period, aggs, ts=ts, by=by, delay=delay, label=label,
                          watermark_each=watermark_each, nonempty=value)
 
@@ -114,7 +128,7 @@ def rejected_rollup(df: DataFrame, ts: str = "DateTime", value: str = "NumVal",
                     round_to: int | None = None) -> DataFrame:
     """Sum of rejected-late readings per 10-minute window, labelled by the
     window end. Unrounded, as the reference emits it."""
-    return window_rollup(df, period, {out: _round(F.sum(value), round_to)}, ts=ts, by=by,
+    return window_rollup(df, period, {out: _sum_or_avg(F.sum, value, round_to)}, ts=ts, by=by,
                          delay=delay, label=label, nonempty=value)
 
 

@@ -13,12 +13,16 @@ Store layout under a root folder (one dataset per collection, see
 dataset            columns                                partitions
 =================  =====================================  ==============
 ``raw``            Sensor, DateTime, value, domain        domain, Sensor, month
-``daily``          Sensor, Day, Total                     Sensor
-``counter_diff``   Sensor, Day, daily_diff                Sensor
-``accepted_daily`` Sensor, Day, Totalw1                   Sensor
-``rejected``       Sensor, RejectedEvent, RejectedVal     -
-``leak``           Meter, Day, LeakValue                  -
+``daily``          Sensor, Day, Total                     store batch
+``counter_diff``   Sensor, Day, daily_diff                store batch
+``accepted_daily`` Sensor, Day, Totalw1                   store batch
+``rejected``       Sensor, RejectedEvent, RejectedVal     store batch
+``leak``           Meter, Day, LeakValue                  store batch
 =================  =====================================  ==============
+
+The results are revised as readings arrive (update mode), so their topics
+are revision logs, and their datasets are read by key (:data:`KEYS`): the last
+revision of a key is its row.
 """
 
 from __future__ import annotations
@@ -32,10 +36,10 @@ from gridsense.functions.parse import (PAYLOAD_SEP, decode_json, drop_invalid, k
                                        strict_double)
 from gridsense.operators.counter import SINGLE_DROP, SINGLE_VALUE, counter_daily_diff
 from gridsense.operators.late import split_late
-from gridsense.operators.leak import latest_per_key, leak
+from gridsense.operators.leak import latest_per_key, leak, leak_of_revisions
 from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
 from gridsense.sources.io import append_dataset, read_dataset
-from gridsense.streaming.sinks import REVISION, start_topic_sink
+from gridsense.streaming.sinks import REVISION, committed, start_topic_sink, stream_revisions
 
 PERIOD_PARTITION = "month"  # first day of the UTC month, a DATE
 
@@ -45,17 +49,21 @@ TOTAL_SCHEMA = "Day TIMESTAMP, daily_diff DOUBLE"
 
 
 def sensor_readings(messages: DataFrame, sensors=None, numeric: bool = True,
-                    valid_only: bool = True) -> DataFrame:
+                    valid_only: bool = True, topics=None) -> DataFrame:
     """Messages -> ``(Sensor, DateTime, NumVal | Val)`` for the given sensor
     names (all when None).
 
-    ``valid_only`` drops rows whose time or value did not parse; it is done
-    with :func:`~gridsense.functions.parse.keep_valid`, so every message is
-    parsed once (a plain filter on parsed columns would be pushed below the
-    parsing and parse it twice, ~2x the cost on the hot path).
+    ``topics`` subscribes to these topics: unlike the names, which are a
+    function of the topic, this filter reaches the scan. ``valid_only`` drops
+    rows whose time or value did not parse; it is done with
+    :func:`~gridsense.functions.parse.keep_valid`, so every message is parsed
+    once (a plain filter on parsed columns would be pushed below the parsing
+    and parse it twice, ~2x the cost on the hot path).
     """
+    if topics is not None:
+        messages = messages.where(F.col("topic").isin(list(topics)))
     m = messages.select(sensor_from_topic("topic").alias("Sensor"), "payload")
-    if sensors is not None:
+    if sensors is not None and topics is None:
         m = m.where(F.col("Sensor").isin(list(sensors)))
     r = parse_reading(m, keep=["Sensor"], numeric=numeric)
     if valid_only:
@@ -63,6 +71,15 @@ def sensor_readings(messages: DataFrame, sensors=None, numeric: bool = True,
     return r
 
 
+def subscribed(messages: DataFrame, names, sensors=registry.HOUSEHOLD, numeric: bool = True) -> DataFrame:
+    """Readings of the named sensors by their topics in the registry; names
+    it does not list are taken from any topic that ends with them."""
+    topic_of = {x.name: x.topic for x in sensors}
+    known = all(n in topic_of for n in names)
+    return sensor_readings(messages, list(names), numeric,
+                           topics=[topic_of[n] for n in names] if known else None)
+
+
 def gauge_daily(readings: DataFrame, sensors=registry.HOUSEHOLD, delay: str | None = None,
                 round_to: int | None = 2, watermark_each=None) -> DataFrame:
     """``(Sensor, Day, Total)``: each gauge's daily sum or average, as the
@@ -113,6 +130,7 @@ def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD, with_rejects: bo
     return env, rejects
 
 
+# Fields of the raw envelope.
 ENVELOPE_SCHEMA = "Sensor STRING, DateTime STRING, value DOUBLE"
 
 
@@ -139,8 +157,11 @@ def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_month: b
 
 
 def store_daily(daily: DataFrame, path: str, mode: str = "append") -> str:
-    """Append ``(Sensor, Day, Total)`` roll-ups to a dataset partitioned by sensor."""
-    return append_dataset(daily, path, partition_by=("Sensor",), sort_within=("Day",), mode=mode)
+    """Append ``(Sensor, Day, Total)`` roll-ups to a dataset partitioned by
+    month (one row per sensor and day: few rows, so no folder per sensor) and
+    sorted by sensor."""
+    rows = daily.withColumn(PERIOD_PARTITION, F.trunc(F.to_date("Day"), "month"))
+    return append_dataset(rows, path, partition_by=(PERIOD_PARTITION,), sort_within=("Sensor", "Day"), mode=mode)
 
 
 # -- domain jobs ------------------------------------------------------------
@@ -158,10 +179,10 @@ def energy_job(messages: DataFrame, counter_lt: float | None, sensors=registry.H
     """
     gauges = registry.names(sensors, domain="energy", kind="gauge")
     counters = registry.names(sensors, domain="energy", kind="counter")
-    daily = gauge_daily(sensor_readings(messages, gauges), sensors, delay=delay,
+    daily = gauge_daily(subscribed(messages, gauges, sensors), sensors, delay=delay,
                         watermark_each=gauges if watermark_per_sensor else None)
     single = SINGLE_DROP if counter_lt is None else SINGLE_VALUE
-    diff = counter_daily_diff(sensor_readings(messages, counters), by="Sensor",
+    diff = counter_daily_diff(subscribed(messages, counters, sensors), by="Sensor",
                               delay=counter_delay, single=single, round_to=None, day_type="date")
     if counter_lt is not None:
         diff = plausible(diff, "daily_diff", lt=counter_lt)
@@ -172,7 +193,7 @@ def temp_job(messages: DataFrame, sensors=registry.HOUSEHOLD, delay: str | None
              watermark_per_sensor: bool = False) -> dict[str, DataFrame]:
     """Daily averages of the temperature gauges and the daily movement count."""
     names = registry.names(sensors, domain="temp")
-    return {"daily": gauge_daily(sensor_readings(messages, names), sensors,
+    return {"daily": gauge_daily(subscribed(messages, names, sensors), sensors,
                                  delay=delay,
                                  watermark_each=names if watermark_per_sensor else None)}
 
@@ -180,7 +201,7 @@ def temp_job(messages: DataFrame, sensors=registry.HOUSEHOLD, delay: str | None
 def water_job(messages: DataFrame, sub_gt: float | None, counter_lt: float | None = None,
               sub_meters=("W1",), counters=("Wtot",), accept_delay: str | None = None,
               counter_delay: str | None = None,
-              rejected_delay: str | None = None) -> dict[str, DataFrame]:
+              rejected_delay: str | None = None, sensors=registry.HOUSEHOLD) -> dict[str, DataFrame]:
     """Water: accepted daily sums of the sub-meters (late rows routed away),
     their rejected-late 10-minute sums, and the counter's daily difference.
 
@@ -188,13 +209,13 @@ def water_job(messages: DataFrame, sub_gt: float | None, counter_lt: float | Non
     sums go out in update mode); ``counter_lt`` keeps the reference's
     single-reading rule with its bound, else pairs only are kept.
     """
-    flagged = sensor_readings(messages, sub_meters, numeric=False)
+    flagged = subscribed(messages, sub_meters, sensors, numeric=False)
     accepted, rejected = split_late(flagged)
     accepted_daily = daily_rollup(accepted, by="Sensor", delay=accept_delay, out="Totalw1")
     if sub_gt is not None:
         accepted_daily = plausible(accepted_daily, "Totalw1", gt=sub_gt)
     single = SINGLE_DROP if counter_lt is None else SINGLE_VALUE
-    diff = counter_daily_diff(sensor_readings(messages, counters), by="Sensor",
+    diff = counter_daily_diff(subscribed(messages, counters, sensors), by="Sensor",
                               delay=counter_delay, single=single)
     if counter_lt is not None:
         diff = plausible(diff, "daily_diff", lt=counter_lt)
@@ -224,86 +245,129 @@ COUNTER_SCHEMA = "Sensor STRING, Day TIMESTAMP, daily_diff DOUBLE"
 
 
 def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
-                    late_sensors=None, gauge_delay: str = "1 second",
-                    accept_delay: str = "3 days", counter_delay: str = "1 second",
-                    rejected_delay: str = "1 hour", sub_gt: float | None = None,
-                    trigger: dict | None = None, state_partitions: int | None = None,
-                    name_prefix: str = "", watermark_per_sensor: bool = False,
+                    late_sensors=None, gauge_delay: str | None = "30 days",
+                    accept_delay: str | None = "3 days", counter_delay: str | None = None,
+                    rejected_delay: str | None = None, sub_gt: float | None = None,
+                    trigger: dict | None = None, name_prefix: str = "", raw: bool = True,
                     kafka: dict[str, str] | None = None) -> list:
-    """Start stage one of the application over one message stream: four
-    streaming queries, each one keyed aggregate over all its sensors, writing
-    JSON topic folders under ``root`` (or, with ``kafka`` connector options,
-    Kafka topics of the same names; ``root`` then holds the checkpoints):
+    """Start stage one of the application over one message stream: streaming
+    queries, each one keyed aggregate over all its sensors, writing JSON topic
+    folders under ``root`` (or, with ``kafka`` connector options, Kafka topics
+    of the same names; ``root`` then holds the checkpoints):
 
     * ``daily``: every gauge's daily sum or average (all domains at once);
     * ``counter_diff``: every counter's daily difference (pairs only);
     * ``accepted_daily`` / ``rejected``: the late-routed sub-meters
-      (``late_sensors``, default the water gauges).
-
-    The reference runs one query per sensor and aggregate (each reading its
-    source again); here the source is read once per query. All are in
-    append mode, so each record is final and the leak stage
-    (:func:`start_leak`) joins it once. ``watermark_per_sensor`` gives each
-    gauge its own watermark, as one query per topic would; then a sensor
-    that never reports holds every window open, so the default is one
-    watermark per query. Returns the started queries.
+      (``late_sensors``, default the water gauges);
+    * ``raw`` (unless off): every reading as an envelope, one folder per domain.
+
+    All but the raw readings run in update mode: a result leaves as soon as
+    its first reading is there and again whenever it is revised, so nothing
+    waits for a watermark. A watermark only bounds the state. Counters and
+    rejected readings have none, as in the reference (their state is one row
+    per sensor and day or ten minutes); the sub-meters have the reference's 3
+    days. The gauges share one query, so their lateness must cover how far
+    sensors are out of step, not only how late one sensor's rows are: 30 days
+    by default, at one row of state per sensor and day. Returns the started
+    queries.
     """
     late = list(late_sensors) if late_sensors is not None else \
         registry.names(sensors, domain="water", kind="gauge")
     gauges = [x.name for x in sensors if x.kind in ("gauge", "flag") and x.name not in late]
     counters = registry.names(sensors, kind="counter")
-    accepted, rejected = split_late(sensor_readings(messages, late, numeric=False))
+    accepted, rejected = split_late(subscribed(messages, late, sensors, numeric=False))
     accepted_daily = daily_rollup(accepted, by="Sensor", delay=accept_delay, out="Totalw1")
     if sub_gt is not None:
         accepted_daily = plausible(accepted_daily, "Totalw1", gt=sub_gt)
     outs = {
-        "daily": gauge_daily(sensor_readings(messages, gauges), sensors,
-                             delay=gauge_delay,
-                             watermark_each=gauges if watermark_per_sensor else None),
-        "counter_diff": counter_daily_diff(sensor_readings(messages, counters),
+        "daily": gauge_daily(subscribed(messages, gauges, sensors), sensors, delay=gauge_delay),
+        "counter_diff": counter_daily_diff(subscribed(messages, counters, sensors),
                                            by="Sensor", delay=counter_delay),
         "accepted_daily": accepted_daily,
         "rejected": rejected_rollup(rejected, by="Sensor", delay=rejected_delay),
     }
-    kw = dict(mode="append", fmt="kafka" if kafka else "json", trigger=trigger,
-              state_partitions=state_partitions)
-    return [start_topic_sink(df, f"{root}/{name}", query_name=f"{name_prefix}{name}",
-                             options={**kafka, "topic": name} if kafka else None, **kw)
-            for name, df in outs.items()]
-
-
-def start_leak(spark: SparkSession, root: str, pairs=LEAK_PAIRS, watermark: str = "5 seconds",
-               trigger: dict | None = None, state_partitions: int | None = None,
+    kw = dict(fmt="kafka" if kafka else "json", trigger=trigger)
+    started = [start_topic_sink(df, f"{root}/{name}", mode="update", query_name=f"{name_prefix}{name}",
+                                options={**kafka, "topic": name} if kafka else None, **kw)
+               for name, df in outs.items()]
+    if raw:
+        env = ingest_raw(messages, sensors)
+        started.append(start_topic_sink(env, f"{root}/raw", query_name=f"{name_prefix}raw",
+                                        partition_by=None if kafka else ["domain"],
+                                        options={**kafka, "topic": "raw"} if kafka else None, **kw))
+    return started
+
+
+def _open_revisions(spark: SparkSession, root: str, name: str, kafka: dict[str, str] | None) -> DataFrame:
+    """A result topic as a stream of revisions ``(record, batch_id)``."""
+    schema = TOPIC_SCHEMAS[name]
+    if kafka:
+        raw = spark.readStream.options(**kafka, subscribe=name).format("kafka").load()
+        return decode_json(raw.withColumn(REVISION, F.unix_micros("timestamp")), schema, keep=[REVISION])
+    # The folder must be there before it is watched; an empty batch is none.
+    spark.range(0).select(F.col("id").cast("string").alias("value")) \
+        .write.mode("overwrite").text(f"{root}/{name}/{REVISION}=-1")
+    return stream_revisions(spark, f"{root}/{name}", schema)
+
+
+def start_leak(spark: SparkSession, root: str, pairs=LEAK_PAIRS, trigger: dict | None = None,
                name_prefix: str = "", kafka: dict[str, str] | None = None):
-    """Start stage two: stream-stream join of the ``accepted_daily`` and
-    ``counter_diff`` topics under ``root`` (or Kafka topics, with ``kafka``
-    connector options), each sub-meter against its meter, into the ``leak``
-    topic as ``(Meter, Day, LeakValue)`` records."""
-    from gridsense.sources.io import read_topic
-
-    def topic(name: str, schema: str) -> DataFrame:
-        if kafka:
-            return read_topic(spark, None, schema, stream=True, fmt="kafka",
-                              options={**kafka, "subscribe": name})
-        return read_topic(spark, f"{root}/{name}", schema, stream=True)
-
+    """Start stage two: the leak of each sub-meter against its meter from the
+    ``accepted_daily`` and ``counter_diff`` topics under ``root`` (or Kafka
+    topics, with ``kafka`` connector options), into the ``leak`` topic as
+    ``(Meter, Day, LeakValue)`` records, revised whenever a side is."""
     meter_of = registry.map_literal(pairs)
-    sub = topic("accepted_daily", ACCEPTED_SCHEMA)
+    sub = _open_revisions(spark, root, "accepted_daily", kafka)
     sub = sub.where(F.col("Sensor").isin([a for a, _ in pairs])) \
-        .select(F.element_at(meter_of, F.col("Sensor")).alias("Meter"), "Day", "Totalw1")
-    total = topic("counter_diff", COUNTER_SCHEMA)
+        .select(F.element_at(meter_of, F.col("Sensor")).alias("Meter"), "Day", "Totalw1", REVISION)
+    total = _open_revisions(spark, root, "counter_diff", kafka)
     total = total.where(F.col("Sensor").isin([b for _, b in pairs])) \
-        .select(F.col("Sensor").alias("Meter"), "Day", "daily_diff")
-    joined = leak(sub, total, by="Meter", watermark=watermark)
-    return start_topic_sink(joined, f"{root}/leak", mode="append", fmt="kafka" if kafka else "json",
-                            trigger=trigger, state_partitions=state_partitions,
-                            query_name=f"{name_prefix}leak",
+        .select(F.col("Sensor").alias("Meter"), "Day", "daily_diff", REVISION)
+    found = leak_of_revisions(sub, total, REVISION, by="Meter")
+    return start_topic_sink(found, f"{root}/leak", mode="update", fmt="kafka" if kafka else "json",
+                            trigger=trigger, query_name=f"{name_prefix}leak",
                             options={**kafka, "topic": "leak"} if kafka else None)
 
 
+# -- the store ------------------------------------------------------------------
+
+STORE_BATCH = "store_batch"
+RESULTS = ("daily", "counter_diff", "accepted_daily", "rejected", "leak")
+# Rows of a raw partition are dealt over so many tasks of a micro-batch, so
+# that a sensor with much of the data is not written by one.
+RAW_SPREAD = 8
+
+
+def start_store(spark: SparkSession, topics_root: str, store_root: str, names=RESULTS,
+                trigger: dict | None = None, name_prefix: str = "store_") -> list:
+    """Keep result topics as typed Parquet datasets, one streaming query per
+    topic with a checkpoint of its own: a topic's record is stored once
+    however often the store is run. Read with :func:`read_store`."""
+    return [start_topic_sink(_open_revisions(spark, topics_root, name, None), f"{store_root}/{name}",
+                             mode="update", fmt="parquet", revision=STORE_BATCH, trigger=trigger,
+                             query_name=f"{name_prefix}{name}") for name in names]
+
+
+def start_raw_store(messages: DataFrame, store_root: str, sensors=registry.HOUSEHOLD,
+                    trigger: dict | None = None, name_prefix: str = "store_"):
+    """Keep every reading of the message stream in the ``raw`` dataset."""
+    env = ingest_raw(messages, sensors).withColumn(PERIOD_PARTITION, F.trunc(F.to_date("DateTime"), "month"))
+    spread = F.pmod(F.xxhash64("DateTime"), F.lit(RAW_SPREAD))
+    dealt = env.repartition(*LAYOUT["raw"], spread)
+    return start_topic_sink(dealt, f"{store_root}/raw", fmt="parquet", partition_by=LAYOUT["raw"],
+                            trigger=trigger, query_name=f"{name_prefix}raw")
+
+
+def read_store(spark: SparkSession, store_root: str, name: str) -> DataFrame:
+    """The rows of a result dataset: the last revision of each key."""
+    path = f"{store_root}/{name}"
+    rows = committed(spark, path, STORE_BATCH)
+    return latest_per_key(rows.drop(STORE_BATCH), KEYS[name], REVISION)
+
+
 # -- dashboard panels ---------------------------------------------------------
 
-# The dashboard's six panels: dataset, sensor filter, time column.
+# The dashboard's six panels: dataset, sensor filter, time column.
 PANELS = {
     "th2_daily_avg": ("daily", "TH2", "Day"),
     "th1_raw": ("raw", "TH1", "DateTime"),
@@ -312,15 +376,17 @@ PANELS = {
     "etot_diff": ("counter_diff", "Etot", "Day"),
     "water_leak": ("leak", None, "Day"),
 }
-# Partition columns of each stored dataset.
-LAYOUT = {
-    "raw": ("domain", "Sensor", PERIOD_PARTITION),
-    "daily": ("Sensor",),
-    "counter_diff": ("Sensor",),
-    "accepted_daily": ("Sensor",),
-    "rejected": (),
-    "leak": (),
+# Partition columns of the raw dataset.
+LAYOUT = {"raw": ("domain", "Sensor", PERIOD_PARTITION)}
+# Key columns of the result datasets.
+KEYS = {
+    "daily": ("Sensor", "Day"),
+    "counter_diff": ("Sensor", "Day"),
+    "accepted_daily": ("Sensor", "Day"),
+    "rejected": ("Sensor", "RejectedEvent"),
+    "leak": ("Meter", "Day"),
 }
+# Record schemas of the topics.
 TOPIC_SCHEMAS = {
     "daily": DAILY_SCHEMA,
     "counter_diff": COUNTER_SCHEMA,
@@ -330,25 +396,21 @@ TOPIC_SCHEMAS = {
 }
 
 
-def store_topics(spark: SparkSession, topics_root: str, store_root: str,
-                 names=("daily", "counter_diff", "accepted_daily", "rejected", "leak")) -> None:
-    """Keep JSON topic folders as typed Parquet datasets (the store's sink
-    connectors): each record decoded with its schema, time fields typed,
-    partitioned as :data:`LAYOUT` says."""
-    from gridsense.sources.io import read_topic
-    for name in names:
-        df = read_topic(spark, f"{topics_root}/{name}", TOPIC_SCHEMAS[name])
-        append_dataset(df, f"{store_root}/{name}", partition_by=LAYOUT[name])
-
-
 def panel(spark: SparkSession, root: str, name: str, start=None, end=None,
           panels: dict = PANELS, sensor: str | None = None) -> DataFrame:
     """One panel's rows: a stored dataset, filtered by sensor and by the
-    dashboard's time range (both pushed to the scan)."""
+    dashboard's time range (both pushed to the scan). Result datasets are read
+    by key where the store keeps revisions, else as they are."""
     dataset, default_sensor, ts = panels[name]
-    df = read_dataset(spark, f"{root}/{dataset}", sensor=sensor or default_sensor,
-                      start=start, end=end, ts=ts,
-                      sensor_col="Meter" if dataset == "leak" else "Sensor")
-    if dataset == "accepted_daily" and REVISION in df.columns:
-        df = latest_per_key(df, ["Sensor", "Day"], REVISION)
+    sensor, sensor_col = sensor or default_sensor, "Meter" if dataset == "leak" else "Sensor"
+    if dataset == "raw" or committed(spark, f"{root}/{dataset}", STORE_BATCH) is None:
+        return read_dataset(spark, f"{root}/{dataset}", sensor=sensor, start=start, end=end, ts=ts,
+                            sensor_col=sensor_col)
+    df = read_store(spark, root, dataset)
+    if sensor is not None:
+        df = df.where(F.col(sensor_col) == sensor)
+    if start is not None:
+        df = df.where(F.col(ts) >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        df = df.where(F.col(ts) <= F.lit(end).cast("timestamp"))
     return df

@@ -5,7 +5,9 @@ equivalent DuckDB SQL over the same tables.
 Timestamps leave these queries as ``TIMESTAMP_NTZ`` (UTC wall-clock), the
 type DuckDB gives the same columns. Streaming queries run to completion over
 the data available now (``availableNow``) and return their sink as a batch
-DataFrame; their SQL leaves out the windows a watermark still holds open.
+DataFrame. Those in update mode give every window; the one in append mode
+(``stream_daily_sum``) leaves out the windows its watermark still holds open,
+as the reference's does.
 """
 
 from __future__ import annotations
@@ -18,36 +20,28 @@ from pyspark.sql import functions as F
 from gridsense.functions.parse import decode_json, encode_json, raw_envelope
 from gridsense.operators.counter import SINGLE_VALUE, counter_daily_diff
 from gridsense.operators.late import split_late
-from gridsense.operators.leak import latest_per_key, leak
+from gridsense.operators.leak import latest_per_key, leak, leak_of_revisions
 from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
 from gridsense.plans import jobs
 from gridsense.session import ensure_utc, new_work_path
 from gridsense.sources import events as ev
-from gridsense.sources.io import read_dataset, read_messages, read_topic, write_messages
-from gridsense.streaming.sinks import (REVISION, read_revisions, run_available,
-                                      run_available_together, state_partitions_for)
+from gridsense.sources.io import read_dataset, read_messages, write_messages
+from gridsense.streaming.sinks import REVISION, read_revisions, run_available, run_available_together, wait_for
 
-# Bounds of the reference's plausibility filters (Etot below 72000 per day,
-# W1 above 40 per day), kept as its jobs state them.
+# Bounds of the reference's plausibility filters (Etot below
+# 72000 and Wtot below 150 per day, W1 above 40 per day).
 COUNTER_LT = 72000.0
+WATER_LT = 150.0
 SUB_GT = 40.0
-# Watermark delays of the reference's streams (gauges, W1, join); the
-# counter gets the gauges' delay, since append mode needs one.
+# Watermark delays of the reference's streams (gauges, W1).
 GAUGE_DELAY = "1 second"
 ACCEPT_DELAY = "3 days"
-JOIN_DELAY = "5 seconds"
-# The rejected stream has no watermark in the reference (its state never
-# expires); here it gets one so that append mode can emit final sums.
-REJECTED_DELAY = "1 hour"
 # The dashboard-style range read by the panel query.
 PANEL_START = "2024-01-03 00:00:00"
 PANEL_END = "2024-01-08 00:00:00"
+LATE_SPLIT = "2024-01-20 00:00:00"  # where the late-rows query parts its stream
 AVG_SENSOR = "error"  # the stand-in sensor averaged per day (TH1 / TH2 role)
 
-# Upper bound on one availableNow run, so a stuck stream fails the query
-# instead of hanging the caller.
-STREAM_TIMEOUT = 1800.0
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -55,17 +49,6 @@ def _ntz(c: str) -> F.Column:
     return F.col(c).cast("timestamp_ntz").alias(c)
 
 
-def _run(df: DataFrame, path: str, inputs: list[str], **kw) -> str:
-    """Run a stream over what is available; its state partitions are sized
-    by the input folders it reads."""
-    kw.setdefault("state_partitions", state_partitions_for(df.sparkSession, *inputs))
-    return run_available(df, path, timeout=STREAM_TIMEOUT, **kw)
-
-
-def _events(sf_dir: str) -> list[str]:
-    return [f"{sf_dir}/events.parquet"]
-
-
 # -- building blocks shared by several queries ---------------------------------
 
 def _sub_readings(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -74,8 +57,8 @@ def _sub_readings(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split_late(flagged)
 
 
-def _accepted_daily(accepted: DataFrame, delay: str | None = None) -> DataFrame:
-    d = daily_rollup(accepted, delay=delay, out="Totalw1")
+def _accepted_daily(accepted: DataFrame, delay: str | None = None, by=None) -> DataFrame:
+    d = daily_rollup(accepted, by=by, delay=delay, out="Totalw1")
     return plausible(d, "Totalw1", gt=SUB_GT)
 
 
@@ -145,11 +128,59 @@ def counter_diff_threshold_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     difference is unrounded and labelled by a DATE, and a bound hides the
     running total of an unpaired last reading."""
     ensure_utc(spark)
-    r = jobs.sensor_readings(ev.counter_messages(spark, sf_dir))
-    d = counter_daily_diff(r, by="Sensor", single=SINGLE_VALUE, round_to=None, day_type="date")
+    r = jobs.sensor_readings(ev.steady_messages(spark, sf_dir, "etot"))
+    d = counter_daily_diff(r, by="Sensor", single=SINGLE_VALUE, day_type="date")
     return plausible(d, "daily_diff", lt=COUNTER_LT)
 
 
+def energy_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The energy application: daily sums of its gauges and the difference
+    of its counter, as one list of results."""
+    ensure_utc(spark)
+    msgs = ev.event_messages(spark, sf_dir, flag_late=False).unionByName(ev.steady_messages(spark, sf_dir, "etot"))
+    out = jobs.energy_job(msgs, COUNTER_LT, ev.EVENT_SENSORS)
+    diff = out["counter_diff"].select("Sensor", F.col("Day").cast("timestamp").alias("Day"),
+                                      F.round("daily_diff", 2).alias("Total"))
+    return out["daily"].unionByName(diff).select("Sensor", _ntz("Day"), "Total")
+
+
+def temp_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The temperature application: daily averages and the movement count."""
+    ensure_utc(spark)
+    msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True)
+    return jobs.temp_job(msgs, ev.EVENT_SENSORS)["daily"].select("Sensor", _ntz("Day"), "Total")
+
+
+def water_job_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The water application: accepted daily sums, rejected sums and the
+    difference of the water counter under its bound, as one list."""
+    ensure_utc(spark)
+    msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,)) \
+        .unionByName(ev.steady_messages(spark, sf_dir, "wtot"))
+    out = jobs.water_job(msgs, SUB_GT, WATER_LT, sub_meters=(ev.SUB_METER,), counters=("wtot",),
+                         sensors=ev.EVENT_SENSORS)
+    parts = [out[name].select(F.lit(name).alias("result"), F.col(at).alias("At"), F.round(value, 2).alias("Value"))
+             for name, at, value in (("accepted_daily", "Day", "Totalw1"), ("counter_diff", "Day", "daily_diff"),
+                                     ("rejected", "RejectedEvent", "RejectedVal"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("result", _ntz("At"), "Value")
+
+
+def late_by_arrival_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late routing by arrival time: a reading that arrives more than the
+    accepted lateness after its own time is rejected. Every 120th reading of
+    the sub-meter (the flagged ones) arrives 10 days late."""
+    ensure_utc(spark)
+    rows = ev.load_events(spark, sf_dir).where(F.col("event_type") == ev.SUB_METER)
+    arrival = F.when(ev.late_flag(), F.col("ts").cast("timestamp") + F.expr("INTERVAL 10 DAYS")) \
+        .otherwise(F.col("ts").cast("timestamp"))
+    r = rows.select(F.col("ts").cast("timestamp").alias("DateTime"), F.col("value").alias("NumVal"),
+                    arrival.alias("Arrival"))
+    accepted, rejected = split_late(r, value="NumVal", rule="arrival", arrival="Arrival", delay=ACCEPT_DELAY)
+    out = daily_rollup(accepted, out="Total").withColumn("late", F.lit(False)).unionByName(
+        daily_rollup(rejected, out="Total").withColumn("late", F.lit(True)))
+    return out.select("late", _ntz("Day"), "Total")
+
+
 def accepted_daily_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
     accepted, _ = _sub_readings(ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,)))
@@ -170,20 +201,23 @@ def leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak(sub, total).select(_ntz("Day"), "LeakValue")
 
 
-def latest_per_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Revisions of the sub-meter's daily sum as an update-mode stream emits
-    them when each hour of data is one micro-batch; the last revision of a
-    day is its final sum."""
-    ensure_utc(spark)
+def _hourly_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisions ``(Day, batch_id, Totalw1)`` of the sub-meter's daily sum as
+    an update-mode stream emits them when each hour of data is one batch."""
     accepted, _ = _sub_readings(ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,)))
     hourly = accepted.groupBy(F.window("DateTime", "1 day").end.alias("Day"),
                               F.date_trunc("hour", "DateTime").alias("hour")) \
-        .agg(F.sum("NumVal").alias("s"))
+        .agg(F.sum(F.col("NumVal").cast("decimal(28,8)")).alias("s"))
     upto = Window.partitionBy("Day").orderBy("hour")
-    revisions = hourly.select(
-        "Day", (F.unix_timestamp("hour") / 3600).cast("long").alias(REVISION),
-        F.round(F.sum("s").over(upto), 2).alias("Totalw1"))
-    return latest_per_key(revisions, "Day", REVISION, ["Totalw1"]).select(_ntz("Day"), "Totalw1")
+    return hourly.select("Day", (F.unix_timestamp("hour") / 3600).cast("long").alias(REVISION),
+                         F.round(F.sum("s").over(upto), 2).cast("double").alias("Totalw1"))
+
+
+def latest_per_day_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last of a day's hourly revisions is its final sum."""
+    ensure_utc(spark)
+    return latest_per_key(_hourly_revisions(spark, sf_dir), "Day", REVISION, ["Totalw1"]) \
+        .select(_ntz("Day"), "Totalw1")
 
 
 def panel_sensor_range_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,11 +246,11 @@ def panel_daily_avg_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- streaming queries ----------------------------------------------------------
 
-def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Store derived messages (the meter's) as a source folder and open it
+def _stream_of(spark: SparkSession, messages: DataFrame, name: str) -> DataFrame:
+    """Store derived messages (a counter's) as a source folder and open it
     as a stream; device messages are streamed from the table itself."""
     path = write_messages(messages, new_work_path(spark, f"{name}-src"))
-    return read_messages(spark, path, stream=True), path
+    return read_messages(spark, path, stream=True)
 
 
 def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,7 +258,7 @@ def stream_daily_sum_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = ev.event_messages(spark, sf_dir, flag_late=False, motion=True, stream=True)
     daily = jobs.gauge_daily(jobs.sensor_readings(msgs), ev.EVENT_SENSORS,
                              delay=GAUGE_DELAY)
-    out = _run(daily, new_work_path(spark, "daily-out"), _events(sf_dir))
+    out = run_available(daily, new_work_path(spark, "daily-out"))
     return spark.read.parquet(out).select("Sensor", _ntz("Day"), "Total")
 
 
@@ -233,77 +267,137 @@ def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(msgs)
     daily = _accepted_daily(accepted, delay=ACCEPT_DELAY)
-    out = _run(daily, new_work_path(spark, "w1-rev"), _events(sf_dir), mode="update")
+    out = run_available(daily, new_work_path(spark, "w1-rev"), mode="update")
+    return read_revisions(spark, out, ["Day"]).select(_ntz("Day"), "Totalw1")
+
+
+def stream_late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows behind the 3-day watermark, over three runs of one stream: the
+    sub-meter's readings up to :data:`LATE_SPLIT`, those after it, and last
+    every 50th reading of the first part, days late. Late rows of windows that
+    the watermark has closed are dropped; those of open ones are added."""
+    ensure_utc(spark)
+    rows = ev.load_events(spark, sf_dir).where(F.col("event_type") == ev.SUB_METER)
+    early, late = F.col("ts") < F.lit(LATE_SPLIT).cast("timestamp_ntz"), F.col("event_id") % 50 == 0
+    src, out = new_work_path(spark, "late-src"), new_work_path(spark, "late-out")
+    for part in (early & ~late, ~early, early & late):
+        write_messages(ev.messages_of(rows.where(part), flag_late=False), src)
+        msgs = read_messages(spark, src, stream=True)
+        daily = daily_rollup(jobs.sensor_readings(msgs), delay=ACCEPT_DELAY, out="Totalw1")
+        run_available(daily, out, mode="update")
     return read_revisions(spark, out, ["Day"]).select(_ntz("Day"), "Totalw1")
 
 
 def stream_rejected_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rejected-late readings of the sub-meter, 10-minute sums, streamed in
-    append mode behind a watermark."""
+    update mode without a watermark, as the reference's."""
     ensure_utc(spark)
     msgs = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     _, rejected = _sub_readings(msgs)
-    out = _run(rejected_rollup(rejected, delay=REJECTED_DELAY), new_work_path(spark, "rejected-out"),
-               _events(sf_dir))
-    return spark.read.parquet(out).select(_ntz("RejectedEvent"), "RejectedVal")
+    out = run_available(rejected_rollup(rejected), new_work_path(spark, "rejected-out"), mode="update")
+    return read_revisions(spark, out, ["RejectedEvent"]).select(_ntz("RejectedEvent"), "RejectedVal")
 
 
 def stream_counter_diff_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    msgs, src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
-    diff = _counter_pairs(jobs.sensor_readings(msgs), delay=GAUGE_DELAY)
-    out = _run(diff, new_work_path(spark, "meter-out"), [src])
-    return spark.read.parquet(out).select("Sensor", _ntz("Day"), "daily_diff")
+    msgs = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
+    diff = _counter_pairs(jobs.sensor_readings(msgs))
+    out = run_available(diff, new_work_path(spark, "meter-out"), mode="update")
+    return read_revisions(spark, out, ["Sensor", "Day"]).select("Sensor", _ntz("Day"), "daily_diff")
 
 
-def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two stages coupled by JSON topic folders, as the reference couples its
-    water and leak applications: (1) the sub-meter's accepted daily sums and
-    the counter's differences, each in append mode, run side by side; (2) a
-    stream-stream join of the two topics on the day label."""
-    ensure_utc(spark)
+def _leak_topics(spark: SparkSession, sf_dir: str) -> str:
+    """The two topics the leak needs, as update-mode streams side by side."""
+    root = new_work_path(spark, "leak")
     w1 = ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True)
     accepted, _ = _sub_readings(w1)
-    meter, meter_src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
-    sub_topic, total_topic = run_available_together([
-        (_accepted_daily(accepted, delay=ACCEPT_DELAY), new_work_path(spark, "aggday-sub"),
-         {"fmt": "json", "json_cols": ["Day", "Totalw1"],
-          "state_partitions": state_partitions_for(spark, *_events(sf_dir))}),
-        (_counter_pairs(jobs.sensor_readings(meter), delay=GAUGE_DELAY),
-         new_work_path(spark, "agg-total"), {"fmt": "json", "json_cols": ["Day", "daily_diff"],
-                                             "state_partitions": state_partitions_for(spark, meter_src)}),
-    ], timeout=STREAM_TIMEOUT)
-    sub = read_topic(spark, sub_topic, jobs.SUB_SCHEMA, stream=True)
-    total = read_topic(spark, total_topic, jobs.TOTAL_SCHEMA, stream=True)
-    joined = jobs.leak_job(sub, total, watermark=JOIN_DELAY)
-    out = _run(joined, new_work_path(spark, "leak-out"), [sub_topic, total_topic])
-    return spark.read.parquet(out).select(_ntz("Day"), "LeakValue")
+    meter = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
+    sub = _accepted_daily(accepted.withColumn("Sensor", F.lit(ev.SUB_METER)), delay=ACCEPT_DELAY, by="Sensor")
+    run_available_together([
+        (sub, f"{root}/accepted_daily", {"fmt": "json", "mode": "update"}),
+        (_counter_pairs(jobs.sensor_readings(meter)), f"{root}/counter_diff", {"fmt": "json", "mode": "update"}),
+    ])
+    return root
 
 
-def stream_household_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole streaming application on the stand-in sensors: stage one
-    (four keyed queries over one message stream: the table's device messages
-    united with the meter's) into JSON topics, then the stage-two leak
-    stream, read back from its topic."""
+def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two stages coupled by JSON topics, as the reference couples its water
+    and leak applications: (1) the sub-meter's accepted daily sums and the
+    counter's differences, both in update mode, side by side; (2) the leak of
+    the two topics' revisions, again as a stream in update mode."""
+    ensure_utc(spark)
+    root = _leak_topics(spark, sf_dir)
+    jobs.start_leak(spark, root, pairs=((ev.SUB_METER, ev.COUNTER),), trigger={"availableNow": True}).awaitTermination()
+    rows = read_revisions(spark, f"{root}/leak", jobs.KEYS["leak"], json_schema=jobs.TOPIC_SCHEMAS["leak"])
+    return rows.select(_ntz("Day"), "LeakValue")
+
+
+def leak_revisions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leak over two revision logs in batch: hourly revisions of the
+    sub-meter's daily sums, two revisions of the counter's differences."""
     ensure_utc(spark)
-    device = ev.event_messages(spark, sf_dir, motion=True, stream=True)
-    meter, meter_src = _stream_of(spark, ev.counter_messages(spark, sf_dir), "meter")
+    total = _counter_pairs(jobs.sensor_readings(ev.counter_messages(spark, sf_dir)))
+    first = total.select("Day", F.lit(0.0).alias("daily_diff"), F.lit(0).cast("long").alias(REVISION))
+    total = first.unionByName(total.select("Day", "daily_diff", F.lit(1).cast("long").alias(REVISION)))
+    sub = plausible(_hourly_revisions(spark, sf_dir), "Totalw1", gt=SUB_GT)
+    return leak_of_revisions(sub, total, REVISION).select(_ntz("Day"), "LeakValue")
+
+
+def _household(spark: SparkSession, sf_dir: str, runs: int = 1) -> tuple[str, str]:
+    """The whole streaming application on the stand-in sensors, topics and
+    store, run to its end ``runs`` times: (topics, store)."""
     root = new_work_path(spark, "household")
-    once = {"trigger": {"availableNow": True},
-            "state_partitions": state_partitions_for(spark, *_events(sf_dir), meter_src)}
-    stage_one = jobs.start_household(device.unionByName(meter), root, sensors=ev.EVENT_SENSORS,
-                                     late_sensors=(ev.SUB_METER,), gauge_delay=GAUGE_DELAY,
-                                     accept_delay=ACCEPT_DELAY, counter_delay=GAUGE_DELAY,
-                                     rejected_delay=REJECTED_DELAY, sub_gt=SUB_GT, **once)
-    for q in stage_one:
-        if q.awaitTermination(STREAM_TIMEOUT) is False:
-            raise TimeoutError("stage one did not finish")
-    lq = jobs.start_leak(spark, root, pairs=((ev.SUB_METER, ev.COUNTER),), watermark=JOIN_DELAY,
-                         **once)
-    if lq.awaitTermination(STREAM_TIMEOUT) is False:
-        raise TimeoutError("leak stage did not finish")
-    leak_rows = read_topic(spark, f"{root}/leak", jobs.TOPIC_SCHEMAS["leak"])
-    return leak_rows.select("Meter", _ntz("Day"), "LeakValue")
+    once = {"availableNow": True}
+    counters = ev.counter_messages(spark, sf_dir).unionByName(ev.steady_messages(spark, sf_dir, "etot")) \
+        .unionByName(ev.steady_messages(spark, sf_dir, "wtot"))
+    src = write_messages(counters, new_work_path(spark, "counters-src"))
+    for _ in range(runs):
+        device = ev.event_messages(spark, sf_dir, motion=True, stream=True)
+        msgs = device.unionByName(read_messages(spark, src, stream=True))
+        for stage in (
+                lambda: jobs.start_household(msgs, f"{root}/topics", sensors=ev.EVENT_SENSORS,
+                                             late_sensors=(ev.SUB_METER,), accept_delay=ACCEPT_DELAY,
+                                             sub_gt=SUB_GT, trigger=once)
+                + [jobs.start_raw_store(msgs, f"{root}/store", ev.EVENT_SENSORS, trigger=once)],
+                lambda: [jobs.start_leak(spark, f"{root}/topics", pairs=((ev.SUB_METER, ev.COUNTER),), trigger=once)],
+                lambda: jobs.start_store(spark, f"{root}/topics", f"{root}/store", trigger=once)):
+            wait_for(stage())
+    return f"{root}/topics", f"{root}/store"
+
+
+def stream_household_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole application: stage one (keyed queries over one message
+    stream), the leak stage, and the leak read back from its topic."""
+    ensure_utc(spark)
+    topics, _ = _household(spark, sf_dir)
+    rows = read_revisions(spark, f"{topics}/leak", jobs.KEYS["leak"], json_schema=jobs.TOPIC_SCHEMAS["leak"])
+    return rows.select("Meter", _ntz("Day"), "LeakValue")
+
+
+def store_twice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole application with its store, run twice: rows of every stored
+    dataset, which the second run must leave as they are."""
+    ensure_utc(spark)
+    _, store = _household(spark, sf_dir, runs=2)
+    out = None
+    for name in jobs.RESULTS:
+        n = jobs.read_store(spark, store, name).agg(F.count(F.lit(1)).alias("n"))
+        n = n.select(F.lit(name).alias("dataset"), "n")
+        out = n if out is None else out.unionByName(n)
+    raw = read_dataset(spark, f"{store}/raw").agg(F.count(F.lit(1)).alias("n"))
+    return out.unionByName(raw.select(F.lit("raw").alias("dataset"), "n"))
+
+
+def _panel_q(name: str, sensor: str | None, value: str):
+    """A panel's rows after one run of the application with its store."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ensure_utc(spark)
+        _, store = _household(spark, sf_dir)
+        df = jobs.panel(spark, store, name, start=PANEL_START, end=PANEL_END, sensor=sensor)
+        key, at = ("Meter" if name == "water_leak" else "Sensor"), jobs.PANELS[name][2]
+        return df.select(F.col(key).alias("Sensor"), F.col(at).cast("timestamp_ntz").alias("At"),
+                         F.round(value, 2).alias("Value"))
+    return run
 
 
 QUERIES: dict[str, Query] = {
@@ -316,16 +410,27 @@ QUERIES: dict[str, Query] = {
     "daily_by_sensor": daily_by_sensor_q,
     "counter_diff": counter_diff_q,
     "counter_diff_threshold": counter_diff_threshold_q,
+    "energy_job": energy_job_q,
+    "temp_job": temp_job_q,
+    "water_job": water_job_q,
     "accepted_daily": accepted_daily_q,
+    "late_by_arrival": late_by_arrival_q,
     "rejected_10min": rejected_10min_q,
     "leak": leak_q,
+    "leak_revisions": leak_revisions_q,
     "latest_per_day": latest_per_day_q,
     "panel_sensor_range": panel_sensor_range_q,
     "panel_daily_avg": panel_daily_avg_q,
+    "panel_th1_raw": _panel_q("th1_raw", AVG_SENSOR, "value"),
+    "panel_late_rejected": _panel_q("late_rejected", ev.SUB_METER, "RejectedVal"),
+    "panel_etot_diff": _panel_q("etot_diff", "etot", "daily_diff"),
+    "panel_water_leak": _panel_q("water_leak", ev.COUNTER, "LeakValue"),
     "stream_daily_sum": stream_daily_sum_q,
     "stream_accepted_update": stream_accepted_update_q,
+    "stream_late_rows": stream_late_rows_q,
     "stream_rejected": stream_rejected_q,
     "stream_counter_diff": stream_counter_diff_q,
     "stream_leak": stream_leak_q,
     "stream_household": stream_household_q,
+    "store_twice": store_twice_q,
 }

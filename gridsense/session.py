@@ -49,15 +49,19 @@ def ensure_utc(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and streaming checkpoints.
 
-    It is the folder the cluster names in ``spark.checkpoint.dir``. When that
-    is unset (local runs, tests) a folder under the warehouse directory is
-    used and registered as the checkpoint directory, so that
-    ``DataFrame.checkpoint()`` lands in the same place.
+    It is the folder the cluster names in ``spark.checkpoint.dir`` (or one
+    set by ``setCheckpointDir``). On a cluster without either this fails: a
+    folder of the driver's machine would not be seen by the executors. A
+    local session (tests, bench) has one machine only and gets a folder under
+    its warehouse directory, registered as the checkpoint directory.
     """
     sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if path:
         return path.rstrip("/")
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("no shared work folder: set spark.checkpoint.dir to a folder that the driver "
+                           "and all executors see")
     warehouse = spark.conf.get("spark.sql.warehouse.dir", "spark-warehouse")
     path = warehouse.rstrip("/") + "/_gridsense_work"
     if "://" not in path and not path.startswith("file:"):

@@ -20,7 +20,7 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from gridsense.functions.parse import decode_json, encode_json
 
@@ -89,10 +89,12 @@ def append_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = ("Sen
                    fmt: str = "parquet") -> str:
     """Keep a DataFrame as a Parquet dataset (a collection of the store).
 
-    Rows are sorted within each task (no shuffle) so that Parquet row-group
+    Rows are first rebalanced by the partition columns, so a partition is
+    written by few tasks (Spark splits the large ones) instead of by every
+    task of the scan, and sorted within each task, so that Parquet row-group
     statistics make time-range filters selective on read.
     """
-    w = df
+    w = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
     if sort_within:
         w = w.sortWithinPartitions(*partition_by, *sort_within)
     writer = w.write.mode(mode).format(fmt)
@@ -117,6 +119,12 @@ def read_dataset(spark: SparkSession, path: str, sensor: str | Sequence[str] | N
     if schema is not None:
         r = r.schema(schema)
     df = r.load(path)
+    if schema is None:
+        # Folder names like "007" would be read as numbers: names are text.
+        names = {sensor_col, "domain"}
+        if any(f.name in names and f.dataType != StringType() for f in df.schema):
+            df = r.schema(StructType([StructField(f.name, StringType()) if f.name in names else f
+                                      for f in df.schema])).load(path)
     if sensor is not None:
         sensors = [sensor] if isinstance(sensor, str) else list(sensor)
         df = df.where(F.col(sensor_col).isin(sensors))

@@ -2,66 +2,75 @@
 
 * append mode writes through Spark's file sink (Parquet, or JSON lines for a
   topic folder), exactly once via its ``_spark_metadata`` log;
-* update / complete mode goes through ``foreachBatch``: each micro-batch is
-  written to ``<path>/<revision>=<batch id>`` with overwrite, so a batch that
-  is replayed after a failure replaces its own output instead of adding to
-  it. Readers resolve revisions with :func:`read_revisions` (the last
-  revision per key; :func:`snapshot_revisions` bounds what they scan).
+* update / complete mode goes through ``foreachBatch`` into a *revision log*:
+  each micro-batch is a folder ``<path>/<revision>=<batch id>`` (Parquet, or
+  JSON lines whose records carry the batch id). A batch counts once it is
+  noted in ``<path>_commits`` and is then never written again, so a batch that
+  is replayed after a failure replaces its own unfinished output, and readers
+  see whole batches only. Readers resolve revisions with
+  :func:`read_revisions` (the last revision per key;
+  :func:`snapshot_revisions` bounds what they scan).
 
 Each query has its own checkpoint folder, under the shared work folder by
 default (``spark.checkpoint.dir``), so a restarted driver resumes from the
-last committed batch.
+last committed batch. The number of state-store partitions of a query is the
+session's ``spark.sql.shuffle.partitions`` at its first start.
 """
 
 from __future__ import annotations
 
-import contextlib
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from gridsense.functions.parse import encode_json
+from gridsense.functions.parse import decode_json, encode_json
 
 REVISION = "batch_id"
 
 
-@contextlib.contextmanager
-def _shuffle_partitions(spark: SparkSession, n: int | None):
-    """Number of state-store partitions of a new streaming query (fixed in
-    its checkpoint at the first start)."""
-    if n is None:
-        yield
-        return
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
-def state_partitions_for(spark: SparkSession, *paths: str) -> int:
-    """State-store partitions for a run over the given input folders: one per
-    advisory partition size of input (as AQE sizes shuffle partitions), at
-    least 1 and at most the cluster's parallelism. The count is fixed in the
-    query's checkpoint, so a live stream that will grow should be given an
-    explicit number instead."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        size += path.getFileSystem(conf).getContentSummary(path).getLength()
-    advisory = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m")
-    target = jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(advisory)
-    return int(max(1, min(spark.sparkContext.defaultParallelism, -(-size // target))))
-
-
-def _revision_writer(path: str, fmt: str, revision: str):
+# -- small marks: the last number written, in two slots -------------------------
+
+def _note(spark: SparkSession, folder: str, n: int) -> None:
+    """Note ``n``. Two slots are written in turn, so one is whole at any time."""
+    spark.range(1).select(F.lit(n).cast("long").alias("n")).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{folder}/slot={n % 2}")
+
+
+def _noted(spark: SparkSession, folder: str) -> int | None:
+    """The largest number noted, or None."""
+    found = []
+    for slot in (0, 1):
+        try:
+            row = spark.read.schema("n LONG").option("ignoreMissingFiles", True) \
+                .parquet(f"{folder}/slot={slot}").agg(F.max("n")).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            continue
+        if row[0] is not None:
+            found.append(row[0])
+    return max(found, default=None)
+
+
+def _revision_writer(path: str, fmt: str, revision: str, json_cols: Sequence[str] | None):
+    path = path.rstrip("/")
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").format(fmt).save(f"{path}/{revision}={batch_id}")
+        spark = batch.sparkSession
+        done = _noted(spark, f"{path}_commits")
+        if done is not None and batch_id <= done:
+            return  # replayed after its commit: it is whole already
+        out = f"{path}/{revision}={batch_id}"
+        if fmt == "json":
+            cols = list(json_cols or batch.columns)
+            rows = batch.select(*cols, F.lit(batch_id).cast("long").alias(revision))
+            encode_json(rows).write.mode("overwrite").text(out)
+        else:
+            batch.write.mode("overwrite").format(fmt).save(out)
+        _note(spark, f"{path}_commits", batch_id)
     return write
 
 
@@ -69,7 +78,6 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
                      mode: str = "append", fmt: str = "parquet", query_name: str | None = None,
                      trigger: dict | None = None, partition_by: Sequence[str] | None = None,
                      json_cols: Sequence[str] | None = None, revision: str = REVISION,
-                     state_partitions: int | None = None,
                      options: dict[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query writing ``df`` to the folder ``path``.
 
@@ -83,9 +91,8 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
     connector jar, so it is untested here); ``path`` then only names the
     default checkpoint folder.
     """
-    spark = df.sparkSession
     checkpoint = checkpoint or path.rstrip("/") + ".checkpoint"
-    if fmt in ("json", "kafka"):
+    if fmt == "kafka" or (fmt == "json" and mode == "append"):
         keep = list(partition_by or []) if fmt == "json" else []
         cols = json_cols or [c for c in df.columns if c not in keep]
         df = encode_json(df, cols, keep=keep)
@@ -103,38 +110,35 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
         if partition_by:
             w = w.partitionBy(*partition_by)
     else:
-        w = w.foreachBatch(_revision_writer(path, fmt, revision))
-    with _shuffle_partitions(spark, state_partitions):
-        return w.start()
+        w = w.foreachBatch(_revision_writer(path, fmt, revision, json_cols))
+    return w.start()
 
 
-def run_available(df: DataFrame, path: str, timeout: float | None = None, **kw) -> str:
+def wait_for(queries: Iterable[StreamingQuery]) -> None:
+    """Wait until all queries have ended; stop the others if one fails."""
+    queries = list(queries)
+    try:
+        for q in queries:
+            q.awaitTermination()
+    finally:
+        for q in queries:
+            if q.isActive:
+                q.stop()
+
+
+def run_available(df: DataFrame, path: str, **kw) -> str:
     """Run a streaming query over all data available now, wait for it, and
     return the output folder."""
-    q = start_topic_sink(df, path, trigger={"availableNow": True}, **kw)
-    finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
-    if finished is False:
-        q.stop()
-        raise TimeoutError(f"streaming query into {path} did not finish in {timeout} s")
+    wait_for([start_topic_sink(df, path, trigger={"availableNow": True}, **kw)])
     return path
 
 
-def run_available_together(runs: Iterable[tuple[DataFrame, str, dict]],
-                           timeout: float | None = None) -> list[str]:
+def run_available_together(runs: Iterable[tuple[DataFrame, str, dict]]) -> list[str]:
     """Start several ``(df, path, options)`` streaming queries over the data
     available now, let them run side by side, and wait for all of them."""
-    started = [(start_topic_sink(df, path, trigger={"availableNow": True}, **kw), path)
-               for df, path, kw in runs]
-    try:
-        for q, path in started:
-            finished = q.awaitTermination(timeout) if timeout is not None else q.awaitTermination()
-            if finished is False:
-                raise TimeoutError(f"streaming query into {path} did not finish in {timeout} s")
-    finally:
-        for q, _ in started:
-            if q.isActive:
-                q.stop()
-    return [path for _, path in started]
+    runs = list(runs)
+    wait_for([start_topic_sink(df, path, trigger={"availableNow": True}, **kw) for df, path, kw in runs])
+    return [path for _, path, _ in runs]
 
 
 def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None,
@@ -156,58 +160,69 @@ def run_all(queries: Iterable[StreamingQuery], timeout: float | None = None,
 
 # -- revision logs of update-mode sinks ---------------------------------------
 
-def _complete_ids(spark: SparkSession, folder: str, name: str) -> list[int]:
-    """Ids ``n`` of the complete (``_SUCCESS``) sub-folders ``<name>=<n>``."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    ids = []
-    for st in fs.listStatus(root):
-        sub = st.getPath().getName()
-        if sub.startswith(name + "=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            ids.append(int(sub[len(name) + 1:]))
-    return sorted(ids)
+def stream_revisions(spark: SparkSession, path: str, schema: str, revision: str = REVISION) -> DataFrame:
+    """The records of a JSON revision log as a stream of changes, each with
+    its batch id."""
+    raw = spark.readStream.option("recursiveFileLookup", True).option("ignoreMissingFiles", True) \
+        .schema("value STRING").text(path)
+    return decode_json(raw, f"{schema}, {revision} LONG")
+
+
+def committed(spark: SparkSession, path: str, revision: str = REVISION) -> DataFrame | None:
+    """All rows of the committed batches of a Parquet revision log, or None
+    where nothing was committed."""
+    done = _noted(spark, f"{path.rstrip('/')}_commits")
+    if done is None:
+        return None
+    return spark.read.parquet(path).where(F.col(revision).between(0, done))
 
 
 def read_revisions(spark: SparkSession, path: str, keys: Sequence[str], revision: str = REVISION,
-                   upto: int | None = None, keep_revision: bool = False) -> DataFrame:
+                   upto: int | None = None, keep_revision: bool = False,
+                   json_schema: str | None = None) -> DataFrame:
     """The current rows of an update-mode sink: the newest snapshot (if any)
-    plus the batch folders after it, resolved to the last revision per key
-    (``upto``: as of that batch). Batch folders a snapshot covers are pruned
-    by the partition filter, never scanned."""
+    plus the committed batch folders after it, resolved to the last revision
+    per key (``upto``: as of that batch). Batch folders a snapshot covers are
+    pruned by the partition filter, never scanned, and may be gone.
+    ``json_schema``: the record's fields, for a log of JSON lines."""
     from gridsense.operators.leak import latest_per_key
     path = path.rstrip("/")
-    batches = spark.read.parquet(path).withColumn(revision, F.col(revision).cast("long"))
-    if upto is not None:
-        batches = batches.where(F.col(revision) <= F.lit(upto))
-    snaps = [i for i in _complete_ids(spark, f"{path}_snapshots", "upto") if upto is None or i <= upto]
-    if snaps:
-        snap = spark.read.parquet(f"{path}_snapshots/upto={snaps[-1]}")
-        snap = snap.select(*[F.col(c).cast("long") if c == revision else F.col(c)
-                             for c in batches.columns])
-        batches = batches.where(F.col(revision) > F.lit(snaps[-1])).unionByName(snap)
+    done = _noted(spark, f"{path}_commits")
+    last = -1 if done is None else done if upto is None else min(done, upto)
+    since = _noted(spark, f"{path}_snapshots/latest")
+    if since is not None and since > last:
+        since = None  # a snapshot beyond ``upto`` does not tell what came before
+    snap = None if since is None else spark.read.parquet(f"{path}_snapshots/upto={since}")
+    if json_schema is not None:
+        raw = spark.read.schema(f"value STRING, {revision} LONG").text(path)
+        raw = raw.where(F.col(revision).between((since or 0) + (since is not None), last))
+        batches = decode_json(raw.select("value"), f"{json_schema}, {revision} LONG")
+    else:
+        reader = spark.read if snap is None else spark.read.schema(snap.schema)
+        batches = reader.parquet(path).withColumn(revision, F.col(revision).cast("long")) \
+            .where(F.col(revision).between((since or 0) + (since is not None), last))
+    if snap is not None:
+        batches = batches.unionByName(snap.select(*batches.columns))
     return latest_per_key(batches, list(keys), revision, keep_order=keep_revision)
 
 
 def snapshot_revisions(spark: SparkSession, path: str, keys: Sequence[str],
-                       revision: str = REVISION) -> int | None:
+                       revision: str = REVISION, json_schema: str | None = None) -> int | None:
     """Write the current rows (last revision per key, with its batch id) of
-    an update-mode sink as a snapshot covering every complete batch so far;
+    an update-mode sink as a snapshot covering every committed batch so far;
     returns that batch id.
 
     Safe while the stream runs: the snapshot has its own folder
-    (``<path>_snapshots/upto=<batch id>``, valid once ``_SUCCESS`` is
-    written), so a replayed batch cannot overwrite it, and later batches are
-    still read from their own folders. Old batch folders may then be
-    removed by the usual retention job; readers no longer touch them.
+    (``<path>_snapshots/upto=<batch id>``, valid once noted in ``latest``), and
+    later batches are still read from their own folders. Old batch folders
+    may then be removed by the usual retention job; readers no longer touch
+    them.
     """
     path = path.rstrip("/")
-    ids = _complete_ids(spark, path, revision)
-    if not ids:
+    upto = _noted(spark, f"{path}_commits")
+    if upto is None:
         return None
-    upto = ids[-1]
-    cur = read_revisions(spark, path, keys, revision, upto=upto, keep_revision=True)
+    cur = read_revisions(spark, path, keys, revision, upto=upto, keep_revision=True, json_schema=json_schema)
     cur.write.mode("overwrite").parquet(f"{path}_snapshots/upto={upto}")
+    _note(spark, f"{path}_snapshots/latest", upto)
     return upto

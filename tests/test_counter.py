@@ -72,3 +72,14 @@ def test_order_independence(spark, increments, rnd):
     got = _result(counter_daily_diff(readings(spark, shuffled).repartition(4)))
     assert got == expected
     assert len(expected) == len(rows) - 1
+
+
+def test_more_readings_a_day_change_nothing(spark):
+    rows = [(f"2023-01-{d:02d} {h:02d}:00:00", 240.0 * d + 10 * h) for d in range(1, 5) for h in (0, 6, 12, 18)]
+    got = _result(counter_daily_diff(readings(spark, rows)))
+    assert [v for _, v in got] == [240.0, 240.0, 240.0]
+
+
+def test_equal_instants_take_the_smaller_value(spark):
+    rows = [("2023-01-01 00:00:00", 5.0), ("2023-01-01 00:00:00", 7.0), ("2023-01-02 00:00:00", 9.0)]
+    assert [v for _, v in _result(counter_daily_diff(readings(spark, rows)))] == [4.0]
