@@ -120,13 +120,17 @@ def raw_envelope(df: DataFrame, topic: str = "topic", payload: str = "payload",
     second topic segment.
     """
     sensor = sensor_from_topic(topic)
+    # The value's text is cut once, in a projection of its own: the number
+    # rule looks at it twice.
     cols = [sensor.alias("Sensor"), payload_field(payload, 0).alias("DateTime"),
-            strict_double(payload_field(payload, 1)).alias("value")]
+            payload_field(payload, 1).alias("value")]
     if keep_domain:
         dom = F.coalesce(registry.domain_of(sensor, sensors),
                          F.element_at(F.split(F.col(topic), "/"), 2))
         cols.append(dom.alias("domain"))
-    return keep_valid(df.select(*cols), ["value", "DateTime"])
+    fields = df.select(*cols)
+    typed = fields.select(*[strict_double(c).alias(c) if c == "value" else F.col(c) for c in fields.columns])
+    return keep_valid(typed, ["value", "DateTime"])
 
 
 def encode_json(df: DataFrame, cols: Iterable[str] | None = None, out: str = "value",

@@ -113,10 +113,10 @@ def ingest_raw(messages: DataFrame, sensors=registry.HOUSEHOLD, with_rejects: bo
     sensor = sensor_from_topic("topic")
     dom = F.coalesce(registry.domain_of(sensor, sensors),
                      F.element_at(F.split(F.col("topic"), "/"), 2))
-    typed = messages.select(sensor.alias("Sensor"),
-                            F.try_to_timestamp(payload_field("payload", 0)).alias("DateTime"),
-                            strict_double(payload_field("payload", 1)).alias("value"),
-                            dom.alias("domain"))
+    fields = messages.select(sensor.alias("Sensor"),
+                             F.try_to_timestamp(payload_field("payload", 0)).alias("DateTime"),
+                             payload_field("payload", 1).alias("value"), dom.alias("domain"))
+    typed = fields.select("Sensor", "DateTime", strict_double("value").alias("value"), "domain")
     env = keep_valid(typed, ["DateTime", "value"])
     if not with_rejects:
         return env
