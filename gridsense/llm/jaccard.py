@@ -378,7 +378,8 @@ def _cross_edges_of(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         tokens, n = _arrays(pdf)
         ids = pdf["id"].to_numpy(np.int64)
-        links = linked(tokens, n, percent, pdf["comp"].to_numpy(np.int64), np.flatnonzero(pdf["probe"].to_numpy()))
+        comp = np.unique(pdf["comp"], return_inverse=True)[1]  # 0, 1, .., whatever the keys are
+        links = linked(tokens, n, percent, comp, np.flatnonzero(pdf["probe"].to_numpy()))
         return pd.DataFrame({"a": [ids[i] for i, _ in links], "b": [ids[j] for _, j in links]}, dtype="int64")
     return run
 
@@ -403,9 +404,10 @@ def _links_of_big(big: DataFrame, percent: int) -> DataFrame:
         # makes the last step cheaper; it goes on while it joins components.
         turn += 1
         rank = F.row_number().over(Window.partitionBy("block", "comp").orderBy(F.xxhash64("id", F.lit(turn)), "id"))
-        some = comp.withColumn("r", rank).where(F.col("r") <= SPOKEN)
-        count = some.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("p"))
-        dealt = some.join(count, "block").withColumn("g", F.pmod(F.xxhash64("id", F.lit(-turn)), F.col("p")))
+        some = keep(comp.withColumn("r", rank).where(F.col("r") <= SPOKEN), "speakers")
+        count = keep(some.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("p")), "counts")
+        place = some.select("id", "block").join(count, "block").select("id", F.pmod(F.xxhash64("id", F.lit(-turn)), "p").alias("g"))
+        dealt = some.join(place, "id")
         found = dealt.groupBy("block", "g").applyInPandas(_edges_of(percent), SHAPE)
         edges = keep(edges.unionByName(found), "links")
         comp = _with_components(big, edges)
@@ -414,16 +416,19 @@ def _links_of_big(big: DataFrame, percent: int) -> DataFrame:
             break
         before = left
     # Every set outside the largest component of its block walks all chunks.
-    largest = comp.groupBy("block", "comp").count().groupBy("block").agg(
-        F.max_by("comp", F.struct("count", "comp")).alias("main"))
-    rest = comp.join(largest, "block").where("comp <> main").drop("main")
-    walks = rest.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("walks"))
+    # What a block decides is joined to narrow rows, and sets by their id.
+    narrow = comp.select("id", "block", "comp")
+    largest = keep(narrow.groupBy("block", "comp").count().groupBy("block").agg(
+        F.max_by("comp", F.struct("count", "comp")).alias("main")), "largest")
+    rest = F.col("comp") != F.col("main")
+    narrow = keep(narrow.join(largest, "block").select("id", "block", rest.alias("probe")), "rest")
+    walks = keep(narrow.where("probe").groupBy("block").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("walks")), "walks")
+    sets = comp.join(keep(narrow.join(walks, "block").drop("block"), "placed"), "id")
     cols = ["block", "chunk", "walk", "id", "n", "tokens", "comp", "probe"]
-    base = comp.join(walks, "block").withColumn("walk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("walks") - 1))) \
+    base = sets.withColumn("walk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("walks") - 1))) \
         .withColumn("probe", F.lit(False)).select(*cols)
-    walk = rest.join(walks, "block").withColumn("walk", F.pmod(F.xxhash64("id", F.lit(0)), F.col("walks"))) \
-        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))) \
-        .withColumn("probe", F.lit(True)).select(*cols)
+    walk = sets.where("probe").withColumn("walk", F.pmod(F.xxhash64("id", F.lit(0)), F.col("walks"))) \
+        .withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(*cols)
     cross = base.unionByName(walk).groupBy("block", "chunk", "walk").applyInPandas(_cross_edges_of(percent), SHAPE)
     return edges.unionByName(cross)
 
@@ -435,13 +440,17 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     least = member.groupBy("token").agg(F.min("id").alias("b"), F.max("id").alias("top")).where("b < top")
     near = member.join(least, "token").where("id <> b").select(F.col("id").alias("a"), "b")
     blocks = components(near).select(F.col("node").alias("id"), F.col("label").alias("block"))
-    inside = keep(sets.drop("pre").join(blocks, "id"), "blocks")
-    parts = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum(F.size("tokens")) / CHUNK_TOKENS))
-    sizes = keep(inside.groupBy("block").agg(parts.alias("parts")), "sizes")
-    inside = inside.join(sizes, "block")
-    found = inside.where("parts = 1").groupBy("block").applyInPandas(_edges_of(percent), SHAPE)
+    # Blocks are weighed and dealt on narrow rows; sets move once, by their id
+    # and then by block and chunk, so a large block is never in one task.
+    narrow = keep(sets.select("id", F.size("tokens").alias("w")).join(blocks, "id"), "members")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / CHUNK), F.ceil(F.sum("w") / CHUNK_TOKENS))
+    sizes = keep(narrow.groupBy("block").agg(parts.alias("parts")), "sizes")
+    dealt = keep(narrow.join(sizes, "block").select("id", "block", "parts",
+                                                    F.pmod(F.xxhash64("id"), F.col("parts")).alias("chunk")), "dealt")
+    found = sets.drop("pre").join(dealt.where("parts = 1"), "id").groupBy("block") \
+        .applyInPandas(_edges_of(percent), SHAPE)
     if not sizes.where("parts > 1").isEmpty():
-        big = keep(inside.where("parts > 1").withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("parts"))), "big")
+        big = keep(sets.drop("pre").join(dealt.where("parts > 1"), "id"), "big")
         found = found.unionByName(_links_of_big(big, percent))
     return found
 
@@ -451,7 +460,9 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 def similar(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = WIDTH,
             percent: int = PERCENT) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` (the smallest key reachable
-    by links, the row's own included) of every row. ``key`` is a whole number."""
+    by links, the row's own included) of every row. ``key`` is a whole number
+    below 2**62. ``docs`` is a stored table: its rows are read twice, and a task
+    that runs again must meet them in the same order."""
     rows = keep(_set_rows(docs, key, text, width), "shingle-sets")
     known = rows.where("n >= 0")
     n_docs, n_shingles = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
