@@ -98,16 +98,17 @@ def format_turns(rows: DataFrame, vocabulary: str, *, conv: str = "conv_id", tur
                                         "loss_end long").withColumnRenamed("conv", conv)
 
 
-def split_turn(ids: list[int], coder: Coder) -> tuple[str, str]:
-    """(role, text) of a turn's ids, unescaped."""
+def turn_parts(ids: list[int], coder: Coder) -> tuple[str, str, int]:
+    """(role, text, place of the text's first id) of a turn's ids, as rendered,
+    escapes included."""
     sep = ids.index(coder.size + SEP)
-    return unescape(coder.decode(ids[1:sep])), unescape(coder.decode(ids[sep + 1:-1]))
+    return coder.decode(ids[1:sep]), coder.decode(ids[sep + 1:-1]), sep + 1
 
 
 def render(ids: list[int], coder: Coder) -> str:
     """The turn as text, control tokens and escapes included."""
-    sep = ids.index(coder.size + SEP)
-    return CONTROL[TURN] + coder.decode(ids[1:sep]) + CONTROL[SEP] + coder.decode(ids[sep + 1:-1]) + CONTROL[END]
+    role, text, _ = turn_parts(ids, coder)
+    return CONTROL[TURN] + role + CONTROL[SEP] + text + CONTROL[END]
 
 
 def read_back(turns: DataFrame, vocabulary: str, conv: str = "conv_id") -> DataFrame:
@@ -145,13 +146,16 @@ def read_back(turns: DataFrame, vocabulary: str, conv: str = "conv_id") -> DataF
                     close()
                     state = fresh()
                 now, begun = c, True
-                role, text = split_turn(ids, coder)
-                masked = unescape(coder.decode(ids[lo - start:hi - start]))
+                role, text, first = turn_parts(ids, coder)
+                state[4] += sum(map(len, CONTROL)) + len(role) + len(text)
+                role, text = unescape(role), unescape(text)
+                lo, hi = lo - start, hi - start
+                whole = lo == first and hi == len(ids) - 1  # the mask is the text
+                masked = text if whole else unescape(coder.decode(ids[lo:hi]))
                 state[0] += 1
                 state[1].update(f"{role}\n{text}\n".encode())
                 state[2] += len(masked)
                 state[3].update(masked.encode())
-                state[4] += len(render(ids, coder))
             yield out()
         if begun:
             close()

@@ -253,6 +253,8 @@ def test_chat_round_trip(spark):
     assert [r["seq"] for r in one] == [0, 1, 2]
     assert all(b["start"] == a["start"] + len(a["ids"]) for a, b in zip(one, one[1:]))
     assert all(sum(i >= coder.size for i in r["ids"]) == 3 for r in one)
+    shown = "".join(chat.render(list(r["ids"]), coder) for r in one)
+    assert shown.startswith("<turn>### user: \\\\\\### Assistant: \\</turn>") and len(shown) == got[1]["formatted_chars"]
     assert chat.read_back(chat.format_turns(df.where("false"), vocabulary), vocabulary).count() == 0
 
 
