@@ -40,7 +40,7 @@ from gridsense.llm.tables import map_rows
 # Fixed value: the byte-level pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 48  # characters of a piece that is merged in step with others and remembered
-REMEMBERED = 600_000  # short pieces kept per worker
+REMEMBERED = 400_000  # short pieces kept per worker
 _NEVER = np.iinfo(np.int64).max
 BLOCK = 1 << 16  # characters of a text that are split into pieces at once
 
@@ -243,9 +243,11 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def tokenize(docs: DataFrame, vocabulary: str, *, text: str = "text", carry=("doc_id",), decode: bool = True) -> DataFrame:
+def tokenize(docs: DataFrame, vocabulary: str, *, text: str = "text", carry=("doc_id",),
+             decode: bool | str = True) -> DataFrame:
     """``carry`` columns, ``ids`` and, with ``decode``, ``decoded``: the text
-    that the ids give back. ``vocabulary``: content of the vocabulary file."""
+    that the ids give back; or, with ``decode="compare"``, ``lossless``: whether
+    that is the row's text. ``vocabulary``: content of the vocabulary file."""
     def make():
         coder = coder_of(vocabulary)
 
@@ -258,8 +260,11 @@ def tokenize(docs: DataFrame, vocabulary: str, *, text: str = "text", carry=("do
             finally:
                 gc.enable()
             out = [[np.frombuffer(array("i", x), np.int32) for x in ids]]
+            if decode == "compare":
+                return [*out, [coder.decode(x) == (t or "") for x, t in zip(ids, texts)]]
             return out + [[coder.decode(x) for x in ids]] if decode else out
         return run
 
-    new = {"ids": "array<int>"} | ({"decoded": "string"} if decode else {})
+    checked = {"lossless": "boolean"} if decode == "compare" else {"decoded": "string"} if decode else {}
+    new = {"ids": "array<int>"} | checked
     return map_rows(docs, [F.col(text)], list(carry), make, new)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsense.llm.tables import arrow_slices, map_rows, whole_rows
+from gridsense.llm.tables import arrow_slices, give_back, map_rows, whole_rows
 from gridsense.llm.words import LETTERS_DIGITS, combine, word_hashes
 
 WIDTH = 10
@@ -114,6 +114,8 @@ def _word_counts(docs: DataFrame, text: str, words: np.ndarray) -> dict[int, int
                 at = np.searchsorted(words, flat)
                 at[at == len(words)] = 0
                 total += np.bincount(at[words[at] == flat], minlength=len(words))
+            del b, texts
+            give_back()
         i = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(i, pa.int64()), pa.array(total[i], pa.int64())], ["w", "n"])
 
@@ -138,7 +140,7 @@ def _ranges(docs: DataFrame, text: str, carry: list[str], windows: Windows) -> D
             return np.diff(off), ranges, items
         return run
 
-    return map_rows(docs, [F.col(text)], carry, make,
+    return map_rows(docs, [text if "." in text else F.col(text)], carry, make,
                     {"n_words": "long", "ranges": "array<long>", "items": "array<long>"})
 
 
@@ -196,5 +198,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
 
 def without_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no window of the benchmark."""
-    found = decontaminate(whole_rows(docs, text), benchmark, text=text, carry=["__row"])
+    found = decontaminate(whole_rows(docs), benchmark, text=f"__row.{text}", carry=["__row"])
     return found.where(F.col("n_hit") == 0).select("__row.*")

@@ -45,12 +45,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridsense.llm.components import components
-from gridsense.llm.tables import arrow_slices, as_long, keep
+from gridsense.llm.tables import arrow_slices, as_long, give_back, keep
 from gridsense.llm.words import combine, mix, ngrams, word_hashes
 
 WIDTH, PERCENT = 5, 80
 FREQUENT = 1000  # a shingle in one of so many documents is frequent (64 documents at least)
-BATCH = 1 << 20  # shingles of the documents that a task handles at once
+BATCH = 1 << 19  # shingles of the documents that a task handles at once
 BUCKET = 1 << 19  # shingles of a bucket, about
 CHUNK = 1024  # sets of a trie
 CHUNK_TOKENS = 1 << 20
@@ -119,6 +119,8 @@ def _set_rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                      pa.array(np.append(n, np.full(m, -1)), pa.int64()),
                      pa.array(np.append(as_long(s1), as_long(token[often]))),
                      pa.array(np.append(as_long(s2), df[often]), pa.int64())], ["k", "n", "s1", "s2"])
+            del b, keys, texts
+            give_back()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(
@@ -163,6 +165,8 @@ def _candidates(docs: DataFrame, text: str, width: int, percent: int, frequent:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), *[pa.binary()] * 3))],
                     ["key", "batch", "x", "y", "z"])
+            del b, texts
+            give_back()
 
     def bucket(pdf: pd.DataFrame) -> pd.DataFrame:
         key = int(pdf["key"].iloc[0])

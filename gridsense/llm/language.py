@@ -213,4 +213,4 @@ def identify(docs: DataFrame, labelled: dict[str, bytes], *, text: str = "text",
     def make():
         return parser_of(labelled).judge
 
-    return map_rows(docs, [F.col(text)], list(carry), make, {"lang_pred": "string", "score": "double"})
+    return map_rows(docs, [text if "." in text else F.col(text)], list(carry), make, {"lang_pred": "string", "score": "double"})

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -37,6 +39,15 @@ def as_long(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, np.uint64).view(np.int64)
 
 
+def give_back() -> None:
+    """Return memory that is free but still held to the machine: the workers of
+    an executor share its limit, and they outlive a stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def arrow_slices(texts: pa.Array, size: int = 2 * BUFFER):
     """Slices of an array of texts of about ``size`` bytes (one text at least)."""
     ends = np.append(0, np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64))
@@ -52,26 +63,34 @@ _ARROW = {"long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string
           "array<double>": pa.list_(pa.float64()), "array<string>": pa.list_(pa.string())}
 
 
-def map_rows(df: DataFrame, values: list[Column], carry: list[str], make, new: dict[str, str],
+def map_rows(df: DataFrame, values: list[Column | str], carry: list[str], make, new: dict[str, str],
              size: int = 2 * BUFFER) -> DataFrame:
     """Row-wise Python work: ``carry`` columns as they are, then ``new`` columns.
 
+    A value ``column.field`` of a carried struct is taken from it, not sent twice.
     ``make()`` gives, once per task, a function from the lists of ``values``
     (the first is the text that sizes a call) to the new columns. ``carry``
     columns of any type pass through as Arrow arrays, nulls and all.
     """
-    k, n = len(carry), len(values)
-    source = df.select(*carry, *[v.alias(f"__v{i}") for i, v in enumerate(values)])
+    k = len(carry)
+    inner = {i: v.split(".", 1) for i, v in enumerate(values) if isinstance(v, str)}
+    sent = [i for i in range(len(values)) if i not in inner]
+    places = [(carry.index(inner[i][0]), inner[i][1]) if i in inner else (k + sent.index(i), None)
+              for i in range(len(values))]
+    source = df.select(*carry, *[values[i].alias(f"__v{i}") for i in sent])
     names, types = [*carry, *new], [_ARROW[t] for t in new.values()]
 
     def run(batches):
         work = make()
         for b in batches:
-            for part in arrow_slices(b.column(k), size):
-                cols = work(*[b.column(k + i)[part].to_pylist() for i in range(n)])
+            taken = [b.column(i) if field is None else b.column(i).field(field) for i, field in places]
+            for part in arrow_slices(taken[0], size):
+                cols = work(*[v[part].to_pylist() for v in taken])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(part.start, part.stop - part.start) for i in range(k)]
                     + [pa.array(c, t, from_pandas=False) for c, t in zip(cols, types)], names)
+            del b, taken
+            give_back()
 
     fields = [df.schema[c] for c in carry] + [T.StructField(c, T.DataType.fromDDL(t)) for c, t in new.items()]
     return source.mapInArrow(run, T.StructType(fields))
