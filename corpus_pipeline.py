@@ -19,7 +19,7 @@ from gridsense.llm.tables import held_out, keep, table, whole_rows
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a language (null, or no letter in the text) go."""
     labelled = language.labelled_text(docs.where(~held_out()))
-    found = language.identify(whole_rows(docs, "text"), labelled, carry=["__row"])
+    found = language.identify(whole_rows(docs), labelled, text="__row.text", carry=["__row"])
     return found.where(F.col("lang_pred") != language.UND).select("__row.*")
 
 
@@ -42,9 +42,8 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and whether they give its text back."""
-    out = bpe.tokenize(docs, bpe.read_vocabulary(VOCABULARY), carry=["doc_id", "lang", "source", "text"])
-    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                      (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+    out = bpe.tokenize(docs, bpe.read_vocabulary(VOCABULARY), carry=["doc_id", "lang", "source"], decode="compare")
+    return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", "lossless")
 
 
 STAGES = [
