@@ -392,8 +392,9 @@ SHAPE = "a long, b long"
 
 
 def _with_components(sets: DataFrame, edges: DataFrame) -> DataFrame:
-    """``sets`` with the component that ``edges`` give each (its own id: none)."""
-    comp = components(edges)
+    """``sets`` with the component that ``edges`` (a stored table) give each
+    (its own id: none)."""
+    comp = components(edges, written=True)
     return keep(sets.join(comp, F.col("id") == F.col("node"), "left")
                 .withColumn("comp", F.coalesce("label", "id")).drop("node", "label"), "comp")
 
@@ -480,7 +481,7 @@ def similar(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width:
     sets = keep(known.where("n > 0").groupBy("s1", "s2").agg(number.alias("id")), "sets")
     shared = keep(_candidates(docs, text, width, percent, frequent, bits).join(sets, ["s1", "s2"]).drop("s1", "s2"),
                   "candidates")
-    comp = components(_links(shared, percent))
+    comp = components(keep(_links(shared, percent), "links"), written=True)
     label = keep(sets.join(comp, F.col("id") == F.col("node"), "left").select(
         "s1", "s2", F.coalesce("label", "id").alias("label")), "labels")
     kind = docs.schema[key].dataType

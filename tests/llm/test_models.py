@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 import corpus_pipeline
 from gridsense.llm import bpe, chat, jaccard, main_text, nearest
+from gridsense.llm import components as components_of
 from gridsense.llm.components import components
 from gridsense.llm.queries import ORACLE, QUERIES, VOCABULARY
 from tests.conftest import SF0001
@@ -260,7 +261,9 @@ def test_chat_round_trip(spark):
 
 # -- similar documents --------------------------------------------------------------------
 
-def test_components(spark):
+@pytest.mark.parametrize("gathered", [1 << 20, 10])
+def test_components(spark, monkeypatch, gathered):
+    monkeypatch.setattr(components_of, "GATHERED", gathered)
     r = random.Random(7)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(1000, 1100)] + [(5, 5)]
     up = {}
