@@ -40,7 +40,7 @@ from gridsense.llm.tables import map_rows
 # Fixed value: the byte-level pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SHORT = 48  # characters of a piece that is merged in step with others and remembered
-REMEMBERED = 400_000  # short pieces kept per worker
+REMEMBERED = 300_000  # short pieces kept per worker
 _NEVER = np.iinfo(np.int64).max
 BLOCK = 1 << 16  # characters of a text that are split into pieces at once
 
@@ -99,16 +99,40 @@ class Coder:
             if self.added else None
         self.fixed = {t: (i,) for t, i in self.added.items()}
         self.known: dict[str, tuple[int, ...]] = dict(self.fixed)
-        # The merge list as arrays, for merging many pieces in step.
+        # The merge list as arrays, for merging many pieces in step: ranks by
+        # pair in a hash table with linear probing, and the tokens they make.
         keys = np.array([(a << 32) | b for a, b in self.ranks], np.int64)
-        order = np.argsort(keys)
-        self._pairs = keys[order]
-        self._pair_rank = np.array([r for r, _ in self.ranks.values()], np.int64)[order]
+        ranks = np.array([r for r, _ in self.ranks.values()], np.int64)
+        self._bits = max(10, int(3 * max(len(keys), 1)).bit_length())
+        self._slots = np.full(1 << self._bits, -1, np.int64)
+        self._slot_rank = np.full(1 << self._bits, _NEVER)
+        for slot, key, rank in zip(self._slot_of(keys).tolist(), keys.tolist(), ranks.tolist()):
+            while self._slots[slot] >= 0:
+                slot = (slot + 1) & ((1 << self._bits) - 1)
+            self._slots[slot], self._slot_rank[slot] = key, rank
         self._merged = np.zeros(len(merges), np.int64)
         for r, new in self.ranks.values():
             self._merged[r] = new
         self._byte_ids = np.array(self.single, np.int64)
 
+    def _slot_of(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self._bits)).astype(np.int64)
+
+    def _ranks_of(self, keys: np.ndarray) -> np.ndarray:
+        """Rank of each pair, _NEVER where there is no such merge."""
+        slot = self._slot_of(keys)
+        met = self._slots[slot]
+        rank = np.where(met == keys, self._slot_rank[slot], _NEVER)
+        open_ = np.flatnonzero((met != keys) & (met >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) & ((1 << self._bits) - 1)
+            met = self._slots[slot[open_]]
+            hit = met == keys[open_]
+            rank[open_[hit]] = self._slot_rank[slot[open_[hit]]]
+            open_ = open_[~hit & (met >= 0)]
+        return rank
+
     # -- encoding --------------------------------------------------------------
 
     def merge(self, data: bytes) -> list[int]:
@@ -159,9 +183,7 @@ class Coder:
             first = np.cumsum(size) - size
             rank = np.full(len(ids), _NEVER)
             if len(ids) > 1:
-                key = (ids[:-1] << 32) | ids[1:]
-                at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
-                rank[:-1] = np.where(self._pairs[at] == key, self._pair_rank[at], _NEVER)
+                rank[:-1] = self._ranks_of((ids[:-1] << 32) | ids[1:])
             rank[first + size - 1] = _NEVER
             low = np.minimum.reduceat(rank, first)
             if (done := np.flatnonzero(low == _NEVER)).size:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 
-BUFFER = 1 << 20  # bytes hashed at once
+BUFFER = 1 << 19  # bytes hashed at once
 
 _A_Z = np.arange(256, dtype=np.uint8)
 _A_Z[65:91] += 32
