@@ -8,12 +8,19 @@ up the tree and one down (sum-product) give each text's exact marginal; texts
 whose marginal is over a half make up the main text, in page order.
 
 Training counts labelled pages: those with an ``article`` or ``main`` element,
-whose subtree is labelled content except for what ``NOT_CONTENT`` names.
+whose subtree is labelled content except for tags of ``NOT_CONTENT`` and
+elements named as in ``FURNITURE`` or ``DOUBTFUL``.
 At most ``MAX_PAGES`` of them are used (those of the smallest hash of their
 key; a documented bound). A feature's log ratio is limited to ``CAP`` (a text's to
-``TEXT_CAP``), so that no single feature outweighs the parent. What ``NOT_CONTENT``
-and ``MAIN`` name is taken as observed, as labelled pages show few of them; the
-words of ``CONTENT`` have a fixed ratio.
+``TEXT_CAP``), so that no single feature outweighs the parent. The tags of
+``NOT_CONTENT`` and ``MAIN`` are taken as observed, as labelled pages show few of
+them. Names of class, id and role have finite ratios, which the parent and the
+texts can outweigh: ``LIKELY`` for words of ``CONTENT``; for names made up of
+words of ``DOUBTFUL`` as much against it, of ``FURNITURE`` ``UNLIKELY`` (a few
+paragraphs of a reader's comment read like the article's); where such a word is
+part of a longer name ("related-work", "with-sidebar"), ``CAP`` against it unless
+training counts otherwise. A heading's names tell its subject, not its role, and
+have trained ratios only.
 
 Blocks: block elements part texts, inline elements do not, ``br`` is white
 space. Character references are decoded; white space becomes one space; blocks
@@ -40,7 +47,7 @@ from pyspark.sql import functions as F
 from gridsense.llm.tables import map_rows
 
 MAX_PAGES = 2000
-CAP, TEXT_CAP, LIKELY, KNOWN = 2.5, 1.0, 6.0, 1000.0
+CAP, TEXT_CAP, LIKELY, UNLIKELY, KNOWN = 2.5, 1.0, 6.0, 20.0, 1000.0
 # By the child's kind, the least chance that it differs from its parent: that
 # content stands in what is none, and that something else stands in content.
 FLOOR = {"box": (0.02, 0.02), "element": (1e-9, 0.02), "text": (1e-9, 0.0005)}
@@ -56,14 +63,17 @@ ENDS_P = BLOCK - frozenset("html head body li dd dt td th tr tbody thead tfoot o
 SAME_LEVEL = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
               "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
               "option": ({"option"}, {"select"})}
-# Tags and words of class, id or role that tell content from the rest.
+# Tags, and words of class, id or role, that tell content from the rest.
 NOT_CONTENT = frozenset("""nav aside footer header form script style noscript template iframe button select
-    input textarea title head menu dialog svg canvas object ad ads advert adverts advertisement sponsored promo
-    sidebar comment comments reply replies disqus cookie cookies consent notice notices banner alert popup modal
-    breadcrumb breadcrumbs navigation navbar topbar related recommended share sharing social newsletter subscribe
-    login signup search pagination toolbar widget copyright contentinfo complementary""".split())
+    input textarea title head menu dialog svg canvas object""".split())
+FURNITURE = frozenset("""ad ads advert adverts advertisement sidebar comment comments reply replies disqus
+    complementary""".split())
+DOUBTFUL = frozenset("""nav aside footer menu dialog sponsored promo cookie cookies consent notice notices banner alert
+    popup modal breadcrumb breadcrumbs navigation navbar topbar related recommended share sharing social newsletter
+    subscribe login signup search pagination toolbar widget copyright contentinfo""".split())
 CONTENT = frozenset("content entry story articlebody post".split())
 MAIN = frozenset(["article", "main"])
+HEADING = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 BOX = MAIN | frozenset("#root html body div section center table tbody tr td".split())
 
 _TOKEN = re.compile(r"""<!--(?P<comment>.*?)(?:--!?>|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)"""
@@ -127,9 +137,7 @@ class Page:
                 close(*SAME_LEVEL[tag])
             words = ()
             if m["attrs"]:
-                # An article's names count whole: "comments-open" is no comment.
-                part = str.split if tag in MAIN else _WORD.findall
-                words = tuple(w.lower() for g in _NAMES.findall(m["attrs"]) for w in part("".join(g)))
+                words = tuple(w.lower() for g in _NAMES.findall(m["attrs"]) for w in "".join(g).split())
             node = add(tag, words, None)
             if block:
                 gap = True
@@ -160,7 +168,9 @@ class Page:
                 out.append([f"size:{min(n.bit_length(), 6)}", f"marks:{min(4, 8 * ends // max(n, 1))}",
                             f"linked:{linked[k]}"] if n else [])
             else:
-                out.append([f"tag:{tag}", *(f"word:{w}" for w in self.words[k])])
+                named = [f for w in self.words[k] for f in _named(w, tag)]
+                # An article of such a name (a reader's comment) is not observed.
+                out.append([f"{'named' if tag in MAIN and _barred(named) else 'tag'}:{tag}", *named])
         return out
 
     def labels(self) -> list[bool] | None:
@@ -171,11 +181,30 @@ class Page:
         for k, tag in enumerate(self.tag):
             p = self.parent[k]
             inside = p >= 0 and out[p]
-            barred = tag in NOT_CONTENT or not NOT_CONTENT.isdisjoint(self.words[k])
+            barred = tag in NOT_CONTENT or _barred(f for w in self.words[k] for f in _named(w, tag))
             out.append((inside or tag in MAIN) and not barred and tag != "#raw")
         return out
 
 
+def _named(name: str, tag: str) -> list[str]:
+    """Features of a name of class, id or role: what it is (``not``: made up of
+    words against content), or its words (``part``: one of several, and some of
+    them are such words)."""
+    parts = _WORD.findall(name)
+    against = [w for w in parts if w in FURNITURE or w in DOUBTFUL]
+    if tag in HEADING:
+        return [f"heading:{w}" for w in parts]
+    if against and len(against) == len(parts):
+        return [f"not:{max(against, key=lambda w: (w in FURNITURE, w))}"]
+    if tag in MAIN:  # an article's names count whole: "post-42" is no post
+        return [f"word:{name}"]
+    return [f"{'part' if against else 'word'}:{w}" for w in parts]
+
+
+def _barred(features) -> bool:
+    return any(f.startswith("not:") for f in features)
+
+
 def _kind(tag: str) -> str:
     return "box" if tag in BOX else "text" if tag[0] == "#" else "element"
 
@@ -192,8 +221,10 @@ class Model:
             r = math.log((yes + 1) / total[1]) - math.log((no + 1) / total[0])
             cap = TEXT_CAP if f.startswith(("size:", "marks:", "linked:")) else CAP
             self.ratio[f] = max(-cap, min(cap, r))
-        for names, r in ((NOT_CONTENT, -KNOWN), (CONTENT, LIKELY)):
-            self.ratio |= {f"{kind}:{w}": r for w in names for kind in ("tag", "word")}
+        self.ratio = {f"part:{w}": -CAP for w in FURNITURE | DOUBTFUL} | self.ratio
+        for kind, names, r in (("tag", NOT_CONTENT, -KNOWN), ("not", FURNITURE, -UNLIKELY), ("not", DOUBTFUL, -LIKELY),
+                               ("word", CONTENT, LIKELY)):
+            self.ratio |= {f"{kind}:{w}": r for w in names}
         self.ratio |= {f"tag:{t}": KNOWN / 2 for t in MAIN} | {"tag:#raw": -KNOWN}
         self.pair = {}
         for kind, (rise, fall) in FLOOR.items():

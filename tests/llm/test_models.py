@@ -117,6 +117,24 @@ def test_main_text_of_odd_pages(spark):
     assert main_text.extract(pages.where("false"), model).count() == 0
 
 
+def test_names_inside_an_article_drop_no_headings_or_sections(spark):
+    """A word of a class or id is no verdict; comments and advertisements stay out."""
+    para = "<p>We describe the method, which is known; it works well in practice.</p>"
+    kept = ['<h1 class="entry-title">{}</h1>', '<h2 class="post-title">{}</h2>', '<h2 class="section-head">{}</h2>',
+            '<h2 id="related-work">{}</h2>', '<h2 id="search">{}</h2>', '<h2 class="title header">{}</h2>',
+            '<section id="search-methods"><h2>{}</h2>' + para + '</section>',
+            '<div class="entry-content with-sidebar"><p>{}</p></div>', '<p id="notice-of-appeal">{}</p>']
+    out = ['<div id="comments"><p>{}, said a reader.</p><p>I do not, said another.</p></div>', '<div class="ad">{}</div>',
+           '<article class="comment"><p>{}, said a reader.</p></article>', '<aside>{}</aside>',
+           '<div class="related"><ul><li><a href="/x">{}</a></li></ul></div>']
+    page = "<html><body><nav><a href=x>Home</a></nav><article><h1>A title</h1>{0}{1}{0}</article><footer>F</footer></body></html>"
+    rows = [(i, None, page.format(para, p.format("It is here"))) for i, p in enumerate(kept + out)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for training in (pages, pages.where("false"), spark.read.parquet(f"{SF0001}/pages.parquet")):
+        got = {r["page_id"]: "It is here" in r["text"] for r in main_text.extract(pages, main_text.train(training)).collect()}
+        assert got == {i: i < len(kept) for i in range(len(rows))}
+
+
 def test_marginals_are_exact_on_a_small_tree():
     """Sum-product against summing over all labellings."""
     import itertools
