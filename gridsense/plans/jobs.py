@@ -245,7 +245,7 @@ COUNTER_SCHEMA = "Sensor STRING, Day TIMESTAMP, daily_diff DOUBLE"
 
 
 def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
-                    late_sensors=None, gauge_delay: str | None = "30 days",
+                    late_sensors=None, gauge_delay: str | None = None,
                     accept_delay: str | None = "3 days", counter_delay: str | None = None,
                     rejected_delay: str | None = None, sub_gt: float | None = None,
                     trigger: dict | None = None, name_prefix: str = "", raw: bool = True,
@@ -263,24 +263,25 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
 
     All but the raw readings run in update mode: a result leaves as soon as
     its first reading is there and again whenever it is revised, so nothing
-    waits for a watermark. A watermark only bounds the state. Counters and
-    rejected readings have none, as in the reference (their state is one row
-    per sensor and day or ten minutes); the sub-meters have the reference's 3
-    days. The gauges share one query, so their lateness must cover how far
-    sensors are out of step, not only how late one sensor's rows are: 30 days
-    by default, at one row of state per sensor and day. Returns the started
-    queries.
+    waits for a watermark. A watermark only bounds the state. Gauges, counters
+    and rejected readings have none (their state is one row per sensor and day
+    or ten minutes); the sub-meters have the reference's 3 days. Where a delay
+    of gauges or sub-meters is given, each sensor has its own watermark, as in
+    the reference, so that sensors out of step lose nothing. Returns the
+    started queries.
     """
     late = list(late_sensors) if late_sensors is not None else \
         registry.names(sensors, domain="water", kind="gauge")
     gauges = [x.name for x in sensors if x.kind in ("gauge", "flag") and x.name not in late]
     counters = registry.names(sensors, kind="counter")
     accepted, rejected = split_late(subscribed(messages, late, sensors, numeric=False))
-    accepted_daily = daily_rollup(accepted, by="Sensor", delay=accept_delay, out="Totalw1")
+    accepted_daily = daily_rollup(accepted, by="Sensor", delay=accept_delay, out="Totalw1",
+                                  watermark_each=late if len(late) > 1 else None)
     if sub_gt is not None:
         accepted_daily = plausible(accepted_daily, "Totalw1", gt=sub_gt)
     outs = {
-        "daily": gauge_daily(subscribed(messages, gauges, sensors), sensors, delay=gauge_delay),
+        "daily": gauge_daily(subscribed(messages, gauges, sensors), sensors, delay=gauge_delay,
+                             watermark_each=gauges if len(gauges) > 1 else None),
         "counter_diff": counter_daily_diff(subscribed(messages, counters, sensors),
                                            by="Sensor", delay=counter_delay),
         "accepted_daily": accepted_daily,

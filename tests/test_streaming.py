@@ -191,6 +191,32 @@ def test_no_reading_is_lost_with_sensors_out_of_step(spark, workdir):
     assert [r[1].day for r in _topic(spark, topics, "leak")] == [2, 3, 4, 5]
 
 
+def test_gauges_of_a_backlog_months_apart_lose_nothing(spark, workdir):
+    """One sensor per file and batch, 60 days apart, without a delay or with
+    one: every day of both comes out."""
+    src = f"{workdir}/src"
+    th1 = [("IoT/temperature/TH1", f"2023-01-{d:02d} 04:00:00 | 20.0") for d in range(1, 6)]
+    # Lateness is judged by the watermark of the batch before, hence the batch between.
+    _write_batches(spark, src, [[(TOPIC["HVAC1"], f"2023-03-{d:02d} 01:00:00 | 1.0") for d in days]
+                                for days in (range(2, 6), range(6, 8))] + [th1[:4], th1[4:]])
+    msgs = read_messages(spark, src, stream=True, max_files_per_trigger=1)
+    for k, delay in enumerate(({}, {"gauge_delay": "3 days"})):
+        wait_for(start_household(msgs, f"{workdir}/topics{k}", name_prefix=f"m{k}_", raw=False, **delay, **ONCE))
+        daily = _topic(spark, f"{workdir}/topics{k}", "daily")
+        assert [r[1].day for r in daily if r[0] == "TH1"] == [2, 3, 4, 5, 6]
+        assert [r[1].day for r in daily if r[0] == "HVAC1"] == [3, 4, 5, 6, 7, 8]
+
+
+def test_sub_meters_out_of_step_lose_nothing(spark, workdir):
+    src, topics = f"{workdir}/src", f"{workdir}/topics"
+    subs = [registry.Sensor(n, f"IoT/water/{n}", "water", "gauge", "sum") for n in ("W1", "W2")]
+    _write_batches(spark, src, [[("IoT/water/W2", "2023-03-02 01:00:00 | 1.0")], [("IoT/water/W2", "2023-03-03 01:00:00 | 1.0")],
+                                [_w1(1)], [_w1(2)]])
+    msgs = read_messages(spark, src, stream=True, max_files_per_trigger=1)
+    wait_for(start_household(msgs, topics, sensors=subs, late_sensors=["W1", "W2"], name_prefix="w_", raw=False, **ONCE))
+    assert [(r[0], r[1].day) for r in _topic(spark, topics, "accepted_daily")] == [("W1", 2), ("W1", 3), ("W2", 3), ("W2", 4)]
+
+
 def test_unfinished_batches_and_removed_folders(spark, workdir):
     """A batch counts once it is committed; what a snapshot covers may go."""
     import shutil
