@@ -103,10 +103,11 @@ def _batches(texts: pa.Array, width: int):
 
 
 def _set_rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
-    """Rows of documents (key, n, s1, s2) and of frequent shingles (token, df)."""
+    """Rows of documents (key, n, s1, s2, the text's hash) and of frequent
+    shingles (token, df)."""
     def run(batches):
         for b in batches:
-            keys, texts = b.column(0), b.column(1)
+            keys, texts, hashes = b.column(0), b.column(1), b.column(2)
             for first, sets in _batches(texts, width):
                 n, s1, s2 = _digest(sets)
                 _, own = np.unique(np.stack([s1, s2]), axis=1, return_index=True)
@@ -118,13 +119,14 @@ def _set_rows(docs: DataFrame, key: str, text: str, width: int) -> DataFrame:
                     [pa.concat_arrays([keys.slice(first, k), pa.nulls(m, keys.type)]),
                      pa.array(np.append(n, np.full(m, -1)), pa.int64()),
                      pa.array(np.append(as_long(s1), as_long(token[often]))),
-                     pa.array(np.append(as_long(s2), df[often]), pa.int64())], ["k", "n", "s1", "s2"])
-            del b, keys, texts
+                     pa.array(np.append(as_long(s2), df[often]), pa.int64()),
+                     pa.concat_arrays([hashes.slice(first, k), pa.nulls(m, pa.int64())])], ["k", "n", "s1", "s2", "h"])
+            del b, keys, texts, hashes
             give_back()
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(
-        run, f"k {kind}, n long, s1 long, s2 long")
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(text).alias("h")).mapInArrow(
+        run, f"k {kind}, n long, s1 long, s2 long, h long")
 
 
 # -- order and prefix ---------------------------------------------------------------
@@ -468,6 +470,11 @@ def similar(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width:
     by links, the row's own included) of every row. ``key`` is a whole number
     below 2**62. ``docs`` is a stored table: its rows are read twice, and a task
     that runs again must meet them in the same order."""
+    return _similar(docs, key, text, width, percent).drop("h").toDF(key, "n_shingles", "component_id")
+
+
+def _similar(docs: DataFrame, key: str, text: str, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """``k``, ``n``, ``comp`` and ``h`` (the text's hash) of every row."""
     rows = keep(_set_rows(docs, key, text, width), "shingle-sets")
     known = rows.where("n >= 0")
     n_docs, n_shingles = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -475,25 +482,36 @@ def similar(docs: DataFrame, *, key: str = "doc_id", text: str = "text", width:
     frequent = np.sort(np.array([r[0] for r in often.select("s1").collect()], np.int64).view(np.uint64))
     bits = max(0, int(np.ceil(np.log2(max(n_shingles, 1) / BUCKET))))
     # A set's number is its smallest key; sets of null keys alone get one
-    # beyond all keys.
-    number = F.coalesce(F.min(F.col("k").cast("long")),
-                        F.shiftrightunsigned(F.xxhash64("s1", "s2"), 2) + F.lit(1 << 62))
-    sets = keep(known.where("n > 0").groupBy("s1", "s2").agg(number.alias("id")), "sets")
-    shared = keep(_candidates(docs, text, width, percent, frequent, bits).join(sets, ["s1", "s2"]).drop("s1", "s2"),
-                  "candidates")
+    # beyond all keys, and so do sets whose smallest key is another set's too.
+    beyond = F.shiftrightunsigned(F.xxhash64("s1", "s2"), 2) + F.lit(1 << 62)
+    sets = keep(known.where("n > 0").groupBy("s1", "s2").agg(
+        F.coalesce(F.min(F.col("k").cast("long")), beyond).alias("id")), "sets")
+    twice = keep(sets.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("id").alias("key")), "twice")
+    repeated = not twice.isEmpty()
+    if repeated:
+        sets = keep(sets.join(twice, F.col("id") == F.col("key"), "left").select(
+            "s1", "s2", F.when(F.col("key").isNull(), F.col("id")).otherwise(beyond).alias("id"),
+            F.col("id").alias("least")), "numbered")
+    shared = keep(_candidates(docs, text, width, percent, frequent, bits).join(sets.select("s1", "s2", "id"), ["s1", "s2"])
+                  .drop("s1", "s2"), "candidates")
     comp = components(keep(_links(shared, percent), "links"), written=True)
     label = keep(sets.join(comp, F.col("id") == F.col("node"), "left").select(
-        "s1", "s2", F.coalesce("label", "id").alias("label")), "labels")
+        *sets.drop("id").columns, F.coalesce("label", "id").alias("label")), "labels")
+    if repeated:  # a component's smallest key may not be its label
+        least = label.groupBy("label").agg(F.min("least").alias("least"))
+        label = label.drop("least").join(least, "label").select("s1", "s2", F.col("least").alias("label"))
     kind = docs.schema[key].dataType
     found = known.join(label, ["s1", "s2"], "left")
     own = F.when(F.col("label") < F.lit(1 << 62), F.col("label").cast(kind))
-    return found.select(F.col("k").alias(key), F.col("n").alias("n_shingles"),
-                        F.when(F.col("n") > 0, own).otherwise(F.col("k")).alias("component_id"))
+    return found.select("k", "n", F.when(F.col("n") > 0, own).otherwise(F.col("k")).alias("comp"), "h")
 
 
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each component of similar documents: that of the
-    smallest key, once if its row is repeated. Rows without a key stay."""
-    found = similar(docs, key=key, text=text)
-    gone = found.where(F.col(key) != F.col("component_id")).select(key).distinct()
-    return docs.join(gone, key, "left_anti").select(*docs.columns).dropDuplicates([key, text])
+    smallest key, once if its row is repeated. Rows of one key and different
+    texts are judged each by its own component. Rows without a key stay, all."""
+    gone = _similar(docs, key, text).where("k <> comp").select("k", "h").distinct()
+    kept = docs.join(gone, (docs[key] == gone["k"]) & (F.xxhash64(docs[text]) == gone["h"]), "left_anti")
+    own = "_" + "_".join(docs.columns)  # no other column's name
+    return kept.withColumn(own, F.when(F.col(key).isNull(), F.monotonically_increasing_id())) \
+        .dropDuplicates([key, text, own]).select(*docs.columns)

@@ -364,6 +364,21 @@ def test_one_of_each(spark):
     assert got == [2, 5, 9]
 
 
+def test_one_of_each_judges_rows_of_one_key_by_their_text(spark):
+    """A repeated key's clean text stays when its other text is a copy, exact
+    or near; rows without a key stay."""
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(2, "a b c d e f"), (4, "a b c d e f"), (4, "this text of the key stands quite alone"),
+            (6, long), (8, long + " more"), (8, "and so does this one of another key"),
+            (9, "first text of the key nine here"), (9, "second one of nine is another thing"), (11, "second one of nine is another thing"),
+            (None, "a text without any key at all"), (None, "a text without any key at all"), (None, None), (None, None)]
+    df = spark.createDataFrame(rows, DOC)
+    got = sorted(((r["doc_id"], r["text"]) for r in jaccard.one_of_each(df).collect()), key=str)
+    assert got == sorted((r for k, r in enumerate(rows) if k not in (1, 4, 8)), key=str)
+    found = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.similar(df).collect()}
+    assert sorted(f[2] for f in found if f[0] == 8) == [6, 8] and {f[2] for f in found if f[0] in (9, 11)} == {9}
+
+
 def test_trie_equals_pairwise_overlaps():
     r = random.Random(19)
     sets = [np.array(sorted(r.sample(range(40), r.randint(1, 30)))) for _ in range(80)]
