@@ -70,8 +70,39 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
   sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from docs left join words using (r) left join ids using (r)"""
 
+OP11 = """
+with doc_terms as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+  from documents where text is not null),
+docs as (select r, doc_id, len(w) as n, w from doc_terms where len(w) > 0),
+whole as (select count(*) as total_docs, sum(n)::bigint as total_terms from docs),
+item_terms as (
+  select distinct item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark where item_id is not null and text is not null),
+postings as (
+  select r, doc_id, n, term, count(*) as tf
+  from (select r, doc_id, n, unnest(w) as term from docs) where term in (select term from item_terms)
+  group by r, doc_id, n, term),
+weights as (
+  select term, floor(1000 * ln((2.0::double * total_docs + 2) / (2 * df + 1)))::bigint as weight
+  from (select term, count(*) as df from postings group by term), whole),
+scores as (
+  select item_id, r, doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * total_docs) // total_terms))))::bigint as score
+  from item_terms join postings using (term) join weights using (term), whole
+  where doc_id is not null group by item_id, r, doc_id),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank, doc_id, score
+  from scores where score > 0)
+select item_id, rank, doc_id, score from ranked where rank <= 50"""
+
 ORACLE = {
     "op3_url_filter": OP3,
     "op9_chat": OP9,
     "op10_decontaminate": OP10,
+    "op11_search": OP11,
 }

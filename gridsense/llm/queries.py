@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridsense.llm import bpe, chat, decontaminate, jaccard, language, main_text, nearest, quality, secret_scan, urls
+from gridsense.llm import (alignment, bpe, chat, decontaminate, jaccard, language, lexical, main_text, nearest,
+                           quality, secret_scan, token_files, urls)
 from gridsense.llm.oracle import ORACLE
-from gridsense.llm.tables import held_out, table
+from gridsense.llm.tables import held_out, keep, table
 
 __all__ = ["ORACLE", "QUERIES"]
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +90,28 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(ids, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    back = token_files.read_tokens(token_files.write_tokens(docs, bpe.read_vocabulary(WORD_VOCABULARY)))
+    return back.select("doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+                       F.crc32("ids").alias("ids_crc32"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = alignment.read_model(PIECE_MODEL)
+    found = alignment.align(docs, bpe.read_vocabulary(VOCABULARY), model)
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    found = keep(found.withColumn("groups_sha256", digest).drop("groups"), "aligned")
+    return alignment.weigh(found, alignment.model_size(model)).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_nearest": op2_nearest,
@@ -98,4 +123,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_chat": op9_chat,
     "op10_decontaminate": op10_decontaminate,
+    "op11_search": op11_search,
+    "op12_token_files": op12_token_files,
+    "op13_alignment": op13_alignment,
 }

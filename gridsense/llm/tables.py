@@ -88,7 +88,8 @@ def map_rows(df: DataFrame, values: list[Column | str], carry: list[str], make,
                 cols = work(*[v[part].to_pylist() for v in taken])
                 yield pa.RecordBatch.from_arrays(
                     [b.column(i).slice(part.start, part.stop - part.start) for i in range(k)]
-                    + [pa.array(c, t, from_pandas=False) for c, t in zip(cols, types)], names)
+                    + [c if isinstance(c, pa.Array) else pa.array(c, t, from_pandas=False)
+                       for c, t in zip(cols, types)], names)
             del b, taken
             give_back()
 
