@@ -41,9 +41,12 @@ def latest_per_key(df: DataFrame, keys: str | Sequence[str], order: str,
 def leak(sub_df: DataFrame, total_df: DataFrame, day: str = "Day", sub: str = "Totalw1",
          total: str = "daily_diff", by=None, out: str = "LeakValue",
          round_to: int | None = 2, watermark: str | None = None,
-         sum_subs: bool = False, revision: str | None = None) -> DataFrame:
+         sum_subs: bool = False, revision: str | None = None, how: str = "inner") -> DataFrame:
     """``(keys, Day, LeakValue = total - sub)`` for days present on both sides.
 
+    * ``how="left"``: also the sub-meter's days without a meter, with a NULL
+      leak, and the sub-meter's sum; in a stream such a day leaves once both
+      sides' watermark has passed it.
     * ``sum_subs``: ``sub_df`` holds several sub-meters per day; they are
       summed first (batch only).
     * ``revision``: both sides are revision logs (update-mode output); the
@@ -67,11 +70,13 @@ def leak(sub_df: DataFrame, total_df: DataFrame, day: str = "Day", sub: str = "T
     cond = F.col(day) == F.col("_day_2")
     for k in keys:
         cond = cond & (F.col(k) == F.col(f"_{k}_2"))
-    joined = left.join(right, cond, "inner")
+    if how not in ("inner", "left"):
+        raise ValueError("how is 'inner' or 'left'")
+    joined = left.join(right, cond, how)
     value = F.col(total) - F.col(sub)
     if round_to is not None:
         value = F.round(value, round_to)
-    return joined.select(*keys, F.col(day), value.alias(out))
+    return joined.select(*keys, F.col(day), *([sub] if how == "left" else []), value.alias(out))
 
 
 def leak_of_revisions(sub_df: DataFrame, total_df: DataFrame, revision: str, day: str = "Day",

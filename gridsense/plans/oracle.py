@@ -102,6 +102,28 @@ LEAK = f"""
   SELECT a.Day, round(p.daily_diff - a.Totalw1, 2) AS LeakValue
   FROM ({ACCEPTED}) a JOIN ({COUNTER_PAIRS}) p ON a.Day = p.Day"""
 
+# What an append-mode stream has sent once all readings are in: days of the
+# sub-meter that are the accepted lateness behind its latest reading, and
+# differences whose second day the meter's watermark has passed.
+SENT_SUB = f"""
+  SELECT * FROM ({ACCEPTED}) a WHERE Day <= (
+    SELECT max(date_trunc('second', ts)) - INTERVAL '{q.ACCEPT_DELAY}' FROM events
+    WHERE event_type = {SUB} AND NOT {FLAGGED})"""
+SENT_TOTAL = f"""
+  SELECT * FROM ({COUNTER_PAIRS}) p WHERE Day + INTERVAL 1 DAY <= (
+    SELECT max(t) - INTERVAL '{q.GAUGE_DELAY}' FROM ({COUNTER}) c)"""
+
+# The sub-meter's readings in three runs: what the last run finds closed.
+_LATE_ROWS = f"""
+  WITH r AS (
+    SELECT {DAY} AS Day, value, date_trunc('second', ts) AS t,
+           ts < TIMESTAMP '{q.LATE_SPLIT}' AND event_id % 50 = 0 AS late
+    FROM events WHERE event_type = {SUB}),
+  mark AS (SELECT max(t) FILTER (WHERE NOT late) - INTERVAL '{q.ACCEPT_DELAY}' AS before,
+                  max(t) - INTERVAL '{q.ACCEPT_DELAY}' AS m FROM r)
+  SELECT CASE WHEN late AND Day <= before THEN 'late' WHEN Day <= m THEN 'accepted' ELSE 'open' END AS kind,
+         Day, {_sum()} AS Total, count(*) AS n FROM r, mark GROUP BY 1, 2"""
+
 # The panels' time range.
 RANGE = f"BETWEEN TIMESTAMP '{q.PANEL_START}' AND TIMESTAMP '{q.PANEL_END}'"
 _of_domain = {d: _in(s.name for s in ev.EVENT_SENSORS if s.domain == d and s.kind != "counter")
@@ -197,6 +219,26 @@ ORACLE: dict[str, str] = {
     "stream_rejected": REJECTED,
     "stream_counter_diff": COUNTER_PAIRS,
     "stream_leak": LEAK,
+    "stream_leak_join": f"""
+      WITH a AS ({SENT_SUB}), p AS ({SENT_TOTAL}),
+      mark AS (SELECT least((SELECT max(Day) FROM a), (SELECT max(Day) FROM p)) - INTERVAL '{q.JOIN_DELAY}' AS m)
+      SELECT a.Day, Totalw1, round(daily_diff - Totalw1, 2) AS LeakValue
+      FROM a LEFT JOIN p ON a.Day = p.Day, mark WHERE daily_diff IS NOT NULL OR a.Day <= m""",
+    "stream_keyed_daily": f"""
+      WITH r AS (
+        SELECT event_type AS Sensor, value, date_trunc('second', ts)
+               + CASE WHEN event_type = {SUB} THEN INTERVAL '{q.AHEAD}' ELSE INTERVAL '0 days' END AS t
+        FROM events WHERE event_type IS NOT NULL),
+      mark AS (SELECT Sensor, max(t) - INTERVAL '{q.GAUGE_DELAY}' AS m FROM r GROUP BY Sensor),
+      d AS (
+        SELECT Sensor, date_trunc('day', t) + INTERVAL 1 DAY AS Day, count(*) AS n,
+               CASE WHEN Sensor IN {_in(ev.AVERAGED)} THEN {_avg()} ELSE {_sum()} END AS Total
+        FROM r GROUP BY 1, 2)
+      SELECT Sensor, 'accepted' AS kind, Day, Total, n FROM d JOIN mark USING (Sensor) WHERE Day <= m""",
+    "stream_late_split": _LATE_ROWS,
+    "stream_open_windows": f"""
+      SELECT {SUB} AS Sensor, Day, Total, n FROM ({_LATE_ROWS}) x WHERE kind = 'open'""",
+    "stream_counter_state": _PAIRS_ALL,
     # The same leak through the whole application, labelled by its meter.
     "stream_household": f"""
       SELECT '{ev.COUNTER}' AS Meter, Day, LeakValue FROM ({LEAK}) s""",

@@ -25,8 +25,10 @@ from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
 from gridsense.plans import jobs
 from gridsense.session import ensure_utc, new_work_path
 from gridsense.sources import events as ev
-from gridsense.sources.io import read_dataset, read_messages, write_messages
-from gridsense.streaming.sinks import REVISION, read_revisions, run_available, run_available_together, wait_for
+from gridsense.sources.io import read_dataset, read_messages, read_topic, write_messages
+from gridsense.streaming import keyed
+from gridsense.streaming.sinks import (REVISION, read_revisions, run_available, run_available_together,
+                                      start_topic_sink, wait_for)
 
 # Bounds of the reference's plausibility filters (Etot below
 # 72000 and Wtot below 150 per day, W1 above 40 per day).
@@ -40,6 +42,10 @@ ACCEPT_DELAY = "3 days"
 PANEL_START = "2024-01-03 00:00:00"
 PANEL_END = "2024-01-08 00:00:00"
 LATE_SPLIT = "2024-01-20 00:00:00"  # where the late-rows query parts its stream
+PARTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")  # where others part theirs, in three
+HELD_BACK = "2024-01-09 00:00:00"  # a counter reading that comes with the second part
+AHEAD = "60 days"  # how far one gauge is ahead of the others
+JOIN_DELAY = "5 seconds"  # fixed value: the reference's watermark on both sides of its join
 AVG_SENSOR = "error"  # the stand-in sensor averaged per day (TH1 / TH2 role)
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -332,6 +338,114 @@ def stream_leak_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(_ntz("Day"), "LeakValue")
 
 
+def _three_parts(df: DataFrame, ts: str) -> list[DataFrame]:
+    """Rows before, between and after :data:`PARTS`."""
+    a, b = (F.lit(t).cast("timestamp_ntz") for t in PARTS)
+    t = F.col(ts).cast("timestamp_ntz")
+    return [df.where(t < a), df.where((t >= a) & (t < b)), df.where(t >= b)]
+
+
+def stream_leak_join_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reference's chain as it stands: daily sums and counter differences
+    leave in append mode as JSON topics, a second application joins the two
+    streams on the day, both sides watermarked, and appends to a third topic,
+    which is read back typed. Three parts of the data arrive one after the
+    other; the join runs after each and holds what it has not matched. The
+    outer form also gives the sub-meter's days that have no meter."""
+    ensure_utc(spark)
+    root = new_work_path(spark, "join")
+    clicks = ev.load_events(spark, sf_dir).where(F.col("event_type") == ev.SUB_METER)
+    meter = ev.counter_readings(spark, sf_dir)
+    for sub_part, meter_part in zip(_three_parts(clicks, "ts"), _three_parts(meter, "DateTime")):
+        write_messages(ev.messages_of(sub_part), f"{root}/sub-src")
+        write_messages(ev.reading_messages(meter_part), f"{root}/meter-src")
+        accepted, _ = _sub_readings(read_messages(spark, f"{root}/sub-src", stream=True))
+        counter = jobs.sensor_readings(read_messages(spark, f"{root}/meter-src", stream=True))
+        run_available_together([
+            (_accepted_daily(accepted, delay=ACCEPT_DELAY), f"{root}/sub", {"fmt": "json"}),
+            (counter_daily_diff(counter, delay=GAUGE_DELAY), f"{root}/total", {"fmt": "json"}),
+        ])
+        joined = leak(read_topic(spark, f"{root}/sub", jobs.SUB_SCHEMA, stream=True),
+                      read_topic(spark, f"{root}/total", jobs.TOTAL_SCHEMA, stream=True),
+                      watermark=JOIN_DELAY, how="left")
+        run_available(joined, f"{root}/leak", fmt="json")
+    rows = read_topic(spark, f"{root}/leak", "Day TIMESTAMP, Totalw1 DOUBLE, LeakValue DOUBLE")
+    return rows.select(_ntz("Day"), "Totalw1", "LeakValue")
+
+
+def _run_keyed(df: DataFrame, out: str, **kw) -> None:
+    """Run a stream of :mod:`keyed` operators over what is there."""
+    with keyed.rocksdb(df.sparkSession):
+        started = start_topic_sink(df, out, trigger={"availableNow": True}, **kw)
+    wait_for([started])
+
+
+def stream_keyed_daily_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every gauge's days from one scan, each gauge with a watermark of its
+    own: the sub-meter's readings come first and are 60 days ahead of all
+    others, which lose nothing by it."""
+    ensure_utc(spark)
+    root = new_work_path(spark, "keyed")
+    rows = ev.load_events(spark, sf_dir)
+    sub = F.col("event_type") == ev.SUB_METER
+    ahead = rows.where(sub).withColumn("ts", F.col("ts") + F.expr(f"INTERVAL {AHEAD}"))
+    for part in (ahead, rows.where(~sub)):
+        write_messages(ev.messages_of(part, flag_late=False), f"{root}/src")
+        readings = jobs.sensor_readings(read_messages(spark, f"{root}/src", stream=True))
+        daily = keyed.keyed_rollup(readings, GAUGE_DELAY, average=ev.AVERAGED)
+        _run_keyed(daily, f"{root}/daily", partition_by=["kind"])
+    rows = spark.read.parquet(f"{root}/daily")
+    return rows.select("Sensor", "kind", _ntz("Day"), "Total", "n")
+
+
+def _late_runs(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Three runs of the sub-meter's stream under the accepted lateness, the
+    last with readings that are days behind: the folder of its results."""
+    rows = ev.load_events(spark, sf_dir).where(F.col("event_type") == ev.SUB_METER)
+    early, late = F.col("ts") < F.lit(LATE_SPLIT).cast("timestamp_ntz"), F.col("event_id") % 50 == 0
+    root = new_work_path(spark, name)
+    for part in (early & ~late, ~early, early & late):
+        write_messages(ev.messages_of(rows.where(part), flag_late=False), f"{root}/src")
+        readings = jobs.sensor_readings(read_messages(spark, f"{root}/src", stream=True))
+        _run_keyed(keyed.keyed_rollup(readings, ACCEPT_DELAY), f"{root}/out", partition_by=["kind"])
+    return f"{root}/out"
+
+
+def stream_late_split_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late rows routed by the watermark itself: days that it has closed, the
+    readings that came after (as sums, like the rejected ones), and the days
+    still open, read from the query's state. Together they are all readings."""
+    ensure_utc(spark)
+    out = _late_runs(spark, sf_dir, "late-split")
+    closed = spark.read.parquet(out).select("kind", "Day", "Total", "n")
+    open_ = keyed.open_windows(spark, f"{out}.checkpoint").select(F.lit("open").alias("kind"), "Day", "Total", "n")
+    return closed.unionByName(open_).select("kind", _ntz("Day"), "Total", "n")
+
+
+def stream_open_windows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of a running roll-up as a table: the sub-meter's open days."""
+    ensure_utc(spark)
+    out = _late_runs(spark, sf_dir, "open")
+    return keyed.open_windows(spark, f"{out}.checkpoint").select("Sensor", _ntz("Day"), "Total", "n")
+
+
+def stream_counter_state_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The differences of all counters with a state of a few days each, in three
+    parts; a reading of the first part comes with the second."""
+    ensure_utc(spark)
+    root = new_work_path(spark, "counter-state")
+    rows = ev.counter_readings(spark, sf_dir)
+    for sensor in ev.STEADY:
+        rows = rows.unionByName(ev.steady_readings(spark, sf_dir, sensor))
+    held = F.col("DateTime").cast("timestamp_ntz") == F.lit(HELD_BACK).cast("timestamp_ntz")
+    first, second, third = _three_parts(rows, "DateTime")
+    for part in (first.where(~held), second.unionByName(first.where(held)), third):
+        write_messages(ev.reading_messages(part), f"{root}/src")
+        readings = jobs.sensor_readings(read_messages(spark, f"{root}/src", stream=True))
+        _run_keyed(keyed.keyed_counter_diff(readings), f"{root}/out", mode="update")
+    return read_revisions(spark, f"{root}/out", ["Sensor", "Day"]).select("Sensor", _ntz("Day"), "daily_diff")
+
+
 def leak_revisions_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The leak over two revision logs in batch: hourly revisions of the
     sub-meter's daily sums, two revisions of the counter's differences."""
@@ -431,6 +545,11 @@ QUERIES: dict[str, Query] = {
     "stream_rejected": stream_rejected_q,
     "stream_counter_diff": stream_counter_diff_q,
     "stream_leak": stream_leak_q,
+    "stream_leak_join": stream_leak_join_q,
+    "stream_keyed_daily": stream_keyed_daily_q,
+    "stream_late_split": stream_late_split_q,
+    "stream_open_windows": stream_open_windows_q,
+    "stream_counter_state": stream_counter_state_q,
     "stream_household": stream_household_q,
     "store_twice": store_twice_q,
 }

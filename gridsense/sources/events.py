@@ -29,6 +29,7 @@ EVENT_SENSORS = (
     Sensor("etot", "IoT/energy/etot", "energy", "counter", "diff"),
     Sensor("wtot", "IoT/water/wtot", "water", "counter", "diff"),
 )
+AVERAGED = tuple(s.name for s in EVENT_SENSORS if s.how == "avg")
 SUB_METER = "click"  # the W1 role: a sub-meter whose stream carries late rows
 COUNTER = "meter"  # the Wtot role: read once a day at midnight
 COUNTER_PARTS = ("click", "view")  # the meter totals these two sensors
@@ -143,15 +144,17 @@ def steady_readings(spark: SparkSession, sf_dir: str, sensor: str) -> DataFrame:
                     (F.sum("tot").over(w) / 100).cast("double").alias("NumVal")))
 
 
+def reading_messages(readings: DataFrame) -> DataFrame:
+    """``(Sensor, DateTime, NumVal)`` as device messages ``(topic, payload)``."""
+    return readings.select(_topic_of(F.col("Sensor")).alias("topic"),
+                           format_payload("DateTime", "NumVal").alias("payload"))
+
+
 def steady_messages(spark: SparkSession, sf_dir: str, sensor: str) -> DataFrame:
     """A steady counter's readings as device messages."""
-    r = steady_readings(spark, sf_dir, sensor)
-    return r.select(_topic_of(F.col("Sensor")).alias("topic"),
-                    format_payload("DateTime", "NumVal").alias("payload"))
+    return reading_messages(steady_readings(spark, sf_dir, sensor))
 
 
 def counter_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The meter readings as device messages ``(topic, payload)``."""
-    r = counter_readings(spark, sf_dir)
-    return r.select(_topic_of(F.col("Sensor")).alias("topic"),
-                    format_payload("DateTime", "NumVal").alias("payload"))
+    """The meter readings as device messages."""
+    return reading_messages(counter_readings(spark, sf_dir))
