@@ -36,6 +36,7 @@ Columns other than the named ones are ignored.
 
 from __future__ import annotations
 
+import gc
 import json
 import uuid
 from itertools import chain
@@ -60,6 +61,7 @@ BLOCK = 512  # ids of a block
 FILE_IDS = 16_000_000  # a file is closed at the first document's end beyond it
 STEP = 1024 * BLOCK  # ids packed at once
 NO_ID = -(1 << 63)  # stands for a document without an id
+READERS = 10_000  # tasks that read files, at most
 REMEMBERED = 400_000  # chunks of text after which a worker begins a new generation of them
 CALL = 500  # chunks given to the library at once
 
@@ -269,15 +271,16 @@ class Encoder:
         data = [d.lower() if self.lowers and not any(a in d for a in self.added) else d for d in data]
         lists = [d.replace(b"\n", b" ").split(b" ") for d in data]
         young, old = self.young, self.old
+        got = [list(map(young.get, c)) for c in lists]
         new = []
-        for c in set(chain.from_iterable(lists)).difference(young):
-            got = old.get(c)
-            if got is None:
+        for c in set(chain.from_iterable(c for c, g in zip(lists, got) if None in g)).difference(young):
+            ids = old.get(c)
+            if ids is None:
                 new.append(c)
             else:
-                young[c] = got
+                young[c] = ids
         young.update(zip(new, self._chunks(new)))
-        out = [b"".join(map(young.__getitem__, c)) for c in lists]
+        out = [b"".join(map(young.__getitem__, c) if None in g else g) for c, g in zip(lists, got)]
         if len(young) > REMEMBERED:
             self.old, self.young = young, {}
         return out
@@ -339,7 +342,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", te
         for b in batches:
             texts = b.column(1)
             for cut in arrow_slices(texts):
-                for d, x in zip(b.column(0)[cut].to_pylist(), encoder.encode(texts[cut].to_pylist())):
+                gc.disable()  # many small strings, none of them in a cycle
+                found = encoder.encode(texts[cut].to_pylist())
+                gc.enable()
+                for d, x in zip(b.column(0)[cut].to_pylist(), found):
                     names.append(d)
                     data += (x, end)
                     sizes.append(len(x) // 4 + 1)
@@ -387,5 +393,7 @@ def read_tokens(manifest: DataFrame, *, doc_id: str = "doc_id", batch_ids: int =
                 del file
             give_back()
 
-    files = manifest.select("path", "start").repartition("path")
+    # A task reads few files: a number that is given is not lowered for the few bytes of the manifest's rows.
+    files = manifest.select("path", "start")
+    files = files.repartition(min(max(files.count(), 1), READERS))
     return files.mapInArrow(run, "d long, start long, ids binary").withColumnRenamed("d", doc_id)
