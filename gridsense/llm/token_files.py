@@ -21,11 +21,11 @@ rows of tasks that succeed reach the manifest, so a file of a lost executor is
 never read. A file's place in the whole sequence is a prefix sum over ranges,
 then over the files of a range: text and ids are never gathered.
 
-Encoding calls the tokenizers library on the distinct chunks of texts between
-spaces or line breaks and remembers their ids (about twice ``REMEMBERED`` of them),
-where the vocabulary file removes white space between words, so that no token
-depends on what stands beyond it (:func:`chunks_are_apart`); with any other file
-it calls it on whole texts.
+Encoding calls the tokenizers library on the distinct chunks of texts (cut at
+spaces and line breaks, and between letters and the usual marks) and remembers
+their ids by a 64-bit hash of their bytes and length, where the vocabulary file
+removes white space between words and lets no word span such a cut
+(:func:`chunks_are_apart`); with any other file it calls it on whole texts.
 
 Defined results: a null text counts as empty and has the end id alone;
 documents without an id come first (the least 64-bit integer stands for their
@@ -36,8 +36,8 @@ Columns other than the named ones are ignored.
 
 from __future__ import annotations
 
-import gc
 import json
+import re
 import uuid
 from itertools import chain
 
@@ -49,6 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridsense.llm.tables import arrow_slices, give_back, keep
+from gridsense.llm.words import span_hashes
 from gridsense.session import new_work_path
 
 # Ids per word and bits per id of the selectors 2 to 15 of the
@@ -62,9 +63,14 @@ FILE_IDS = 16_000_000  # a file is closed at the first document's end beyond it
 STEP = 1024 * BLOCK  # ids packed at once
 NO_ID = -(1 << 63)  # stands for a document without an id
 READERS = 10_000  # tasks that read files, at most
-REMEMBERED = 400_000  # chunks of text after which a worker begins a new generation of them
+REMEMBERED = 2_000_000  # chunks of text after which a worker begins anew (about 60 bytes each)
+PIECE = 1 << 20  # bytes of text cut into chunks at once
 CALL = 500  # chunks given to the library at once
 
+_CHUNK_KIND = np.full(256, 8, np.uint8)  # of a byte: white space 0, letter or digit 1, usual mark 2, any other 8
+_CHUNK_KIND[[10, 32]] = 0
+_CHUNK_KIND[48:58] = _CHUNK_KIND[65:91] = _CHUNK_KIND[97:123] = 1
+_CHUNK_KIND[list(b".,;:!?")] = 2
 _COUNTS = np.array(COUNTS)
 _POWERS = np.array([1 << k for k in range(64)], np.uint64)
 
@@ -206,9 +212,11 @@ class TokenFile:
 # -- encoding -------------------------------------------------------------------
 
 def chunks_are_apart(vocabulary: str) -> bool:
-    """Whether texts can be cut at spaces and line breaks: normalising looks at
-    single characters or composes letters with marks, white space is removed
-    between words, and no added token holds any."""
+    """Whether texts can be cut at spaces and line breaks, and between an ASCII
+    letter or digit and one of ``.,;:!?``: normalising looks at single characters
+    or composes letters with accents, what the pattern gives as words holds no
+    white space and letters, digits and marks apart, and no added token holds
+    any of these."""
     spec = json.loads(vocabulary)
     norm = spec.get("normalizer") or {"type": "Sequence", "normalizers": []}
     steps = norm["normalizers"] if norm["type"] == "Sequence" else [norm]
@@ -217,18 +225,19 @@ def chunks_are_apart(vocabulary: str) -> bool:
     pre = spec.get("pre_tokenizer") or {}
     parts = pre["pretokenizers"] if pre.get("type") == "Sequence" else [pre]
     split = parts[0]
-    # What matches becomes words, the rest goes; the pattern has no white space outside a class that excludes it.
+    # What matches becomes words, the rest goes: letters, digits or others, or a short form.
+    forms = split.get("pattern", {}).get("Regex", "").split("|")
     drops = split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"] \
-        and r"\s" not in split["pattern"].get("Regex", r"\s").replace(r"[^\s\p{L}\p{N}]", "") \
-        and " " not in split["pattern"].get("Regex", " ")
+        and all(re.fullmatch(r"'[a-z]+|\[?\\p\{[LN]\}\]?\+?|\[\^\\s\\p\{L\}\\p\{N\}\]\+", f) for f in forms)
     rest = all(p["type"] == "ByteLevel" and not p["add_prefix_space"] and not p["use_regex"] for p in parts[1:])
     added = spec.get("added_tokens", [])
-    whole = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or any(c.isspace() for c in t["content"]) for t in added)
+    whole = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"]
+                    or any(c.isspace() or c in ".,;:!?" for c in t["content"]) for t in added)
     return bool(plain and drops and rest and whole and spec.get("post_processor") is None)
 
 
 class Encoder:
-    """Ids of texts by the tokenizers library, as little-endian 32-bit bytes."""
+    """Ids of texts by the tokenizers library."""
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -238,52 +247,80 @@ class Encoder:
         self.apart = chunks_are_apart(vocabulary)
         spec = json.loads(vocabulary)
         self.added = [t["content"].encode() for t in spec.get("added_tokens", [])]
-        self.lowers = '"Lowercase"' in json.dumps(spec.get("normalizer")) and \
-            all(a == a.lower() for a in self.added)
-        # Chunks in two generations: when the young one is full, it becomes the
-        # old one, and of the old one stays what is met again.
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _chunks(self, chunks: list[bytes]) -> list[bytes]:
-        """Ids of each chunk, many in a call: chunks stand apart in a text, and
-        the places of tokens in it tell whose they are."""
-        out = []
+        # A-Z may be lowered beforehand (bytes.lower leaves other bytes alone)
+        # where the file lowers all, but for the names of added tokens.
+        self.lowers = '"Lowercase"' in json.dumps(spec.get("normalizer"))
+        self._forget()
+
+    def _forget(self) -> None:
+        # Chunks by hash, in order; where each one's ids are.
+        self.hashes, self.entry = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.first, self.ids = np.zeros(1, np.int64), np.empty(0, np.uint32)
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Append the ids of chunks, many in a call: they stand apart in a text,
+        and the places of tokens in it tell whose they are."""
+        ids, sizes = [self.ids], []
         for k in range(0, len(chunks), CALL):
-            some = [c.decode() for c in chunks[k:k + CALL]]
+            some = chunks[k:k + CALL]
             found = self.library.encode(" ".join(some), add_special_tokens=False)
-            begin = np.cumsum([len(c) + 1 for c in some[:-1]])
-            ids, place = np.array(found.ids, "<u4").tobytes(), np.array([x for x, _ in found.offsets], np.int64)
-            cut = (4 * np.searchsorted(place, begin, "left")).tolist()
-            out += [ids[x:y] for x, y in zip([0, *cut], [*cut, len(ids)])]
-        return out
-
-    def encode(self, texts) -> list[bytes]:
+            begin = np.cumsum([len(c) + 1 for c in some])
+            place = np.array([x for x, _ in found.offsets], np.int64)
+            sizes.append(np.diff(np.searchsorted(place, begin, "left"), prepend=0))
+            ids.append(np.array(found.ids, np.uint32))
+        self.ids = np.concatenate(ids)
+        self.first = np.append(self.first, self.first[-1] + np.cumsum(np.concatenate(sizes)))
+
+    def _entries(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(first byte, entry) of each chunk of a text that ends with a line break."""
+        buf = np.frombuffer(data, np.uint8)
+        kind = _CHUNK_KIND[buf]
+        # A chunk ends at a space or line break, and where an ASCII letter or
+        # digit and one of the usual marks meet, which words never span.
+        met = kind[1:] + kind[:-1]
+        cut = np.append(True, (met == 3) | (kind[1:] == 0) | (kind[:-1] == 0))
+        starts = np.flatnonzero(cut & (kind > 0))
+        ends = np.append(np.flatnonzero(cut), len(buf))
+        ends = ends[np.searchsorted(ends, starts, "right")]
+        names, one, which = np.unique(span_hashes(buf, starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, names)
+        known = np.append(self.hashes, 0)[at] == names if len(self.hashes) else np.zeros(len(names), bool)
+        known &= at < len(self.hashes)
+        new = np.flatnonzero(~known)
+        if len(new):
+            n = len(self.first) - 1
+            self._learn([data[x:y].decode() for x, y in zip(starts[one[new]].tolist(), ends[one[new]].tolist())])
+            self.hashes = np.insert(self.hashes, at[new], names[new])
+            self.entry = np.insert(self.entry, at[new], np.arange(n, n + len(new)))
+            at = np.searchsorted(self.hashes, names)
+        return starts, self.entry[at][which]
+
+    def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, number of each text's)."""
         if not self.apart:
-            return self._whole([t or "" for t in texts])
-        # A-Z may be lowered here (bytes.lower leaves other bytes alone) where
-        # the file lowers all, except in the names of added tokens.
+            lists = [e.ids for e in self.library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+            return np.fromiter(chain.from_iterable(lists), np.uint32), np.array(list(map(len, lists)), np.int64)
+        if len(self.first) > REMEMBERED:
+            self._forget()
         data = [(t or "").encode() for t in texts]
-        data = [d.lower() if self.lowers and not any(a in d for a in self.added) else d for d in data]
-        lists = [d.replace(b"\n", b" ").split(b" ") for d in data]
-        young, old = self.young, self.old
-        got = [list(map(young.get, c)) for c in lists]
-        new = []
-        for c in set(chain.from_iterable(c for c, g in zip(lists, got) if None in g)).difference(young):
-            ids = old.get(c)
-            if ids is None:
-                new.append(c)
-            else:
-                young[c] = ids
-        young.update(zip(new, self._chunks(new)))
-        out = [b"".join(map(young.__getitem__, c) if None in g else g) for c, g in zip(lists, got)]
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
-        return out
+        if self.lowers:
+            data = [d if any(a in d for a in self.added) else d.lower() for d in data]
+        ends = np.cumsum([len(d) + 1 for d in data])
+        data = b"\n".join(data) + b"\n"
+        place, entry, at = [], [], 0
+        while at < len(data):  # pieces of about PIECE bytes, cut at white space
+            cut = [c for c in (data.find(x, at + PIECE) for x in (b"\n", b" ")) if c >= 0]
+            to = min(cut, default=len(data) - 1) + 1
+            starts, found = self._entries(data[at:to - 1] + b"\n")
+            place.append(starts + at)
+            entry.append(found)
+            at = to
+        place, entry = np.concatenate(place), np.concatenate(entry)
+        size = self.first[entry + 1] - self.first[entry]
+        total = np.append(0, np.cumsum(size))
+        upto = total[np.searchsorted(place, ends)]
+        ids = self.ids[np.repeat(self.first[entry] - total[:-1], size) + np.arange(total[-1])]
+        return ids, np.diff(upto, prepend=0)
 
 
 _encoders: dict[int, Encoder] = {}
@@ -323,7 +360,6 @@ def write_tokens(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", te
         part, encoder = TaskContext.get().partitionId(), encoder_of(vocabulary)
         system, where = _place(folder)
         system.create_dir(where, recursive=True)
-        end = np.uint32(end_id).tobytes()
         names: list = []
         sizes: list = []
         data: list = []
@@ -332,24 +368,28 @@ def write_tokens(docs: DataFrame, vocabulary: str, *, doc_id: str = "doc_id", te
         def close():
             nonlocal names, sizes, data, held
             if names:
-                ids = np.array([NO_ID if x is None else x for x in names], np.int64)
+                ids = np.concatenate(names)
                 name = f"{part:06d}-{len(done):06d}-{uuid.uuid4().hex}.s8b"
                 with system.open_output_stream(f"{where}/{name}") as f:
-                    f.write(to_bytes(ids, np.array(sizes, np.int64), np.frombuffer(b"".join(data), "<u4")))
-                done.append((part, len(done), f"{folder}/{name}", held, len(names)))
+                    f.write(to_bytes(ids, np.concatenate(sizes), np.concatenate(data)))
+                done.append((part, len(done), f"{folder}/{name}", held, len(ids)))
             names, sizes, data, held = [], [], [], 0
 
         for b in batches:
             texts = b.column(1)
             for cut in arrow_slices(texts):
-                gc.disable()  # many small strings, none of them in a cycle
-                found = encoder.encode(texts[cut].to_pylist())
-                gc.enable()
-                for d, x in zip(b.column(0)[cut].to_pylist(), found):
-                    names.append(d)
-                    data += (x, end)
-                    sizes.append(len(x) // 4 + 1)
-                    held += sizes[-1]
+                ids, size = encoder.encode(texts[cut].to_pylist())
+                own = b.column(0)[cut].fill_null(NO_ID).to_numpy()
+                ids = np.insert(ids, np.cumsum(size), end_id)  # the end of each document
+                size = size + 1
+                upto, at = np.cumsum(size), 0
+                while at < len(own):
+                    before = int(upto[at - 1]) if at else 0
+                    to = min(int(np.searchsorted(upto, before + file_ids - held)) + 1, len(own))
+                    names.append(own[at:to])
+                    sizes.append(size[at:to])
+                    data.append(ids[before:upto[to - 1]].copy())
+                    held, at = held + int(upto[to - 1]) - before, to
                     if held >= file_ids:
                         close()
             del b, texts

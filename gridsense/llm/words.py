@@ -50,6 +50,15 @@ def _power_tables(n: int):
     return _powers
 
 
+def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes, as they are, of each span of a buffer."""
+    up, down = _power_tables(len(buf) + 1)
+    total = np.empty(len(buf) + 1, np.uint64)
+    total[0] = 0
+    np.cumsum(_CODES[buf] * up[: len(buf)], out=total[1:])
+    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
 def _hash_buffer(buf: np.ndarray, in_word: np.ndarray):
     """(hash, start) of each word of a buffer whose last byte is no word byte."""
     w = in_word[buf].view(np.int8)

@@ -134,8 +134,14 @@ def _odd_texts(seed, n):
             for _ in range(n)]
 
 
+def _lists(encoder, texts):
+    ids, size = encoder.encode(texts)
+    return [x.tolist() for x in np.split(ids, np.cumsum(size)[:-1])]
+
+
 def test_chunks_encode_as_whole_texts(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 500)
+    monkeypatch.setattr(token_files, "PIECE", 700)
     vocabulary = bpe.read_vocabulary(queries.WORD_VOCABULARY)
     assert token_files.chunks_are_apart(vocabulary)
     assert not token_files.chunks_are_apart(bpe.read_vocabulary(queries.VOCABULARY))
@@ -143,11 +149,12 @@ def test_chunks_encode_as_whole_texts(monkeypatch):
     for seed in range(5):
         texts = _odd_texts(seed, 800)
         want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
-        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+        assert _lists(encoder, texts) == want
+    assert _lists(encoder, [None, "", " a"])[:2] == [[], []]
     whole = token_files.Encoder(bpe.read_vocabulary(queries.VOCABULARY))
     texts = _odd_texts(9, 200)
     want = [e.ids for e in _library(queries.VOCABULARY).encode_batch(texts, add_special_tokens=False)]
-    assert [np.frombuffer(x, "<u4").tolist() for x in whole.encode(texts)] == want
+    assert _lists(whole, texts) == want
 
 
 def test_token_files_round_trip(spark, workdir):
