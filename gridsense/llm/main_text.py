@@ -1,26 +1,32 @@
 """HTML extraction by a tree-structured graphical model.
 
 The nodes of a page's DOM (elements and texts) are binary variables, content
-or not. Every parent and child share a potential (how likely a child is
-content, given its parent), every node has a potential from its features (tag,
-words of class, id and role; for texts size, punctuation and links). One pass
-up the tree and one down (sum-product) give each text's exact marginal; texts
+or not. Every child has a potential with its parent: how likely it is content,
+given whether its parent is, by its tag. Nodes also have potentials of their own,
+from words of class, id and role, and for texts from size, punctuation and links.
+One pass up the tree and one down (sum-product) give each text's marginal; texts
 whose marginal is over a half make up the main text, in page order.
 
 Training counts labelled pages: those with an ``article`` or ``main`` element,
-whose subtree is labelled content except for tags of ``NOT_CONTENT`` and
-elements named as in ``FURNITURE`` or ``DOUBTFUL``.
-At most ``MAX_PAGES`` of them are used (those of the smallest hash of their
-key; a documented bound). A feature's log ratio is limited to ``CAP`` (a text's to
-``TEXT_CAP``), so that no single feature outweighs the parent. The tags of
-``NOT_CONTENT`` and ``MAIN`` are taken as observed, as labelled pages show few of
-them. Names of class, id and role have finite ratios, which the parent and the
-texts can outweigh: ``LIKELY`` for words of ``CONTENT``; for names made up of
-words of ``DOUBTFUL`` as much against it, of ``FURNITURE`` ``UNLIKELY`` (a few
-paragraphs of a reader's comment read like the article's); where such a word is
-part of a longer name ("related-work", "with-sidebar"), ``CAP`` against it unless
-training counts otherwise. A heading's names tell its subject, not its role, and
-have trained ratios only.
+whose subtree is labelled content but for what names itself something else. At
+most ``MAX_PAGES`` of them are used (those of the smallest hash of their key; a
+documented bound). The counts of a tag on such pages tell how often it begins
+content there: nearly always for ``article``. A box beside an article begins none
+unless counts say so, however long its text. Pages without such an element are
+judged by what their boxes hold. Counts are taken given the parent's label, so what menus
+are made of (lists, links, short texts) speaks against a list that stands by itself
+and not against one inside content: there a child is content unless it is
+named otherwise, whatever its text, and a text is always what its element is.
+
+What the task excludes by name is a kind of its own (``OUT`` by tag and
+``FURNITURE`` by name: never content; ``DOUBTFUL`` names: only inside content, with
+much running text). Such elements say nothing about their parent. A ``header``
+inside an article is the article's. An article inside furniture (a reader's
+comment) begins no content. A word of these lists that is part of a longer name
+("related-work", "with-sidebar") counts ``CAP`` against it unless training counts
+otherwise; a heading's names tell its subject, not its role. Ratios of a feature
+are limited to ``CAP`` (a text's to ``TEXT_CAP``), and what all texts below an
+element say together to ``BELOW``.
 
 Blocks: block elements part texts, inline elements do not, ``br`` is white
 space. Character references are decoded; white space becomes one space; blocks
@@ -29,7 +35,8 @@ are joined by one space. Whole pages are read.
 Defined results: a null, empty or blank page, or one without content, gives an
 empty text; malformed markup is read leniently (open elements end with their
 parent, a lone ``<`` is text, an unfinished comment, script or style runs to the
-end); without labelled pages the fixed words and default potentials decide.
+end); without labelled pages the fixed words and default potentials decide, and
+texts say nothing.
 Repeated rows are read once per row. Other columns than the named are ignored.
 """
 
@@ -47,10 +54,15 @@ from pyspark.sql import functions as F
 from gridsense.llm.tables import map_rows
 
 MAX_PAGES = 2000
-CAP, TEXT_CAP, LIKELY, UNLIKELY, KNOWN = 2.5, 1.0, 6.0, 20.0, 1000.0
-# By the child's kind, the least chance that it differs from its parent: that
-# content stands in what is none, and that something else stands in content.
-FLOOR = {"box": (0.02, 0.02), "element": (1e-9, 0.02), "text": (1e-9, 0.0005)}
+CAP, TEXT_CAP, LIKELY = 2.5, 1.0, 6.0
+BELOW = (-5.0, 20.0)  # log odds that all below an element may add to its own
+# Chance to be content in what is not and in content, by the child's kind, where
+# nothing is counted; and the bounds of what counts may make of it.
+START = {"main": (0.9, 1 - 1e-9), "box": (0.02, 1 - 1e-9), "element": (1e-9, 1 - 1e-9),
+         "beside": (1e-12, 1 - 1e-9),  # boxes and other elements of a page that has an article or main
+         "text": (1e-9, 1 - 5e-4),
+         "doubtful": (1e-12, 1e-4), "furniture": (1e-12, 1e-9)}
+LEAST, MOST = 1e-12, 1 - 1e-9
 
 # Element kinds of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -64,10 +76,10 @@ SAME_LEVEL = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"})
               "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
               "option": ({"option"}, {"select"})}
 # Tags, and words of class, id or role, that tell content from the rest.
-NOT_CONTENT = frozenset("""nav aside footer header form script style noscript template iframe button select
+OUT = frozenset("""nav aside footer header form script style noscript template iframe button select
     input textarea title head menu dialog svg canvas object""".split())
-FURNITURE = frozenset("""ad ads advert adverts advertisement sidebar comment comments reply replies disqus
-    complementary""".split())
+FURNITURE = frozenset("""ad ads advert adverts advertisement sidebar comment comments reply replies response
+    responses disqus complementary""".split())
 DOUBTFUL = frozenset("""nav aside footer menu dialog sponsored promo cookie cookies consent notice notices banner alert
     popup modal breadcrumb breadcrumbs navigation navbar topbar related recommended share sharing social newsletter
     subscribe login signup search pagination toolbar widget copyright contentinfo""".split())
@@ -154,6 +166,36 @@ class Page:
             elif tag not in VOID and not m["attrs"].endswith("/"):
                 stack.append(node)
 
+        self._place()
+
+    def _place(self) -> None:
+        """Names of elements, their kinds, and what each node is counted as."""
+        self.named = [[f for w in ws for f in _named(w, t)] for ws, t in zip(self.words, self.tag)]
+        self.kind, self.key = [], []
+        within, out = [], []  # an article or main, furniture is around the node or it
+        for k, tag in enumerate(self.tag):
+            p = self.parent[k]
+            around, aside = (within[p], out[p]) if p >= 0 else (False, False)
+            names = {f[4:] for f in self.named[k] if f.startswith("not:")}
+            if tag == "#text":
+                kind = "text"
+            elif names & FURNITURE or tag == "#raw" or tag in OUT and not (tag == "header" and around):
+                kind = "furniture"
+            elif names:
+                kind = "doubtful"
+            elif tag in MAIN:
+                kind = "element" if aside else "main"
+            else:
+                kind = "box" if tag in BOX else "element"
+            self.kind.append(kind)
+            within.append(around or kind == "main")
+            out.append(aside or kind == "furniture" and tag not in ("form", "header"))
+        mark = "@" if "main" in self.kind else ""
+        if mark:
+            self.kind = ["beside" if kind in ("box", "element") else kind for kind in self.kind]
+        for tag, kind in zip(self.tag, self.kind):
+            self.key.append(tag if kind == "text" else f"{tag}{mark}{'!' if tag in MAIN and kind != 'main' else ''}")
+
     def features(self) -> list[list[str]]:
         """Names of the features of each node."""
         out = []
@@ -168,21 +210,17 @@ class Page:
                 out.append([f"size:{min(n.bit_length(), 6)}", f"marks:{min(4, 8 * ends // max(n, 1))}",
                             f"linked:{linked[k]}"] if n else [])
             else:
-                named = [f for w in self.words[k] for f in _named(w, tag)]
-                # An article of such a name (a reader's comment) is not observed.
-                out.append([f"{'named' if tag in MAIN and _barred(named) else 'tag'}:{tag}", *named])
+                out.append([f for f in self.named[k] if not f.startswith("not:")])
         return out
 
     def labels(self) -> list[bool] | None:
         """Labels by the page's own structure; None without such structure."""
-        if MAIN.isdisjoint(self.tag):
+        if "main" not in self.kind:
             return None
         out = []
-        for k, tag in enumerate(self.tag):
+        for k, kind in enumerate(self.kind):
             p = self.parent[k]
-            inside = p >= 0 and out[p]
-            barred = tag in NOT_CONTENT or _barred(f for w in self.words[k] for f in _named(w, tag))
-            out.append((inside or tag in MAIN) and not barred and tag != "#raw")
+            out.append((p >= 0 and out[p] or kind == "main") and kind not in ("furniture", "doubtful"))
         return out
 
 
@@ -201,60 +239,57 @@ def _named(name: str, tag: str) -> list[str]:
     return [f"{'part' if against else 'word'}:{w}" for w in parts]
 
 
-def _barred(features) -> bool:
-    return any(f.startswith("not:") for f in features)
-
-
-def _kind(tag: str) -> str:
-    return "box" if tag in BOX else "text" if tag[0] == "#" else "element"
-
-
 class Model:
-    """Potentials: of features, and of parent and child by the child's kind."""
+    """Potentials: of features, and of parent and child by the child's tag."""
 
     def __init__(self, counts: dict[str, tuple[int, int]]):
-        """``counts``: by feature, or ``pair:kind:parent``, how often the node
+        """``counts``: by feature, or ``pair:key:parent``, how often the node
         is not content, and how often it is."""
         total = [sum(c[y] for f, c in counts.items() if not f.startswith("pair:")) + 1 for y in (0, 1)]
-        self.ratio = {}
+        self.ratio = {f"part:{w}": -CAP for w in FURNITURE | DOUBTFUL} | {f"word:{w}": LIKELY for w in CONTENT}
+        self.counts = {}
         for f, (no, yes) in counts.items():
-            r = math.log((yes + 1) / total[1]) - math.log((no + 1) / total[0])
-            cap = TEXT_CAP if f.startswith(("size:", "marks:", "linked:")) else CAP
-            self.ratio[f] = max(-cap, min(cap, r))
-        self.ratio = {f"part:{w}": -CAP for w in FURNITURE | DOUBTFUL} | self.ratio
-        for kind, names, r in (("tag", NOT_CONTENT, -KNOWN), ("not", FURNITURE, -UNLIKELY), ("not", DOUBTFUL, -LIKELY),
-                               ("word", CONTENT, LIKELY)):
-            self.ratio |= {f"{kind}:{w}": r for w in names}
-        self.ratio |= {f"tag:{t}": KNOWN / 2 for t in MAIN} | {"tag:#raw": -KNOWN}
-        self.pair = {}
-        for kind, (rise, fall) in FLOOR.items():
-            chance = []  # that the child is content, by its parent
-            for parent, usual in ((0, rise), (1, 1 - fall)):
-                no, yes = counts.get(f"pair:{kind}:{parent}", (0, 0))
-                chance.append(max(rise, min(1 - fall, yes / (no + yes) if no + yes else usual)))
-            self.pair[kind] = tuple(chance)
+            if f.startswith("pair:"):
+                self.counts.setdefault(f[5:-2], [(0, 0), (0, 0)])[int(f[-1])] = (no, yes)
+            elif f not in self.ratio or f.startswith("part:"):
+                r = math.log((yes + 1) / total[1]) - math.log((no + 1) / total[0])
+                cap = TEXT_CAP if f.startswith(("size:", "marks:", "linked:")) else CAP
+                self.ratio[f] = max(-cap, min(cap, r))
+        self.known: dict[tuple[str, str], tuple[float, float]] = {}
+
+    def _chances(self, key: str, kind: str) -> tuple[float, float]:
+        """Of a child: its chance to be content, by its parent's label."""
+        usual = START[kind]
+        if kind in ("furniture", "doubtful") or key not in self.counts:
+            return usual
+        return tuple(max(LEAST, min(MOST, (yes + u) / (no + yes + 1))) for (no, yes), u in zip(self.counts[key], usual))
 
     def pairs(self, page: Page) -> list[tuple[float, float]]:
-        return [self.pair[_kind(t)] for t in page.tag]
+        out = []
+        for k in zip(page.key, page.kind):
+            if k not in self.known:
+                self.known[k] = self._chances(*k)
+            out.append(self.known[k])
+        return out
 
     def marginals(self, page: Page) -> list[float]:
         """Log odds that each node is content."""
         exp, log, get = math.exp, math.log, self.ratio.get
-        parent = page.parent
-        up = [sum(get(f, 0.0) for f in fs) for fs in page.features()]
+        parent, (least, most) = page.parent, BELOW
+        own = [sum(get(f, 0.0) for f in fs) for fs in page.features()]
         kinds = self.pairs(page)
-        sent = [0.0] * len(up)
-        for k in range(len(up) - 1, 0, -1):  # messages to the parents
-            up[k] = max(-30.0, min(30.0, up[k]))
+        belief, sent = [0.0] * len(own), [0.0] * len(own)
+        for k in range(len(own) - 1, 0, -1):  # messages to the parents
+            belief[k] = own[k] + max(least, min(most, belief[k]))
             c0, c1 = kinds[k]
-            e = exp(up[k])
+            e = exp(belief[k])
             sent[k] = log((c1 * e + 1 - c1) / (c0 * e + 1 - c0))
-            up[parent[k]] += sent[k]
-        belief = up
-        belief[0] -= LIKELY  # a whole page is hardly all content
-        for k in range(1, len(up)):  # messages to the children
+            belief[parent[k]] += sent[k]
+        # A whole page is hardly all content, and not where it has an article.
+        belief[0] = own[0] + max(least, min(most, belief[0])) - (2 * most if "main" in page.kind else LIKELY)
+        for k in range(1, len(own)):  # messages to the children
             c0, c1 = kinds[k]
-            e = exp(max(-30.0, min(30.0, belief[parent[k]] - sent[k])))
+            e = exp(max(-60.0, min(60.0, belief[parent[k]] - sent[k])))
             belief[k] += log((c1 * e + c0) / ((1 - c1) * e + 1 - c0))
         return belief
 
@@ -272,6 +307,22 @@ class Model:
         return " ".join("".join(parts).split())
 
 
+def count(htmls) -> Counter:
+    """(feature or ``pair:key:parent``, label): how often, on labelled pages."""
+    n: Counter = Counter()
+    for h in htmls:
+        page = Page(h or "")
+        labels = page.labels()
+        if labels is None:
+            continue
+        for k, fs in enumerate(page.features()):
+            y = int(labels[k])
+            n.update((f, y) for f in fs)
+            if k and page.kind[k] not in ("furniture", "doubtful"):
+                n[f"pair:{page.key[k]}:{int(labels[page.parent[k]])}", y] += 1
+    return n
+
+
 def train(pages: DataFrame, *, html: str = "html", key: str = "page_id", max_pages: int = MAX_PAGES) -> Model:
     chosen = pages.where(F.col(key).isNotNull() & F.col(html).rlike("(?i)<(article|main)[ >]")) \
         .select(F.col(key).alias("k")).distinct().orderBy(F.xxhash64("k"), "k").limit(max_pages)
@@ -280,18 +331,7 @@ def train(pages: DataFrame, *, html: str = "html", key: str = "page_id", max_pag
 
     def run(batches):
         for b in batches:
-            n: Counter = Counter()
-            for h in b["h"]:
-                page = Page(h or "")
-                labels = page.labels()
-                if labels is None:
-                    continue
-                for k, fs in enumerate(page.features()):
-                    y = labels[k]
-                    n.update((f, y) for f in fs)
-                    if k:
-                        n[f"pair:{_kind(page.tag[k])}:{int(labels[page.parent[k]])}", y] += 1
-            yield pd.DataFrame([(f, int(y), c) for (f, y), c in n.items()], columns=["f", "y", "n"])
+            yield pd.DataFrame([(f, y, c) for (f, y), c in count(b["h"]).items()], columns=["f", "y", "n"])
 
     counts: dict[str, list[int]] = {}
     for r in rows.select("h").mapInPandas(run, "f string, y int, n long").groupBy("f", "y").agg(F.sum("n").alias("n")).collect():
