@@ -13,8 +13,9 @@ Rarity is counted over all documents in a first pass: each task counts the
 benchmark's words in its documents and emits one count per word. The second
 pass joins; documents are never shuffled. The benchmark is sent to all tasks in
 blocks of at most ``block_words`` words, a size that is checked by counting;
-a larger benchmark takes several passes, whose hit ranges are united per
-document afterwards.
+of a larger benchmark each block takes a pass of its own, which is built, used
+and written (documents with hits only) before the next, and the hits are united
+per document. Candidates are compared ``CANDIDATES`` at a time.
 
 Words are compared by 64-bit hash, all words of a window at once.
 
@@ -31,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridsense.llm.tables import arrow_slices, give_back, map_rows, whole_rows
+from gridsense.llm.tables import arrow_slices, give_back, keep, map_rows, whole_rows
 from gridsense.llm.words import LETTERS_DIGITS, combine, word_hashes
 
 WIDTH = 10
 BLOCK_WORDS = 4_000_000
+CANDIDATES = 1 << 18  # (place, window) pairs compared at once
 
 
 class Windows:
@@ -74,9 +76,20 @@ class Windows:
         """Occurrences (first word, window) in the texts ``flat`` / ``off``."""
         lo, hi = np.searchsorted(self.keys, flat, "left"), np.searchsorted(self.keys, flat, "right")
         pos = np.flatnonzero(hi > lo)
-        n = (hi - lo)[pos]
+        lo, n = lo[pos], (hi - lo)[pos]
+        ends, found, at = np.cumsum(n), [], 0
+        while at < len(pos):  # some places with their candidates
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + CANDIDATES, "right")))
+            found.append(self._compare(pos[at:to], lo[at:to], n[at:to], flat, off))
+            at = to
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def _compare(self, pos, lo, n, flat, off):
         place = np.repeat(pos, n)
-        which = self.window[np.repeat(lo[pos], n) + np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)]
+        which = self.window[np.repeat(lo, n) + np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)]
         first = place - self.at[which]
         doc = np.searchsorted(off, place, "right") - 1
         fits = (first >= off[doc]) & (first + self.size[which] <= off[doc + 1])
@@ -140,7 +153,7 @@ def _ranges(docs: DataFrame, text: str, carry: list[str], windows: Windows) -> D
             return np.diff(off), ranges, items
         return run
 
-    return map_rows(docs, [text if "." in text else F.col(text)], carry, make,
+    return map_rows(docs, [text if text.split(".")[0] in carry and "." in text else F.col(text)], carry, make,
                     {"n_words": "long", "ranges": "array<long>", "items": "array<long>"})
 
 
@@ -163,40 +176,45 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     total = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-total // block_words))
     block = F.pmod(F.xxhash64("item"), F.lit(n_blocks))
-    passes = []
-    for k in range(n_blocks):
+
+    def windows(k: int) -> Windows:
         own = [(r["item"], np.array(r["words"], np.int64).view(np.uint64))
                for r in items.where(block == k).collect()]  # about block_words words
         own.sort(key=lambda x: x[0])
         words = np.unique(np.concatenate([w for _, w in own])) if own else np.empty(0, np.uint64)
-        counts = _word_counts(docs, text, words) if own else {}
-        passes.append(Windows(own, counts, width))
+        return Windows(own, _word_counts(docs, text, words) if own else {}, width)
+
     if n_blocks == 1:
-        found = _ranges(docs, text, carry, passes[0])
+        found = _ranges(docs, text, carry, windows(0))
     else:
-        # One row per document and pass; a row number tells repeated rows apart.
-        row = docs.withColumn("__row", F.monotonically_increasing_id())
-        found = None
-        for w in passes:
-            part = _ranges(row, text, [*carry, "__row"], w)
-            found = part if found is None else found.unionByName(part)
-        found = found.groupBy("__row").agg(
-            *[F.first(c).alias(c) for c in carry], F.max("n_words").alias("n_words"),
-            F.flatten(F.collect_list("ranges")).alias("ranges"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")).drop("__row")
+        # A row number tells repeated rows apart; the last block's pass carries the rows.
+        number = "_".join(["", "row", *docs.columns])  # no other column's name
+        rows = docs.withColumn(number, F.monotonically_increasing_id())
+        more = None
+        for k in range(1, n_blocks):
+            part = _ranges(rows, text, [number], windows(k)).where(F.size("ranges") > 0)
+            part = keep(part.select(F.col(number).alias("__n"), F.col("ranges").alias("__r"), F.col("items").alias("__i")), "hits")
+            more = part if more is None else more.unionByName(part)
+        more = more.groupBy("__n").agg(F.flatten(F.collect_list("__r")).alias("__r"),
+                                       F.flatten(F.collect_list("__i")).alias("__i"))  # at most a row per block
+        found = _ranges(rows, text, [*carry, number], windows(0)).join(more, F.col(number) == F.col("__n"), "left")
+        none = F.array().cast("array<long>")
+        found = found.select(*carry, "n_words",
+                             F.concat("ranges", F.coalesce("__r", none)).alias("__r"),
+                             F.array_sort(F.array_distinct(F.concat("items", F.coalesce("__i", none)))).alias("items"))
 
         def make():
             return lambda _, ranges: ([_union(np.reshape(r, (-1, 2))).ravel() if r else [] for r in ranges],)
 
-        found = map_rows(found.withColumnRenamed("ranges", "__r"), [F.lit(""), F.col("__r")],
-                         [*carry, "n_words", "items"], make, {"ranges": "array<long>"})
+        found = map_rows(found, [F.lit(""), F.col("__r")], [*carry, "n_words", "items"], make, {"ranges": "array<long>"})
     hits = F.aggregate("ranges", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).cast("long").alias("sign")),
                        lambda a, x: F.struct((a["n"] + a["sign"] * x).alias("n"), (-a["sign"]).alias("sign")),
                        lambda a: a["n"])
     return found.withColumn("n_hit", hits)
 
 
-def without_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text holds no window of the benchmark."""
-    found = decontaminate(whole_rows(docs), benchmark, text=f"__row.{text}", carry=["__row"])
+def without_hits(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` whose text holds no window of the benchmark;
+    ``options`` as those of :func:`decontaminate`."""
+    found = decontaminate(whole_rows(docs), benchmark, text=f"__row.{text}", carry=["__row"], **options)
     return found.where(F.col("n_hit") == 0).select("__row.*")
