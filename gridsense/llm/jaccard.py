@@ -52,6 +52,7 @@ WIDTH, PERCENT = 5, 80
 FREQUENT = 1000  # a shingle in one of so many documents is frequent (64 documents at least)
 BATCH = 1 << 19  # shingles of the documents that a task handles at once
 BUCKET = 1 << 19  # shingles of a bucket, about
+SETS = 1 << 15  # texts taken at once; a set's place in a batch fits 16 bits
 CHUNK = 1024  # sets of a trie
 CHUNK_TOKENS = 1 << 20
 SPOKEN = 24  # sets of a component that are tried against other chunks' first
@@ -89,15 +90,17 @@ def _digest(sets: list[np.ndarray]):
 
 
 def _batches(texts: pa.Array, width: int):
-    """Runs of consecutive texts with their sets, ``BATCH`` shingles or so."""
+    """Runs of consecutive texts with their sets, ``BATCH`` shingles or so and
+    less than twice ``SETS`` sets, whatever the size of Arrow's batches."""
     first, sets, room = 0, [], BATCH
     for part in arrow_slices(texts):
-        got = shingle_sets(texts[part].to_pylist(), width)
-        sets += got
-        room -= sum(map(len, got))
-        if room <= 0 or len(sets) >= 50_000:
-            yield first, sets
-            first, sets, room = first + len(sets), [], BATCH
+        for at in range(part.start, part.stop, SETS):
+            got = shingle_sets(texts[at:min(at + SETS, part.stop)].to_pylist(), width)
+            sets += got
+            room -= sum(map(len, got))
+            if room <= 0 or len(sets) >= SETS:
+                yield first, sets
+                first, sets, room = first + len(sets), [], BATCH
     if sets:
         yield first, sets
 
