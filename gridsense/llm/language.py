@@ -10,10 +10,12 @@ byte of the labelled text, and one class for a run of anything else). Texts are
 of a batch in step, one table look-up per byte and language; a phrase never
 spans two segments. Whole texts are parsed.
 
-Labelled text: at most ``MAX_BYTES`` per language and ``TOTAL_BYTES`` in all,
-taken from a sample of about ``SAMPLE_DOCS`` documents per language (hash of
-the id), no more than a sixteenth of the bound from one document; these bounds keep the tables (about 0.5 kB per labelled byte) small
-whatever the corpus holds.
+Labelled text: at most ``MAX_BYTES`` per language and ``TOTAL_BYTES`` in all, of
+the ``MAX_LANGUAGES`` languages with most labelled documents, taken from a sample
+of about ``SAMPLE_DOCS`` documents per language (hash of the id), copies once, of
+each a window of a sixteenth of the bound at a hashed place. These bounds are
+parameters; they keep the tables (about 0.5 kB per labelled byte) small whatever
+the corpus holds.
 
 Defined results: ``und`` with score 0 for a null text, a text without a
 letter (Unicode categories L*), or when nothing was labelled; a tie goes to
@@ -33,6 +35,7 @@ from gridsense.llm.words import LOWER
 UND = "und"
 MAX_BYTES = 24_000
 TOTAL_BYTES = 128_000
+MAX_LANGUAGES = 128
 SAMPLE_DOCS = 150
 SEGMENT = 512
 CHUNK = 2 << 20  # bytes parsed at once
@@ -169,13 +172,14 @@ def has_letter(text: str) -> bool:
 
 
 def labelled_text(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id",
-                  max_bytes: int = MAX_BYTES, total_bytes: int = TOTAL_BYTES) -> dict[str, bytes]:
-    """At most ``max_bytes`` of text per language, from a sample of the
-    labelled documents ``docs``."""
+                  max_bytes: int = MAX_BYTES, total_bytes: int = TOTAL_BYTES,
+                  max_languages: int = MAX_LANGUAGES) -> dict[str, bytes]:
+    """At most ``max_bytes`` of text of each of ``max_languages`` languages, from
+    a sample of the labelled documents ``docs``."""
     d = docs.where(F.col(lang).isNotNull() & F.col(key).isNotNull() & (F.col(lang) != UND)
                    & (F.length(F.trim(F.coalesce(text, F.lit("")))) > 0))
     counts = {r[0]: r[1] for r in d.groupBy(lang).count().orderBy(F.desc("count"), lang)
-              .limit(max(1, total_bytes // 1000)).collect()}
+              .limit(max_languages).collect()}
     if not counts:
         return {}
     room = min(max_bytes, total_bytes // len(counts))
@@ -185,8 +189,11 @@ def labelled_text(docs: DataFrame, *, text: str = "text", lang: str = "lang", ke
     for name, n in counts.items():
         share = F.when(F.col(lang) == F.lit(name), F.lit(min(1.0, SAMPLE_DOCS / n))).otherwise(share)
     hashed = F.pmod(F.xxhash64(key), F.lit(1 << 20)) / float(1 << 20)
-    rows = d.where(hashed < share).select(F.col(lang).alias("l"), F.xxhash64(key).alias("h"),
-                                          F.substring(text, 1, max(room // 16, 1)).alias("t")) \
+    size = max(room // 16, 1)
+    place = F.pmod(F.xxhash64(key), F.greatest(F.length(text) - size + 1, F.lit(1)).cast("long"))
+    rows = d.where(hashed < share).withColumn("__t", F.xxhash64(text)).dropDuplicates([lang, "__t"]) \
+        .select(F.col(lang).alias("l"), F.xxhash64(key).alias("h"),
+                F.substring(F.col(text), place.cast("int") + 1, F.lit(size)).alias("t")) \
         .orderBy("h", "t").limit(8 * SAMPLE_DOCS * len(counts)).collect()
     out: dict[str, bytes] = {}
     for r in rows:
