@@ -16,11 +16,17 @@ from gridsense.llm.queries import VOCABULARY
 from gridsense.llm.tables import held_out, keep, table, whole_rows
 
 
+LANGUAGES: list[str] | None = None  # to keep
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or no letter in the text) go."""
+    """Documents in one of ``LANGUAGES`` stay (None: any that the labelled
+    documents name); those of another or of none go. What stays has the language
+    found as its ``lang``, whatever it was labelled."""
     labelled = language.labelled_text(docs.where(~held_out()))
     found = language.identify(whole_rows(docs), labelled, text="__row.text", carry=["__row"])
-    return found.where(F.col("lang_pred") != language.UND).select("__row.*")
+    kept = found.where(F.col("lang_pred") != language.UND if LANGUAGES is None else F.col("lang_pred").isin(LANGUAGES))
+    return kept.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,10 +10,11 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from gridsense.llm import bpe, chat, jaccard, main_text, nearest
+from gridsense.llm import bpe, chat, jaccard, language, main_text, nearest
 from gridsense.llm import components as components_of
 from gridsense.llm.components import components
 from gridsense.llm.queries import ORACLE, QUERIES, VOCABULARY
+from gridsense.llm.tables import held_out
 from tests.conftest import SF0001
 from tests.llm import brute
 from tests.oracle_compare import compare
@@ -139,9 +140,9 @@ def test_marginals_are_exact_on_a_small_tree():
     """Sum-product against summing over all labellings."""
     import itertools
     import math
-    model = main_text.Model({"tag:p": (3, 9), "tag:div": (7, 5), "pair:element:0": (40, 10), "pair:element:1": (5, 45),
-                             "pair:text:1": (1, 30), "size:1": (8, 4)})
-    page = main_text.Page("<div><p>a</p><p>b<b>c</b></p></div>")
+    model = main_text.Model({"word:x": (3, 9), "part:y": (7, 5), "pair:p:0": (40, 10), "pair:p:1": (5, 45),
+                             "pair:div:0": (9, 2), "pair:#text:1": (1, 30), "size:1": (8, 4)})
+    page = main_text.Page('<div class="x"><p>a</p><p class="ad-y">b<b>c</b></p></div>')
     weight = [sum(model.ratio.get(f, 0.0) for f in fs) for fs in page.features()]
     weight[0] -= main_text.LIKELY
     total, yes = 0.0, [0.0] * len(weight)
@@ -157,6 +158,48 @@ def test_marginals_are_exact_on_a_small_tree():
     assert got == pytest.approx([v / total for v in yes], rel=1e-9)
 
 
+PARA = "<p>We describe the method, which is known; it works well in practice, as all have seen.</p>"
+NAV = '<nav><ul><li><a href="/x">Home</a></li><li><a href="/y">More</a></li></ul></nav>'
+LINKS = "<ul>" + "".join(f'<li><a href="/{i}">Item {i}</a></li>' for i in range(40)) + "</ul>"
+
+
+def test_an_article_keeps_all_that_is_not_named_otherwise(spark):
+    """Lists, links, headers inside it; what stands beside it stays out."""
+    words = PARA[3:-4]
+
+    def page(inner, after=""):
+        return f"<html><body>{NAV}<article><h1>T</h1>{PARA}{inner}</article>{after}<footer>foot</footer></body></html>"
+
+    cases = [(page("<ul><li>flour</li><li>two eggs</li></ul>"), f"T {words} flour two eggs"),
+             (page(LINKS), f"T {words} " + " ".join(f"Item {i}" for i in range(40))),
+             (page('<p><a href="/d">Download</a></p>'), f"T {words} Download"),
+             (page("<table><tr><td>a</td><td>b</td></tr></table>"), f"T {words} a b"),
+             (page("").replace("<h1>T</h1>", "<header><h1>Headline</h1><p>By X</p></header>"), f"Headline By X {words}"),
+             (f"<html><body><header>Site</header><form>{page('')[12:-14]}</form></body></html>", f"T {words}"),
+             (f"<html><body>{NAV}<main>{LINKS}</main></body></html>", " ".join(f"Item {i}" for i in range(40))),
+             (page("", f"<div><h3>Comments</h3>{PARA * 8}</div>"), f"T {words}"),
+             (page("", f'<div class="responses"><article class="c1">{PARA * 4}</article></div>'), f"T {words}"),
+             (page(f'<section id="comments">{PARA * 9}</section><div class="ad">Buy, now.</div>'), f"T {words}"),
+             (page("<form><label>Your name</label></form><aside>See also</aside><footer>Tags</footer>"), f"T {words}")]
+    pages = spark.createDataFrame([(i, None, h) for i, (h, _) in enumerate(cases)], "page_id long, url string, html string")
+    for training in (spark.read.parquet(f"{SF0001}/pages.parquet"), pages, pages.where("false")):
+        got = main_text.extract(pages, main_text.train(training)).collect()
+        assert {r["page_id"]: r["text"] for r in got} == {i: t for i, (_, t) in enumerate(cases)}
+
+
+def test_training_reads_pages_without_an_article(spark):
+    """What labelled pages teach finds the articles of the table's pages when
+    their tags are gone; without training nothing tells them."""
+    pages = spark.read.parquet(f"{SF0001}/pages.parquet").select("page_id", "url", "html")
+    model = main_text.train(pages)
+    want = {r["page_id"]: r["text"] for r in main_text.extract(pages, model).collect()}
+    bare = pages.withColumn("html", F.regexp_replace("html", "</?article>", ""))
+    got = {r["page_id"]: r["text"] for r in main_text.extract(bare, model).collect()}
+    assert np.mean([got[k] == want[k] for k in want]) > 0.85
+    untrained = main_text.extract(bare, main_text.train(bare)).collect()
+    assert not any(r["text"] for r in untrained)
+
+
 def test_pages_table_gives_the_articles(spark):
     import html
     import re
@@ -393,10 +436,33 @@ def test_trie_equals_pairwise_overlaps():
             assert set(trie.probe(s, int(n[i]), mark, percent).tolist()) == want
 
 
+DOC_SCHEMA = "doc_id long, text string"
+
+
+def test_no_link_is_lost_whatever_the_batches(spark):
+    """70,000 texts of one word and 200 near pairs, all in one Arrow batch."""
+    r = random.Random(3)
+    rows = [(i, f"w{i}") for i in range(70_000)]
+    for k in range(200):
+        words = [f"p{r.randint(0, 10**9)}" for _ in range(60)]
+        rows += [(100_000 + 2 * k, " ".join(words)), (100_001 + 2 * k, " ".join(words[:-1] + ["other"]))]
+    r.shuffle(rows)
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    df = spark.createDataFrame(rows, DOC_SCHEMA).coalesce(1)
+    try:
+        spark.conf.set(size, "200000")
+        got = {x["doc_id"]: x["component_id"] for x in jaccard.similar(df).collect()}
+    finally:
+        spark.conf.set(size, before)
+    assert len(set(got.values())) == 70_200
+    assert all(got[100_001 + 2 * k] == got[100_000 + 2 * k] == 100_000 + 2 * k for k in range(200))
+
+
 # -- the registered queries ---------------------------------------------------------------
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
@@ -437,11 +503,16 @@ def test_pipeline_stages(spark):
     docs = docs.unionByName(odd).withColumn("score", F.lit(1)).withColumn("n_hit", F.lit("x")).withColumn("ids", F.lit(2))
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/benchmark.parquet").collect()]
     f = dict(corpus_pipeline.STAGES)
-    before = docs.collect()
     one = f["language ID"](spark, docs, SF0001)
     assert one.columns == docs.columns
     left = one.collect()
-    assert sorted(map(str, left)) == sorted(str(r) for r in before if r["text"] and any(c.isalpha() for c in r["text"]))
+    # Documents with a letter stay, with the language that op6's model finds.
+    labelled = language.labelled_text(docs.where(~held_out()))
+    found = language.identify(docs, labelled, carry=["doc_id", "text", "lang"]).collect()
+    assert {r["lang"] for r in left} <= set(labelled)
+    assert sorted((str(r["doc_id"]), r["text"], r["lang"]) for r in left) == sorted(
+        (str(r["doc_id"]), r["text"], r["lang_pred"]) for r in found if r["text"] and any(c.isalpha() for c in r["text"]))
+    assert [r for r in docs.drop("lang").exceptAll(one.drop("lang")).collect() if r["text"] and any(map(str.isalpha, r["text"]))] == []
     two = f["n-gram Jaccard join"](spark, one, SF0001)
     rows = [(r["doc_id"], r["text"]) for r in left]
     stay = [k for (k, _), (_, c) in zip(rows, brute.components(rows)) if k is None or k == c]
@@ -462,6 +533,15 @@ def test_pipeline_stages(spark):
     assert len(five) == len(left) and all(r["lossless"] and r["n_tokens"] == len(r["ids"]) for r in five)
 
 
+def test_pipeline_keeps_chosen_languages(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "LANGUAGES", ["en", "es"])
+    kept = corpus_pipeline.language_id(spark, docs, SF0001)
+    want = QUERIES["op6_language"](spark, SF0001).where("lang_pred in ('en', 'es')")
+    assert sorted(tuple(r) for r in kept.select("doc_id", "lang").collect()) \
+        == sorted(tuple(r) for r in want.select("doc_id", "lang_pred").collect())
+
+
 def test_pipeline_run(spark):
     df = corpus_pipeline.run(spark, SF0001)
     assert df.columns == ["doc_id", "lang", "source", "n_tokens", "ids", "lossless"] and df.count() > 100
