@@ -13,16 +13,16 @@ Store layout under a root folder (one dataset per collection, see
 dataset            columns                                partitions
 =================  =====================================  ==============
 ``raw``            Sensor, DateTime, value, domain        domain, Sensor, month
-``daily``          Sensor, Day, Total                     store batch
-``counter_diff``   Sensor, Day, daily_diff                store batch
-``accepted_daily`` Sensor, Day, Totalw1                   store batch
-``rejected``       Sensor, RejectedEvent, RejectedVal     store batch
-``leak``           Meter, Day, LeakValue                  store batch
+``daily``          Sensor, Day, Total                     buckets of the key
+``counter_diff``   Sensor, Day, daily_diff                buckets of the key
+``accepted_daily`` Sensor, Day, Totalw1                   buckets of the key
+``rejected``       Sensor, RejectedEvent, RejectedVal     buckets of the key
+``leak``           Meter, Day, LeakValue                  buckets of the key
 =================  =====================================  ==============
 
 The results are revised as readings arrive (update mode), so their topics
-are revision logs, and their datasets are read by key (:data:`KEYS`): the last
-revision of a key is its row.
+are revision logs, and their datasets hold the last revision of each key
+(:data:`KEYS`) as its one row.
 """
 
 from __future__ import annotations
@@ -36,10 +36,12 @@ from gridsense.functions.parse import (PAYLOAD_SEP, decode_json, drop_invalid, k
                                        strict_double)
 from gridsense.operators.counter import SINGLE_DROP, SINGLE_VALUE, counter_daily_diff
 from gridsense.operators.late import split_late
-from gridsense.operators.leak import latest_per_key, leak, leak_of_revisions
+from gridsense.operators.leak import leak, leak_of_revisions
 from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
-from gridsense.sources.io import append_dataset, read_dataset
-from gridsense.streaming.sinks import REVISION, committed, start_topic_sink, stream_revisions
+from gridsense.sources import keyed_store
+from gridsense.sources.io import append_clustered, append_dataset, read_dataset
+from gridsense.streaming.retention import compact
+from gridsense.streaming.sinks import REVISION, start_topic_sink, stream_revisions
 
 PERIOD_PARTITION = "month"  # first day of the UTC month, a DATE
 
@@ -144,11 +146,18 @@ def envelope_readings(records: DataFrame) -> DataFrame:
         F.col("DateTime").isNotNull() & F.col("NumVal").isNotNull())
 
 
-def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_month: bool = True) -> str:
-    """Append envelopes to the raw dataset, partitioned by domain, sensor and
+def store_raw(envelopes: DataFrame, path: str, mode: str = "append", by_month: bool = True,
+              clustered: bool = False) -> str:
+    """``clustered``: partitioned by month only, clustered by sensor and time
+    (:func:`~gridsense.sources.io.append_clustered`), for thousands of sensors.
+
+    Append envelopes to the raw dataset, partitioned by domain, sensor and
     (``by_month``) UTC month, so that a time-range read over a long history
     opens only the month folders it needs; inside them, files sorted by time
     let row-group statistics skip the rest."""
+    if clustered:
+        rows = envelopes.withColumn(PERIOD_PARTITION, F.trunc(F.to_date("DateTime"), "month"))
+        return append_clustered(rows, path, (PERIOD_PARTITION,), mode=mode)
     parts = ("domain", "Sensor")
     if by_month:
         envelopes = envelopes.withColumn(PERIOD_PARTITION, F.trunc(F.to_date("DateTime"), "month"))
@@ -239,6 +248,7 @@ def leak_job(sub_records: DataFrame, total_records: DataFrame, watermark: str |
 # The sub-meter whose leak against its meter the reference
 # computes (W1 against Wtot).
 LEAK_PAIRS = (("W1", "Wtot"),)
+LEAK_TOPICS = ("accepted_daily", "counter_diff")
 DAILY_SCHEMA = "Sensor STRING, Day TIMESTAMP, Total DOUBLE"
 ACCEPTED_SCHEMA = "Sensor STRING, Day TIMESTAMP, Totalw1 DOUBLE"
 COUNTER_SCHEMA = "Sensor STRING, Day TIMESTAMP, daily_diff DOUBLE"
@@ -249,7 +259,8 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
                     accept_delay: str | None = "3 days", counter_delay: str | None = None,
                     rejected_delay: str | None = None, sub_gt: float | None = None,
                     trigger: dict | None = None, name_prefix: str = "", raw: bool = True,
-                    kafka: dict[str, str] | None = None) -> list:
+                    kafka: dict[str, str] | None = None, compact_every: int | None = None,
+                    store_root: str | None = None) -> list:
     """Start stage one of the application over one message stream: streaming
     queries, each one keyed aggregate over all its sensors, writing JSON topic
     folders under ``root`` (or, with ``kafka`` connector options, Kafka topics
@@ -267,7 +278,9 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
     and rejected readings have none (their state is one row per sensor and day
     or ten minutes); the sub-meters have the reference's 3 days. Where a delay
     of gauges or sub-meters is given, each sensor has its own watermark, as in
-    the reference, so that sensors out of step lose nothing. Returns the
+    the reference, so that sensors out of step lose nothing. ``compact_every``:
+    after each so many batches a result topic is compacted, and batch folders go
+    that the leak query and, with ``store_root``, the store have read. Returns the
     started queries.
     """
     late = list(late_sensors) if late_sensors is not None else \
@@ -288,8 +301,17 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
         "rejected": rejected_rollup(rejected, by="Sensor", delay=rejected_delay),
     }
     kw = dict(fmt="kafka" if kafka else "json", trigger=trigger)
+
+    def compaction(name: str):
+        if compact_every is None or kafka:
+            return None
+        readers = [f"{root}/leak.checkpoint"] if name in LEAK_TOPICS else []
+        readers += [f"{store_root}/{name}.checkpoint"] if store_root else []
+        return compact_every, lambda spark: compact(spark, f"{root}/{name}", KEYS[name], readers,
+                                                    json_schema=TOPIC_SCHEMAS[name])
+
     started = [start_topic_sink(df, f"{root}/{name}", mode="update", query_name=f"{name_prefix}{name}",
-                                options={**kafka, "topic": name} if kafka else None, **kw)
+                                options={**kafka, "topic": name} if kafka else None, compact=compaction(name), **kw)
                for name, df in outs.items()]
     if raw:
         env = ingest_raw(messages, sensors)
@@ -332,7 +354,6 @@ def start_leak(spark: SparkSession, root: str, pairs=LEAK_PAIRS, trigger: dict |
 
 # -- the store ------------------------------------------------------------------
 
-STORE_BATCH = "store_batch"
 RESULTS = ("daily", "counter_diff", "accepted_daily", "rejected", "leak")
 # Rows of a raw partition are dealt over so many tasks of a micro-batch, so
 # that a sensor with much of the data is not written by one.
@@ -341,12 +362,21 @@ RAW_SPREAD = 8
 
 def start_store(spark: SparkSession, topics_root: str, store_root: str, names=RESULTS,
                 trigger: dict | None = None, name_prefix: str = "store_") -> list:
-    """Keep result topics as typed Parquet datasets, one streaming query per
-    topic with a checkpoint of its own: a topic's record is stored once
-    however often the store is run. Read with :func:`read_store`."""
-    return [start_topic_sink(_open_revisions(spark, topics_root, name, None), f"{store_root}/{name}",
-                             mode="update", fmt="parquet", revision=STORE_BATCH, trigger=trigger,
-                             query_name=f"{name_prefix}{name}") for name in names]
+    """Keep result topics as typed datasets of one row per key
+    (:mod:`~gridsense.sources.keyed_store`), one streaming query per topic with a
+    checkpoint of its own: a topic's record is stored once however often the
+    store is run. Read with :func:`read_store`."""
+    def start(name: str):
+        path = f"{store_root}/{name}"
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            keyed_store.merge(batch, path, KEYS[name], REVISION, batch_id, KEYS[name][-1])
+
+        w = _open_revisions(spark, topics_root, name, None).writeStream.foreachBatch(write) \
+            .option("checkpointLocation", f"{path}.checkpoint").queryName(f"{name_prefix}{name}")
+        return (w.trigger(**trigger) if trigger else w).start()
+
+    return [start(name) for name in names]
 
 
 def start_raw_store(messages: DataFrame, store_root: str, sensors=registry.HOUSEHOLD,
@@ -360,10 +390,8 @@ def start_raw_store(messages: DataFrame, store_root: str, sensors=registry.HOUSE
 
 
 def read_store(spark: SparkSession, store_root: str, name: str) -> DataFrame:
-    """The rows of a result dataset: the last revision of each key."""
-    path = f"{store_root}/{name}"
-    rows = committed(spark, path, STORE_BATCH)
-    return latest_per_key(rows.drop(STORE_BATCH), KEYS[name], REVISION)
+    """The rows of a result dataset, one per key."""
+    return keyed_store.read_keyed(spark, f"{store_root}/{name}").drop(REVISION)
 
 
 # -- dashboard panels ---------------------------------------------------------
@@ -400,18 +428,12 @@ TOPIC_SCHEMAS = {
 def panel(spark: SparkSession, root: str, name: str, start=None, end=None,
           panels: dict = PANELS, sensor: str | None = None) -> DataFrame:
     """One panel's rows: a stored dataset, filtered by sensor and by the
-    dashboard's time range (both pushed to the scan). Result datasets are read
-    by key where the store keeps revisions, else as they are."""
+    dashboard's time range (both pushed to the scan). A result dataset that the
+    store keeps by key is read from the buckets of its sensor and range."""
     dataset, default_sensor, ts = panels[name]
     sensor, sensor_col = sensor or default_sensor, "Meter" if dataset == "leak" else "Sensor"
-    if dataset == "raw" or committed(spark, f"{root}/{dataset}", STORE_BATCH) is None:
-        return read_dataset(spark, f"{root}/{dataset}", sensor=sensor, start=start, end=end, ts=ts,
-                            sensor_col=sensor_col)
-    df = read_store(spark, root, dataset)
-    if sensor is not None:
-        df = df.where(F.col(sensor_col) == sensor)
-    if start is not None:
-        df = df.where(F.col(ts) >= F.lit(start).cast("timestamp"))
-    if end is not None:
-        df = df.where(F.col(ts) <= F.lit(end).cast("timestamp"))
-    return df
+    if dataset != "raw" and keyed_store.exists(spark, f"{root}/{dataset}"):
+        return keyed_store.read_keyed(spark, f"{root}/{dataset}", sensor, start, end, at=ts,
+                                      entity_col=sensor_col).drop(REVISION)
+    return read_dataset(spark, f"{root}/{dataset}", sensor=sensor, start=start, end=end, ts=ts,
+                        sensor_col=sensor_col)

@@ -160,6 +160,7 @@ ORACLE: dict[str, str] = {
       FROM events GROUP BY 1""",
     "daily_by_sensor": DAILY_BY_SENSOR,
     "counter_diff": COUNTER_PAIRS,
+    "counter_diff_sql": COUNTER_PAIRS,
     "counter_diff_threshold": f"""
       SELECT 'etot' AS Sensor, CAST(Day AS DATE) AS Day, daily_diff
       FROM ({_single(_steady("etot"), q.COUNTER_LT)}) s""",
@@ -196,6 +197,12 @@ ORACLE: dict[str, str] = {
       FROM events
       WHERE event_type = {SUB} AND NOT {FLAGGED}
         AND date_trunc('second', ts) BETWEEN TIMESTAMP '{q.PANEL_START}' AND TIMESTAMP '{q.PANEL_END}'""",
+    "panel_clustered_range": f"""
+      SELECT event_type AS Sensor, date_trunc('second', ts) AS DateTime, value,
+             {DOMAIN} AS domain
+      FROM events
+      WHERE event_type = {SUB} AND NOT {FLAGGED}
+        AND date_trunc('second', ts) BETWEEN TIMESTAMP '{q.PANEL_START}' AND TIMESTAMP '{q.PANEL_END}'""",
     "panel_daily_avg": f"""
       SELECT * FROM ({DAILY_BY_SENSOR}) d
       WHERE Sensor = '{q.AVG_SENSOR}'
@@ -216,6 +223,9 @@ ORACLE: dict[str, str] = {
         FROM events WHERE event_type = {SUB}),
       mark AS (SELECT max(t) - INTERVAL '{q.ACCEPT_DELAY}' AS m FROM r WHERE NOT late)
       SELECT Day, {_sum()} AS Totalw1 FROM r, mark WHERE NOT late OR Day > m GROUP BY Day""",
+    "stream_progress": f"""
+      SELECT CAST((SELECT count(*) FROM events WHERE event_type = {SUB}) AS BIGINT) AS input_rows,
+             (SELECT count(*) FROM ({_LATE_ROWS}) x WHERE kind = 'late') AS dropped""",
     "stream_rejected": REJECTED,
     "stream_counter_diff": COUNTER_PAIRS,
     "stream_leak": LEAK,
@@ -255,6 +265,9 @@ ORACLE: dict[str, str] = {
     "panel_th1_raw": f"""
       SELECT event_type AS Sensor, date_trunc('second', ts) AS At, round(value, 2) AS Value
       FROM events WHERE event_type = '{q.AVG_SENSOR}' AND date_trunc('second', ts) {RANGE}""",
+    "panel_w1_raw": f"""
+      SELECT event_type AS Sensor, date_trunc('second', ts) AS At, round(value, 2) AS Value
+      FROM events WHERE event_type = {SUB} AND NOT {FLAGGED} AND date_trunc('second', ts) {RANGE}""",
     "panel_late_rejected": f"""
       SELECT {SUB} AS Sensor, RejectedEvent AS At, round(RejectedVal, 2) AS Value
       FROM ({REJECTED}) r WHERE RejectedEvent {RANGE}""",

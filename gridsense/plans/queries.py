@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridsense.functions.parse import decode_json, encode_json, raw_envelope
+from gridsense.functions.sql import register
 from gridsense.operators.counter import SINGLE_VALUE, counter_daily_diff
 from gridsense.operators.late import split_late
 from gridsense.operators.leak import latest_per_key, leak, leak_of_revisions
@@ -27,6 +28,7 @@ from gridsense.session import ensure_utc, new_work_path
 from gridsense.sources import events as ev
 from gridsense.sources.io import read_dataset, read_messages, read_topic, write_messages
 from gridsense.streaming import keyed
+from gridsense.streaming.progress import ProgressLog
 from gridsense.streaming.sinks import (REVISION, read_revisions, run_available, run_available_together,
                                       start_topic_sink, wait_for)
 
@@ -237,6 +239,24 @@ def panel_sensor_range_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("Sensor", _ntz("DateTime"), "value", "domain")
 
 
+def panel_clustered_range_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same read from the layout for very many sensors: no folder per
+    sensor, rows clustered by sensor and time, skipped by statistics."""
+    ensure_utc(spark)
+    root = new_work_path(spark, "store")
+    env = jobs.ingest_raw(ev.event_messages(spark, sf_dir, motion=True), sensors=ev.EVENT_SENSORS)
+    jobs.store_raw(env, f"{root}/raw", clustered=True)
+    df = read_dataset(spark, f"{root}/raw", sensor=ev.SUB_METER, start=PANEL_START, end=PANEL_END)
+    return df.select("Sensor", _ntz("DateTime"), "value", "domain")
+
+
+def counter_diff_sql_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counter's difference called by name from SQL."""
+    ensure_utc(spark)
+    register(jobs.sensor_readings(ev.counter_messages(spark, sf_dir)))
+    return spark.sql(f"SELECT * FROM counter_diff('{ev.COUNTER}')").select("Sensor", _ntz("Day"), "daily_diff")
+
+
 def panel_daily_avg_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily roll-ups of every sensor kept as a dataset, then the
     dashboard's daily-average panel for one averaged sensor and range."""
@@ -277,20 +297,28 @@ def stream_accepted_update_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_revisions(spark, out, ["Day"]).select(_ntz("Day"), "Totalw1")
 
 
-def stream_late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows behind the 3-day watermark, over three runs of one stream: the
-    sub-meter's readings up to :data:`LATE_SPLIT`, those after it, and last
-    every 50th reading of the first part, days late. Late rows of windows that
-    the watermark has closed are dropped; those of open ones are added."""
-    ensure_utc(spark)
+def _late_rows_runs(spark: SparkSession, sf_dir: str):
+    """Three runs of the sub-meter's stream: its readings up to
+    :data:`LATE_SPLIT`, those after it, and last every 50th of the first part,
+    days late: (results, the queries that ran)."""
     rows = ev.load_events(spark, sf_dir).where(F.col("event_type") == ev.SUB_METER)
     early, late = F.col("ts") < F.lit(LATE_SPLIT).cast("timestamp_ntz"), F.col("event_id") % 50 == 0
-    src, out = new_work_path(spark, "late-src"), new_work_path(spark, "late-out")
+    src, out, started = new_work_path(spark, "late-src"), new_work_path(spark, "late-out"), []
     for part in (early & ~late, ~early, early & late):
         write_messages(ev.messages_of(rows.where(part), flag_late=False), src)
         msgs = read_messages(spark, src, stream=True)
         daily = daily_rollup(jobs.sensor_readings(msgs), delay=ACCEPT_DELAY, out="Totalw1")
-        run_available(daily, out, mode="update")
+        started.append(start_topic_sink(daily, out, mode="update", trigger={"availableNow": True}))
+        wait_for(started[-1:])
+    return out, started
+
+
+def stream_late_rows_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows behind the 3-day watermark, over three runs of one stream. Late rows
+    of windows that the watermark has closed are dropped; those of open ones are
+    added."""
+    ensure_utc(spark)
+    out, _ = _late_rows_runs(spark, sf_dir)
     return read_revisions(spark, out, ["Day"]).select(_ntz("Day"), "Totalw1")
 
 
@@ -502,11 +530,44 @@ def store_twice_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.unionByName(raw.select(F.lit("raw").alias("dataset"), "n"))
 
 
+def stream_progress_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the watermark drops, counted: the rows behind it of
+    :func:`stream_late_rows_q`, from the log of the queries' progress (Spark
+    counts windows of a batch that had closed)."""
+    ensure_utc(spark)
+    log = ProgressLog(spark, new_work_path(spark, "progress"))
+    started = _late_rows_runs(spark, sf_dir)[1]
+    rows = log.close(started).where(F.col("run_id").isin([str(q.runId) for q in started]))
+    return rows.agg(F.sum("input_rows").alias("input_rows"), F.sum("dropped_by_watermark").alias("dropped"))
+
+
+def _panel_store(spark: SparkSession, sf_dir: str, dataset: str) -> str:
+    """A store with one dataset, made by the streams that it needs."""
+    root, once = new_work_path(spark, "panel"), {"availableNow": True}
+    topics, store = f"{root}/topics", f"{root}/store"
+    if dataset == "raw":
+        msgs = ev.event_messages(spark, sf_dir, motion=True, stream=True)
+        wait_for([jobs.start_raw_store(msgs, store, ev.EVENT_SENSORS, trigger=once)])
+        return store
+    if dataset == "rejected":
+        _, rejected = _sub_readings(ev.event_messages(spark, sf_dir, sensors=(ev.SUB_METER,), stream=True))
+        run_available(rejected_rollup(rejected, by="Sensor"), f"{topics}/rejected", fmt="json", mode="update")
+    elif dataset == "counter_diff":
+        counters = ev.steady_messages(spark, sf_dir, "etot").unionByName(ev.steady_messages(spark, sf_dir, "wtot"))
+        diff = _counter_pairs(jobs.sensor_readings(_stream_of(spark, counters, "counters")))
+        run_available(diff, f"{topics}/counter_diff", fmt="json", mode="update")
+    elif dataset == "leak":
+        topics = _leak_topics(spark, sf_dir)
+        wait_for([jobs.start_leak(spark, topics, pairs=((ev.SUB_METER, ev.COUNTER),), trigger=once)])
+    wait_for(jobs.start_store(spark, topics, store, names=[dataset], trigger=once))
+    return store
+
+
 def _panel_q(name: str, sensor: str | None, value: str):
-    """A panel's rows after one run of the application with its store."""
+    """A panel's rows from a store with its dataset."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_utc(spark)
-        _, store = _household(spark, sf_dir)
+        store = _panel_store(spark, sf_dir, jobs.PANELS[name][0])
         df = jobs.panel(spark, store, name, start=PANEL_START, end=PANEL_END, sensor=sensor)
         key, at = ("Meter" if name == "water_leak" else "Sensor"), jobs.PANELS[name][2]
         return df.select(F.col(key).alias("Sensor"), F.col(at).cast("timestamp_ntz").alias("At"),
@@ -524,6 +585,7 @@ QUERIES: dict[str, Query] = {
     "daily_by_sensor": daily_by_sensor_q,
     "counter_diff": counter_diff_q,
     "counter_diff_threshold": counter_diff_threshold_q,
+    "counter_diff_sql": counter_diff_sql_q,
     "energy_job": energy_job_q,
     "temp_job": temp_job_q,
     "water_job": water_job_q,
@@ -534,14 +596,17 @@ QUERIES: dict[str, Query] = {
     "leak_revisions": leak_revisions_q,
     "latest_per_day": latest_per_day_q,
     "panel_sensor_range": panel_sensor_range_q,
+    "panel_clustered_range": panel_clustered_range_q,
     "panel_daily_avg": panel_daily_avg_q,
     "panel_th1_raw": _panel_q("th1_raw", AVG_SENSOR, "value"),
+    "panel_w1_raw": _panel_q("w1_raw", ev.SUB_METER, "value"),
     "panel_late_rejected": _panel_q("late_rejected", ev.SUB_METER, "RejectedVal"),
     "panel_etot_diff": _panel_q("etot_diff", "etot", "daily_diff"),
     "panel_water_leak": _panel_q("water_leak", ev.COUNTER, "LeakValue"),
     "stream_daily_sum": stream_daily_sum_q,
     "stream_accepted_update": stream_accepted_update_q,
     "stream_late_rows": stream_late_rows_q,
+    "stream_progress": stream_progress_q,
     "stream_rejected": stream_rejected_q,
     "stream_counter_diff": stream_counter_diff_q,
     "stream_leak": stream_leak_q,

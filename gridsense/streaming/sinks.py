@@ -21,46 +21,24 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridsense.functions.parse import decode_json, encode_json
+from gridsense.streaming.marks import list_folders, note, noted
 
 REVISION = "batch_id"
 
 
-# -- small marks: the last number written, in two slots -------------------------
-
-def _note(spark: SparkSession, folder: str, n: int) -> None:
-    """Note ``n``. Two slots are written in turn, so one is whole at any time."""
-    spark.range(1).select(F.lit(n).cast("long").alias("n")).coalesce(1) \
-        .write.mode("overwrite").parquet(f"{folder}/slot={n % 2}")
-
-
-def _noted(spark: SparkSession, folder: str) -> int | None:
-    """The largest number noted, or None."""
-    found = []
-    for slot in (0, 1):
-        try:
-            row = spark.read.schema("n LONG").option("ignoreMissingFiles", True) \
-                .parquet(f"{folder}/slot={slot}").agg(F.max("n")).first()
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        if row[0] is not None:
-            found.append(row[0])
-    return max(found, default=None)
-
-
-def _revision_writer(path: str, fmt: str, revision: str, json_cols: Sequence[str] | None):
+def _revision_writer(path: str, fmt: str, revision: str, json_cols: Sequence[str] | None, compact=None):
     path = path.rstrip("/")
+    written = 0
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        nonlocal written
         spark = batch.sparkSession
-        done = _noted(spark, f"{path}_commits")
+        done = noted(spark, f"{path}_commits")
         if done is not None and batch_id <= done:
             return  # replayed after its commit: it is whole already
         out = f"{path}/{revision}={batch_id}"
@@ -70,7 +48,10 @@ def _revision_writer(path: str, fmt: str, revision: str, json_cols: Sequence[str
             encode_json(rows).write.mode("overwrite").text(out)
         else:
             batch.write.mode("overwrite").format(fmt).save(out)
-        _note(spark, f"{path}_commits", batch_id)
+        note(spark, f"{path}_commits", batch_id)
+        written += 1
+        if compact is not None and written % compact[0] == 0:
+            compact[1](spark)
     return write
 
 
@@ -78,7 +59,7 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
                      mode: str = "append", fmt: str = "parquet", query_name: str | None = None,
                      trigger: dict | None = None, partition_by: Sequence[str] | None = None,
                      json_cols: Sequence[str] | None = None, revision: str = REVISION,
-                     options: dict[str, str] | None = None) -> StreamingQuery:
+                     options: dict[str, str] | None = None, compact=None) -> StreamingQuery:
     """Start a streaming query writing ``df`` to the folder ``path``.
 
     ``fmt="json"`` stores one JSON record per line in a text folder (a
@@ -89,7 +70,9 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
     ``fmt="kafka"`` writes the JSON records as the ``value`` of a Kafka
     topic (``options``: ``kafka.bootstrap.servers``, ``topic``; needs the
     connector jar, so it is untested here); ``path`` then only names the
-    default checkpoint folder.
+    default checkpoint folder. ``compact``: ``(every, function)``, for update
+    mode: after each so many batches ``function(spark)`` is called between two
+    of them (see :func:`~gridsense.streaming.retention.compact`).
     """
     checkpoint = checkpoint or path.rstrip("/") + ".checkpoint"
     if fmt == "kafka" or (fmt == "json" and mode == "append"):
@@ -110,7 +93,7 @@ def start_topic_sink(df: DataFrame, path: str, checkpoint: str | None = None,
         if partition_by:
             w = w.partitionBy(*partition_by)
     else:
-        w = w.foreachBatch(_revision_writer(path, fmt, revision, json_cols))
+        w = w.foreachBatch(_revision_writer(path, fmt, revision, json_cols, compact))
     return w.start()
 
 
@@ -168,15 +151,6 @@ def stream_revisions(spark: SparkSession, path: str, schema: str, revision: str
     return decode_json(raw, f"{schema}, {revision} LONG")
 
 
-def committed(spark: SparkSession, path: str, revision: str = REVISION) -> DataFrame | None:
-    """All rows of the committed batches of a Parquet revision log, or None
-    where nothing was committed."""
-    done = _noted(spark, f"{path.rstrip('/')}_commits")
-    if done is None:
-        return None
-    return spark.read.parquet(path).where(F.col(revision).between(0, done))
-
-
 def read_revisions(spark: SparkSession, path: str, keys: Sequence[str], revision: str = REVISION,
                    upto: int | None = None, keep_revision: bool = False,
                    json_schema: str | None = None) -> DataFrame:
@@ -187,20 +161,26 @@ def read_revisions(spark: SparkSession, path: str, keys: Sequence[str], revision
     ``json_schema``: the record's fields, for a log of JSON lines."""
     from gridsense.operators.leak import latest_per_key
     path = path.rstrip("/")
-    done = _noted(spark, f"{path}_commits")
+    done = noted(spark, f"{path}_commits")
     last = -1 if done is None else done if upto is None else min(done, upto)
-    since = _noted(spark, f"{path}_snapshots/latest")
+    since = noted(spark, f"{path}_snapshots/latest")
     if since is not None and since > last:
         since = None  # a snapshot beyond ``upto`` does not tell what came before
     snap = None if since is None else spark.read.parquet(f"{path}_snapshots/upto={since}")
-    if json_schema is not None:
-        raw = spark.read.schema(f"value STRING, {revision} LONG").text(path)
-        raw = raw.where(F.col(revision).between((since or 0) + (since is not None), last))
+    # Only the folders that count are opened.
+    lo = -1 if since is None else since
+    folders = [f"{path}/{revision}={b}" for b in list_folders(spark, path, f"{revision}=") if lo < b <= last]
+    if not folders and snap is None:
+        raise FileNotFoundError(f"no committed batch under {path}")
+    reader = spark.read.option("basePath", path)
+    if not folders:
+        batches = snap.limit(0)
+    elif json_schema is not None:
+        raw = reader.schema(f"value STRING, {revision} LONG").text(folders)
         batches = decode_json(raw.select("value"), f"{json_schema}, {revision} LONG")
     else:
-        reader = spark.read if snap is None else spark.read.schema(snap.schema)
-        batches = reader.parquet(path).withColumn(revision, F.col(revision).cast("long")) \
-            .where(F.col(revision).between((since or 0) + (since is not None), last))
+        batches = (reader if snap is None else reader.schema(snap.schema)).parquet(*folders) \
+            .withColumn(revision, F.col(revision).cast("long"))
     if snap is not None:
         batches = batches.unionByName(snap.select(*batches.columns))
     return latest_per_key(batches, list(keys), revision, keep_order=keep_revision)
@@ -219,10 +199,10 @@ def snapshot_revisions(spark: SparkSession, path: str, keys: Sequence[str],
     them.
     """
     path = path.rstrip("/")
-    upto = _noted(spark, f"{path}_commits")
+    upto = noted(spark, f"{path}_commits")
     if upto is None:
         return None
     cur = read_revisions(spark, path, keys, revision, upto=upto, keep_revision=True, json_schema=json_schema)
     cur.write.mode("overwrite").parquet(f"{path}_snapshots/upto={upto}")
-    _note(spark, f"{path}_snapshots/latest", upto)
+    note(spark, f"{path}_snapshots/latest", upto)
     return upto
