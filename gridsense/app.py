@@ -21,7 +21,7 @@ import argparse
 from gridsense.plans import jobs
 from gridsense.session import get_session
 from gridsense.sources.io import read_messages
-from gridsense.streaming.sinks import run_all
+from gridsense.streaming.sinks import run_all, wait_for
 
 
 def main(argv=None) -> None:
@@ -35,6 +35,10 @@ def main(argv=None) -> None:
                    help="write topics to Kafka with these connector options")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     p.add_argument("--store", default=None, help="also keep raw readings and results as datasets here")
+    p.add_argument("--compact-every", type=int, default=None,
+                   help="compact result topics after so many batches and remove what their readers have read")
+    p.add_argument("--counter-days", type=int, default=None,
+                   help="hold so many days of each counter as state, whatever its history")
     p.add_argument("--once", action="store_true", help="process what is available, then stop")
     a = p.parse_args(argv)
     if a.fmt != "kafka" and not a.messages:
@@ -50,11 +54,12 @@ def main(argv=None) -> None:
                          max_files_per_trigger=a.max_files_per_trigger)
     def done(queries):
         if a.once:
-            for q in queries:
-                q.awaitTermination()
+            wait_for(queries)  # when one fails the others are stopped
         return queries
 
-    started = done(jobs.start_household(msgs, a.root, trigger=trigger, kafka=kafka))
+    started = done(jobs.start_household(
+        msgs, a.root, trigger=trigger, kafka=kafka, compact_every=a.compact_every, store_root=a.store,
+        counter_days=a.counter_days))
     if a.store:
         started += done([jobs.start_raw_store(msgs, a.store, trigger=trigger)])
     started += done([jobs.start_leak(spark, a.root, trigger=trigger, kafka=kafka)])

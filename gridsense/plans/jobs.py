@@ -40,6 +40,7 @@ from gridsense.operators.leak import leak, leak_of_revisions
 from gridsense.operators.rollup import daily_rollup, plausible, rejected_rollup
 from gridsense.sources import keyed_store
 from gridsense.sources.io import append_clustered, append_dataset, read_dataset
+from gridsense.streaming import keyed
 from gridsense.streaming.retention import compact
 from gridsense.streaming.sinks import REVISION, start_topic_sink, stream_revisions
 
@@ -260,7 +261,7 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
                     rejected_delay: str | None = None, sub_gt: float | None = None,
                     trigger: dict | None = None, name_prefix: str = "", raw: bool = True,
                     kafka: dict[str, str] | None = None, compact_every: int | None = None,
-                    store_root: str | None = None) -> list:
+                    store_root: str | None = None, counter_days: int | None = None) -> list:
     """Start stage one of the application over one message stream: streaming
     queries, each one keyed aggregate over all its sensors, writing JSON topic
     folders under ``root`` (or, with ``kafka`` connector options, Kafka topics
@@ -280,8 +281,10 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
     of gauges or sub-meters is given, each sensor has its own watermark, as in
     the reference, so that sensors out of step lose nothing. ``compact_every``:
     after each so many batches a result topic is compacted, and batch folders go
-    that the leak query and, with ``store_root``, the store have read. Returns the
-    started queries.
+    that the leak query and, with ``store_root``, the store have read.
+    ``counter_days``: counters hold the first readings of so many days each as
+    state, not every window (:func:`~gridsense.streaming.keyed.keyed_counter_diff`).
+    Returns the started queries.
     """
     late = list(late_sensors) if late_sensors is not None else \
         registry.names(sensors, domain="water", kind="gauge")
@@ -295,8 +298,9 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
     outs = {
         "daily": gauge_daily(subscribed(messages, gauges, sensors), sensors, delay=gauge_delay,
                              watermark_each=gauges if len(gauges) > 1 else None),
-        "counter_diff": counter_daily_diff(subscribed(messages, counters, sensors),
-                                           by="Sensor", delay=counter_delay),
+        "counter_diff": counter_daily_diff(subscribed(messages, counters, sensors), by="Sensor", delay=counter_delay)
+        if counter_days is None else
+        keyed.keyed_counter_diff(subscribed(messages, counters, sensors), counter_days),
         "accepted_daily": accepted_daily,
         "rejected": rejected_rollup(rejected, by="Sensor", delay=rejected_delay),
     }
@@ -310,9 +314,17 @@ def start_household(messages: DataFrame, root: str, sensors=registry.HOUSEHOLD,
         return compact_every, lambda spark: compact(spark, f"{root}/{name}", KEYS[name], readers,
                                                     json_schema=TOPIC_SCHEMAS[name])
 
-    started = [start_topic_sink(df, f"{root}/{name}", mode="update", query_name=f"{name_prefix}{name}",
+    def start(name: str, df: DataFrame):
+        return start_topic_sink(df, f"{root}/{name}", mode="update", query_name=f"{name_prefix}{name}",
                                 options={**kafka, "topic": name} if kafka else None, compact=compaction(name), **kw)
-               for name, df in outs.items()]
+
+    started = []
+    for name, df in outs.items():
+        if name == "counter_diff" and counter_days is not None:
+            with keyed.rocksdb(messages.sparkSession):
+                started.append(start(name, df))
+        else:
+            started.append(start(name, df))
     if raw:
         env = ingest_raw(messages, sensors)
         started.append(start_topic_sink(env, f"{root}/raw", query_name=f"{name_prefix}raw",
@@ -391,7 +403,7 @@ def start_raw_store(messages: DataFrame, store_root: str, sensors=registry.HOUSE
 
 def read_store(spark: SparkSession, store_root: str, name: str) -> DataFrame:
     """The rows of a result dataset, one per key."""
-    return keyed_store.read_keyed(spark, f"{store_root}/{name}").drop(REVISION)
+    return keyed_store.read_keyed(spark, f"{store_root}/{name}", schema=TOPIC_SCHEMAS[name]).drop(REVISION)
 
 
 # -- dashboard panels ---------------------------------------------------------
@@ -434,6 +446,6 @@ def panel(spark: SparkSession, root: str, name: str, start=None, end=None,
     sensor, sensor_col = sensor or default_sensor, "Meter" if dataset == "leak" else "Sensor"
     if dataset != "raw" and keyed_store.exists(spark, f"{root}/{dataset}"):
         return keyed_store.read_keyed(spark, f"{root}/{dataset}", sensor, start, end, at=ts,
-                                      entity_col=sensor_col).drop(REVISION)
+                                      entity_col=sensor_col, schema=TOPIC_SCHEMAS[dataset]).drop(REVISION)
     return read_dataset(spark, f"{root}/{dataset}", sensor=sensor, start=start, end=end, ts=ts,
                         sensor_col=sensor_col)

@@ -100,14 +100,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_keyed(spark: SparkSession, path: str, entity: str | None = None, start=None, end=None, at: str = "Day",
-               entity_col: str = "Sensor", buckets: int = BUCKETS) -> DataFrame:
+               entity_col: str = "Sensor", buckets: int = BUCKETS, schema: str | None = None) -> DataFrame:
     """The current rows, one per key. With an entity and both ends of a time
     range only the buckets of its months are opened; each filter is pushed to
-    the scan."""
+    the scan. ``schema``: the columns of a dataset that may have no rows yet."""
     path = path.rstrip("/")
     manifest = _manifest(spark, path)
     if not manifest:
-        raise FileNotFoundError(f"no rows under {path}")
+        if schema is None:
+            raise FileNotFoundError(f"no rows under {path}")
+        return spark.createDataFrame([], schema)
     if entity is not None and start is not None and end is not None:
         first, last = (F.lit(x).cast("timestamp") for x in (start, end))
         months = spark.range(1).select(F.explode(F.sequence(

@@ -103,6 +103,30 @@ def test_counter_state_is_constant_over_a_year(spark, workdir):
     assert got == [(start + dt.timedelta(days=d), value[d] - value[d - 1]) for d in range(1, 365)]
 
 
+def test_the_application_with_bounded_counters_and_compaction(spark, workdir):
+    from gridsense import registry
+    from gridsense.plans import jobs
+    from gridsense.sources.io import read_messages
+    topic = {s.name: s.topic for s in registry.HOUSEHOLD}
+    for d in range(1, 13):
+        rows = [(topic["Wtot"], f"2023-01-{d:02d} 00:00:00 | {100.0 * d}"), (topic["W1"], f"2023-01-{d:02d} 03:00:00 | 60.0")]
+        spark.createDataFrame(rows, "topic STRING, payload STRING").coalesce(1).write.mode("append").parquet(f"{workdir}/src")
+    topics, store = f"{workdir}/topics", f"{workdir}/store"
+    sensors = [s for s in registry.HOUSEHOLD if s.name in ("W1", "Wtot")]
+    for _ in range(2):  # the second run compacts what the first one's readers have read
+        msgs = read_messages(spark, f"{workdir}/src", stream=True, max_files_per_trigger=1)
+        wait_for(jobs.start_household(msgs, topics, sensors=sensors, trigger=ONCE, raw=False, compact_every=4,
+                                      store_root=store, counter_days=3))
+        wait_for([jobs.start_leak(spark, topics, trigger=ONCE)])
+        wait_for(jobs.start_store(spark, topics, store, names=["counter_diff", "leak"], trigger=ONCE))
+        spark.createDataFrame([(topic["Wtot"], "2023-01-13 00:00:00 | 1300.0"), (topic["W1"], "2023-01-12 23:00:00 | 5.0")],
+                              "topic STRING, payload STRING").coalesce(1).write.mode("append").parquet(f"{workdir}/src")
+    got = _rows(jobs.read_store(spark, store, "counter_diff"), F.dayofmonth("Day"), "daily_diff")
+    assert got == [(d, 100.0) for d in range(2, 14)]
+    leaks = _rows(jobs.read_store(spark, store, "leak"), F.dayofmonth("Day"), "LeakValue")
+    assert leaks == [(d, 40.0) for d in range(2, 13)] + [(13, 35.0)]
+
+
 # -- the join ------------------------------------------------------------------------
 
 def _days(spark, path, col, values):
@@ -190,6 +214,13 @@ def test_panel_reads_a_keyed_dataset(spark, workdir):
     assert got.columns == ["Sensor", "Day", "Total"] and _rows(got, "Total") == [(22.0,), (23.0,), (24.0,)]
 
 
+def test_a_dataset_without_rows(spark, workdir):
+    keyed_store.merge(_result(spark, []), f"{workdir}/daily", ["Sensor", "Day"], "batch_id", 0, "Day")
+    assert keyed_store.read_keyed(spark, f"{workdir}/daily", schema=RESULT).count() == 0
+    with pytest.raises(FileNotFoundError):
+        keyed_store.read_keyed(spark, f"{workdir}/daily")
+
+
 def test_marks(spark, workdir):
     assert noted(spark, f"{workdir}/m") is None
     for n in (0, 1, 5, 7):
