@@ -36,6 +36,7 @@ from __future__ import annotations
 import base64
 import gc
 import json
+import os
 import re
 from itertools import chain
 
@@ -47,7 +48,7 @@ from pyspark.sql import functions as F
 from gridsense.llm.bpe import byte_alphabet
 from gridsense.llm.tables import give_back, keep, map_rows
 
-REMEMBERED = 400_000  # segments after which a worker begins anew
+REMEMBERED = 700_000  # segments after which a worker begins anew
 CALL = 500  # segments given to the libraries at once
 PAIRS_AT_ONCE = 4_000_000  # pairs with counts that a pass sends to the tasks
 
@@ -65,7 +66,7 @@ class Segments:
         self.groups: list[str] = []
         self.counts = np.empty((1024, 3), np.int32)  # tokens of A, of B, groups
         self.first = np.zeros(1025, np.int64)  # of its links
-        self.links = np.empty(8192, np.int64)
+        self.links = np.empty(8192, np.uint32)  # an id of A times B's size plus one of B: below 2**32
 
     def add(self, texts: list[str], counts: np.ndarray, groups: list[str], links: np.ndarray, n_links: np.ndarray) -> None:
         n, m = len(self.groups), len(texts)
@@ -91,6 +92,7 @@ class Aligner:
     def __init__(self, vocabulary: str, model: bytes):
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks use the cores
         self.a = Tokenizer.from_str(vocabulary)
         self.a.encode_special_tokens = True  # their strings in a text are plain text
         self.a.no_truncation()
@@ -101,6 +103,8 @@ class Aligner:
         self.a_bytes = [entries.get(i, b"") for i in range(max(entries) + 1)]
         self.b = SentencePieceProcessor(model_proto=model)
         self.n_b = self.b.vocab_size()
+        if self.n_b * len(self.a_bytes) >= 1 << 32:
+            raise ValueError("the two vocabularies have 2**32 pairs of ids or more")
         pieces = [self.b.id_to_piece(i) for i in range(self.n_b)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode()
                         for i, p in enumerate(pieces)]
@@ -147,9 +151,14 @@ class Aligner:
     def _learn(self, texts: list[str]) -> None:
         whole = " ".join(texts)
         data = (" " + whole).encode()
-        found = self.a.encode(" " + whole, add_special_tokens=False)
         proto = self._proto(whole).pieces
-        a, b = np.array(found.ids, np.int64), np.array([x.id for x in proto], np.int64)
+        b = np.array([x.id for x in proto], np.int64)
+        # A is faster on texts of about a hundred words; segments stand apart.
+        parts = [" " + " ".join(texts[k:k + 100]) for k in range(0, len(texts), 100)]
+        found = self.a.encode_batch(parts, add_special_tokens=False)
+        begin = np.cumsum([0, *map(len, parts)])
+        a = np.array(list(chain.from_iterable(e.ids for e in found)), np.int64)
+        span = np.concatenate([np.array(e.offsets, np.int64).reshape(-1, 2) + x for e, x in zip(found, begin.tolist())])
         if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != data \
                 or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != data:
             if len(texts) == 1:
@@ -161,7 +170,6 @@ class Aligner:
         # Bytes before each character, for spans in characters.
         raw = np.frombuffer(data, np.uint8)
         chars = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
-        span = np.array(found.offsets, np.int64)
         # A cut of A is inside a character where the next token's span begins before it.
         inside = np.append(span[1:, 0] < span[:-1, 1], False)
         ends_a = np.where(inside, np.cumsum(self.a_size[a]), chars[span[:, 1]])
@@ -202,14 +210,13 @@ class Aligner:
         bad[row[known.counts[number, 0] < 0]] = True
         stays = ~bad[row]
         number, row = number[stays], row[stays]
-        sums = np.zeros((len(cut), 3), np.int64)
-        np.add.at(sums, row, known.counts[number])
+        sums = np.stack([np.bincount(row, c, len(cut)) for c in known.counts[number].T], 1).astype(np.int64)
         first, size = known.first[number], known.first[number + 1] - known.first[number]
         links = known.links[np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())]
         owner = np.repeat(row, size)
         n_links = np.bincount(owner, minlength=len(cut))
-        order = np.lexsort((links, owner))
-        links, owner = links[order], owner[order]
+        both = np.sort(owner << 32 | links)
+        links, owner = both & 0xFFFFFFFF, both >> 32
         new = np.flatnonzero(np.append(True, (links[1:] != links[:-1]) | (owner[1:] != owner[:-1]))[:len(links)])
         pairs, times = links[new], np.diff(np.append(new, len(links))).astype(np.int32)
         at = np.searchsorted(owner[new], np.arange(len(cut) + 1)).astype(np.int32)
