@@ -58,7 +58,7 @@ CAP, TEXT_CAP, LIKELY = 2.5, 1.0, 6.0
 BELOW = (-5.0, 20.0)  # log odds that all below an element may add to its own
 # Chance to be content in what is not and in content, by the child's kind, where
 # nothing is counted; and the bounds of what counts may make of it.
-START = {"main": (0.9, 1 - 1e-9), "box": (0.02, 1 - 1e-9), "element": (1e-9, 1 - 1e-9),
+START = {"main": (0.999, 1 - 1e-9), "box": (0.02, 1 - 1e-9), "element": (1e-9, 1 - 1e-9),
          "beside": (1e-12, 1 - 1e-9),  # boxes and other elements of a page that has an article or main
          "text": (1e-9, 1 - 5e-4),
          "doubtful": (1e-12, 1e-4), "furniture": (1e-12, 1e-9)}
