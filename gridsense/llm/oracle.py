@@ -70,6 +70,22 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
   sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from docs left join words using (r) left join ids using (r)"""
 
+OP7 = f"""
+with recursive words as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), {_A_Z}), '[^\\x20\\x09-\\x0D]+') as w from documents),
+shingles as (
+  select distinct r, array_to_string(w[s:s + 4], ' ') as g
+  from (select r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as s from words where len(w) > 0)),
+sets as (select r, doc_id, coalesce(n, 0) as n from words left join (select r, count(*) as n from shingles group by r) using (r)),
+common as (select x.r as a, y.r as b, count(*) as c from shingles x join shingles y on x.g = y.g and x.r <> y.r group by 1, 2),
+links as (
+  select a, b from common join sets x on x.r = a join sets y on y.r = b where 100 * c >= 80 * (x.n + y.n - c)),
+reach as (select r, r as other from sets union select reach.r, b from reach join links on a = other)
+select x.doc_id, x.n as n_shingles, m.component_id
+from sets x join (select reach.r, min(doc_id) as component_id from reach join sets on sets.r = other group by reach.r) m
+  on m.r = x.r"""
+
 OP11 = """
 with doc_terms as (
   select row_number() over () as r, doc_id,
@@ -103,6 +119,7 @@ select item_id, rank, doc_id, score from ranked where rank <= 50"""
 ORACLE = {
     "op3_url_filter": OP3,
     "op9_chat": OP9,
+    "op7_jaccard": OP7,
     "op10_decontaminate": OP10,
     "op11_search": OP11,
 }
