@@ -3,6 +3,10 @@
 Each task first replaces its edges by a forest that connects the same nodes.
 Edges of at most ``GATHERED`` (counted) are labelled by one task; more by
 alternating star steps over the whole cluster. Both give the same labels.
+
+Defined results: edges of a node with itself, and edges with a null end, connect
+nothing; repeated edges count once; without edges there are no rows; nodes that
+only such edges name have none either. Columns other than the two ends are ignored.
 """
 
 from __future__ import annotations
