@@ -25,6 +25,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from gridsense.functions.parse import decode_json, encode_json
 
 MESSAGE_SCHEMA = "topic STRING, payload STRING"
+DEALT = "_dealt"  # the part of a partition that a row is dealt to, not stored
 
 
 def _reader(spark: SparkSession, stream: bool):
@@ -86,15 +87,24 @@ def write_topic(df: DataFrame, path: str, cols: Sequence[str] | None = None,
 
 def append_dataset(df: DataFrame, path: str, partition_by: Sequence[str] = ("Sensor",),
                    sort_within: Sequence[str] | None = None, mode: str = "append",
-                   fmt: str = "parquet") -> str:
+                   fmt: str = "parquet", spread: int = 8) -> str:
     """Keep a DataFrame as a Parquet dataset (a collection of the store).
 
     Rows are first rebalanced by the partition columns, so a partition is
     written by few tasks (Spark splits the large ones) instead of by every
     task of the scan, and sorted within each task, so that Parquet row-group
     statistics make time-range filters selective on read.
+
+    Spark splits by compressed bytes, which millions of steady readings hardly
+    have: so a partition is also dealt, by its ``sort_within`` columns, over
+    ``spread`` parts, of which Spark puts small ones together again.
     """
-    w = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    w = df
+    if partition_by and sort_within:
+        part = F.pmod(F.xxhash64(*sort_within), F.lit(spread))
+        w = w.withColumn(DEALT, part).hint("rebalance", *[F.col(c) for c in (*partition_by, DEALT)]).drop(DEALT)
+    elif partition_by:
+        w = w.hint("rebalance", *[F.col(c) for c in partition_by])
     if sort_within:
         w = w.sortWithinPartitions(*partition_by, *sort_within)
     writer = w.write.mode(mode).format(fmt)

@@ -35,3 +35,21 @@ def test_dataset_by_sensors_and_inclusive_range(spark, workdir):
     assert sorted((x.Sensor, x.DateTime, x.NumVal) for x in got.collect()) == [
         ("A", ts("2023-01-01 00:00:00"), 1.0), ("A", ts("2023-01-02 00:00:00"), 2.0)]
     assert read_dataset(spark, f"{workdir}/ds").count() == 4
+
+
+def test_a_large_steady_partition_is_written_by_several_tasks(spark, workdir):
+    """Steady readings have few compressed bytes, so Spark does not split them."""
+    least = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    rows = spark.range(200_000).select(F.lit("A").alias("Sensor"), F.timestamp_seconds("id").alias("DateTime"),
+                                       F.lit(0.0).alias("NumVal"))
+    was = spark.conf.get(least)
+    spark.conf.set(least, "1k")  # small as the table is, its parts are not put together
+    try:
+        append_dataset(rows, f"{workdir}/ds", sort_within=("DateTime",))
+    finally:
+        spark.conf.set(least, was)
+    got = read_dataset(spark, f"{workdir}/ds")
+    assert got.columns == ["DateTime", "NumVal", "Sensor"]
+    assert tuple(got.agg(F.count("*"), F.countDistinct("DateTime")).first()) == (200_000, 200_000)
+    by_file = got.groupBy(F.input_file_name().alias("f")).count()
+    assert by_file.agg(F.max("count")).first()[0] <= 100_000
